@@ -1 +1,8 @@
 """Player-tracking analytics expressed as Spark DataFrame operators."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel by value, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

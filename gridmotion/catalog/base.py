@@ -43,20 +43,34 @@ TRACKING_FIELDS = {
     "label_y": "(value * 19e0) % 53.3e0",
 }
 
-_TRACKING_SELECT = ", ".join(f"{text} AS {name}" for name, text in TRACKING_FIELDS.items())
-
-CTE = f"""base AS (SELECT {_TRACKING_SELECT} FROM events),
-tracking AS (SELECT * EXCLUDE (label_x, label_y) FROM base),
-labels AS (SELECT game_id, play_id, nfl_id, frame_id, label_x AS x, label_y AS y, week
-  FROM base WHERE player_to_predict AND frame_id <= num_frames_output)"""
-
-# Mirrored coordinates, as the tables use them.
-NORM_CTE = """norm AS (SELECT *,
+# Wide integers on the SQL side, where results are compared.
+_SQL_FIELDS = ", ".join(
+    f"{text if name == 'player_birth_date' else text.replace('AS INT)', 'AS BIGINT)')} AS {name}"
+    for name, text in TRACKING_FIELDS.items()
+)
+
+CTES = {
+    "base": f"SELECT {_SQL_FIELDS} FROM events",
+    "tracking": "SELECT * EXCLUDE (label_x, label_y) FROM base",
+    "labels": """SELECT game_id, play_id, nfl_id, frame_id, label_x AS x, label_y AS y, week
+  FROM base WHERE player_to_predict AND frame_id <= num_frames_output""",
+    # Mirrored coordinates, as the tables use them.
+    "norm": """SELECT *,
   CASE WHEN play_direction = 'left' THEN 120e0 - x ELSE x END AS x_norm,
   CASE WHEN play_direction = 'left' THEN 160e0/3e0 - y ELSE y END AS y_norm,
   CASE WHEN play_direction = 'left' THEN (dir + 180e0) % 360e0 ELSE dir END AS dir_norm,
   CASE WHEN play_direction = 'left' THEN (o + 180e0) % 360e0 ELSE o END AS o_norm
-  FROM tracking)"""
+  FROM tracking""",
+}
+
+
+def with_ctes(names: list[str], body: str) -> str:
+    """Prefix body with the named tables; a body may bring further ones of its own."""
+    parts = ", ".join(f"{n} AS ({CTES[n]})" for n in names)
+    body = body.strip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {parts}, {body[5:]}"
+    return f"WITH {parts} {body}"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,17 +118,13 @@ def tidy(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, sql: str | None = None, norm: bool = False):
-    """Register a query; sql may use the tables tracking, labels and, on request, norm."""
+def query(name: str, sql: str | None = None, ctes: tuple[str, ...] = ()):
+    """Register a query; sql may use the tables tracking, labels and those named in ctes."""
 
     def register(fn):
         QUERIES[name] = lambda spark, sf_dir: tidy(fn(spark, sf_dir))
         if sql is not None:
-            ctes = [CTE] + ([NORM_CTE] if norm else [])
-            body = sql.strip()
-            if body[:5].upper() == "WITH ":
-                body = ", " + body[5:]
-            ORACLES[name] = f"WITH {', '.join(ctes)} {body}"
+            ORACLES[name] = with_ctes(["base", "tracking", "labels", *ctes], sql)
         return fn
 
     return register
@@ -127,12 +137,3 @@ def q(*columns: str) -> str:
         expr, name = item.rsplit(" AS ", 1)
         out.append(f"round({expr}, 6) + 0e0 AS {name}")
     return ", ".join(out)
-
-
-def i8(*columns: str) -> str:
-    """SQL for integers widened to bigint."""
-    out = []
-    for item in columns:
-        expr, _, name = item.rpartition(" AS ")
-        out.append(f"CAST({expr or item} AS BIGINT) AS {name}")
-    return ", ".join(out)

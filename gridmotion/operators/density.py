@@ -234,7 +234,7 @@ def density_clusters(
         return packed.select(
             *bands,
             "block",
-            *[F.transform("e", lambda p, c=c: p[c]).alias(n) for n, c in names.items()],
+            *[F.col("e")[c].alias(n) for n, c in names.items()],
         )
 
     pairs = _block_pairs(gathered(placed, {"weights": "weight"}), cells, bands, ["weights"])

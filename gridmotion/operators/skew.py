@@ -19,6 +19,14 @@ _SEGMENT, _HALO = "__segment", "__halo"
 _LOW, _HIGH = "__low", "__high"
 
 
+def _position(df: DataFrame, column: str) -> Column:
+    """A column as a number on a line; dates and times become seconds."""
+    value = F.col(column)
+    if dict(df.dtypes)[column] in ("date", "timestamp_ntz"):
+        value = value.cast("timestamp")
+    return value.cast("double")
+
+
 def split_large_groups(
     df: DataFrame, keys: list[str], limit: int, span: str | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -28,7 +36,7 @@ def split_large_groups(
     """
     stats = [F.count(F.lit(1)).alias(GROUP_ROWS)]
     if span:
-        value = F.col(span).cast("double")
+        value = _position(df, span)
         stats += [F.min(value).alias(_LOW), F.max(value).alias(_HIGH)]
     present = [F.col(k).isNotNull() for k in keys]
     condition = present[0]
@@ -75,7 +83,7 @@ def over_timelines(
 
 def _over_segments(long, keys, order, lookback, compute, running, max_rows):
     columns = [c for c in long.columns if c not in (GROUP_ROWS, _LOW, _HIGH)]
-    position = F.col(order[0]).cast("double")
+    position = _position(long, order[0])
     pieces = F.ceil(F.col(GROUP_ROWS) / F.lit(max_rows))
     share = (position - F.col(_LOW)) / (F.col(_HIGH) - F.col(_LOW))
     piece = F.when(

@@ -1,16 +1,21 @@
 """Frame-level geometry: formation shape, nearest players, coverage, play score.
 
-Players of one frame meet inside an array of that frame's members, so player pairs never
+Players of one frame meet inside the task that holds the frame, so player pairs never
 become rows. A frame with more members than MAX_MEMBERS is cut into blocks that meet one
 by one; the partial results merge to the same values.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmotion.functions import scalars as S
 from gridmotion.operators.skew import GROUP_ROWS, split_large_groups
@@ -126,7 +131,7 @@ def _against_members(df: DataFrame, side: str, pid: str, x: str, y: str, radii)
         "__opp", F.lit(0.0), lambda acc, d: acc + F.coalesce(1.0 / (1.0 + d), F.lit(0.0))
     )
     new = {
-        "__others": F.size(F.filter(_MEMBERS, lambda m: m["pid"] != F.col(pid))),
+        "__others": F.exists(_MEMBERS, lambda m: m["pid"] != F.col(pid)).cast("int"),
         "__n_opp": F.size("__opp"),
         "__n_tm": F.size("__tm"),
         "distance_to_nearest_teammate": F.array_min("__tm"),
@@ -203,9 +208,101 @@ def frame_neighbours(
     return met.select(*frame_keys, side, pid, neighbours.alias("neighbours"))
 
 
-def _coverage_by_window(df, frame_keys, side, pid, x, y, radii) -> DataFrame:
-    met = _rows_with_frame(df, frame_keys, side, pid, x, y)
-    return _null_without_pairs(_against_members(met, side, pid, x, y, radii), radii)
+def _frame_starts(table: pa.Table, frame_keys: list[str]) -> np.ndarray:
+    """Positions where a frame begins; a row with a missing key is a frame of its own."""
+    new = np.zeros(table.num_rows, dtype=bool)
+    new[0] = True
+    for key in frame_keys:
+        column = table.column(key).combine_chunks()
+        changed = pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)), True)
+        new[1:] |= changed.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _codes(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal values get equal codes, missing ones -1."""
+    codes = column.combine_chunks().dictionary_encode().indices
+    return pc.fill_null(codes, -1).to_numpy(zero_copy_only=False)
+
+
+def _nearest(distance: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest usable distance per row (NaN only when all are NaN), and where there is none."""
+    smallest = np.fmin.reduce(np.where(usable, distance, np.inf), axis=2)
+    only_nan = np.isinf(smallest) & (usable & np.isnan(distance)).any(axis=2)
+    return np.where(only_nan, np.nan, smallest), ~usable.any(axis=2)
+
+
+def _frame_coverage(table: pa.Table, frame_keys, side, pid, x, y, radii) -> pa.Table:
+    starts = _frame_starts(table, frame_keys)
+    sizes = np.diff(np.append(starts, table.num_rows))
+    xs, ys = (table.column(c).to_numpy().astype(np.float64) for c in (x, y))
+    placed = ~(
+        table.column(x).is_null().to_numpy() | table.column(y).is_null().to_numpy()
+    )
+    ids, sides = _codes(table.column(pid)), _codes(table.column(side))
+    names = coverage_columns(radii)
+    values = {name: np.zeros(table.num_rows) for name in names}
+    absent = {name: np.ones(table.num_rows, dtype=bool) for name in names}
+    for size in np.unique(sizes):
+        at = starts[sizes == size][:, None] + np.arange(size)
+
+        def pairwise(test, values, at=at):
+            return test(values[at][:, :, None], values[at][:, None, :])
+
+        distance = np.sqrt(
+            pairwise(np.subtract, xs) ** 2 + pairwise(np.subtract, ys) ** 2
+        )
+        both_placed = pairwise(np.logical_and, placed)
+        known = pairwise(np.logical_and, ids >= 0)
+        others = pairwise(np.not_equal, ids) & known
+        sided = others & pairwise(np.logical_and, sides >= 0)
+        same = pairwise(np.equal, sides)
+        density = np.where(sided & ~same & both_placed, 1.0 / (1.0 + distance), 0.0).sum(axis=2)
+        values["coverage_density"][at] = density
+        absent["coverage_density"][at] = ~others.any(axis=2)
+        for label, met in (("teammate", sided & same), ("opponent", sided & ~same)):
+            usable = met & both_placed
+            nearest = f"distance_to_nearest_{label}"
+            values[nearest][at], absent[nearest][at] = _nearest(distance, usable)
+            alone = ~met.any(axis=2)
+            for r in radii:
+                name = f"{label}s_within_{int(r)}yds"
+                values[name][at] = (usable & (distance < r)).sum(axis=2)
+                absent[name][at] = alone
+    for name in names:
+        column = values[name].astype(np.int64) if "_within_" in name else values[name]
+        table = table.append_column(name, pa.array(column, mask=absent[name]))
+    return table
+
+
+def _coverage_by_frame(df, frame_keys, side, pid, x, y, radii) -> DataFrame:
+    """Coverage with whole frames inside a task: rows arrive frame by frame, batch by batch."""
+    integer = {name for name in coverage_columns(radii) if "_within_" in name}
+    fields = [
+        T.StructField(name, T.LongType() if name in integer else T.DoubleType())
+        for name in coverage_columns(radii)
+    ]
+    schema = T.StructType([*df.schema.fields, *fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last frame of a batch may go on in the next one
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held is not None:
+                table = pa.concat_tables([held, table])
+            if table.num_rows == 0:
+                continue
+            cut = int(_frame_starts(table, frame_keys)[-1])
+            held = table.slice(cut)
+            if cut:
+                done = _frame_coverage(
+                    table.slice(0, cut), frame_keys, side, pid, x, y, radii
+                )
+                yield from done.to_batches()
+        if held is not None and held.num_rows:
+            yield from _frame_coverage(held, frame_keys, side, pid, x, y, radii).to_batches()
+
+    return df.sortWithinPartitions(*frame_keys).mapInArrow(run, schema)
 
 
 def _coverage_by_blocks(df, frame_keys, side, pid, x, y, radii, max_members) -> DataFrame:
@@ -233,7 +330,8 @@ def coverage_features(
 ) -> DataFrame:
     """Nearest teammate and opponent, opponents' sum of 1/(1+d), players closer than each radius."""
     whole, crowded = split_large_groups(df, frame_keys, max_members)
-    out = _coverage_by_window(whole, frame_keys, side, pid, x, y, radii)
+    whole = whole.repartition(*[F.col(k) for k in frame_keys])
+    out = _coverage_by_frame(whole, frame_keys, side, pid, x, y, radii)
     if crowded is None:
         return out
     blocked = _coverage_by_blocks(crowded, frame_keys, side, pid, x, y, radii, max_members)
@@ -254,7 +352,7 @@ def shape_and_coverage(
     whole, crowded = split_large_groups(df, frame_keys, max_members)
     keys = [*frame_keys, side]
     whole = whole.repartition(*[F.col(k) for k in frame_keys])
-    out = _coverage_by_window(
+    out = _coverage_by_frame(
         _shape_by_window(whole, keys, x, y), frame_keys, side, pid, x, y, radii
     )
     if crowded is None:
