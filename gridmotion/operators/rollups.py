@@ -16,7 +16,7 @@ from gridmotion.schemas import (
 )
 
 
-def team_frame_rollup(covered: DataFrame) -> DataFrame:
+def team_frame_rollup(covered: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per side and frame from rows that carry shape and coverage columns."""
     shape = ["formation_width", "formation_depth", "formation_x_mean", "formation_y_mean"]
     counts = [
@@ -24,7 +24,7 @@ def team_frame_rollup(covered: DataFrame) -> DataFrame:
         for label, short in (("opponents", "opp"), ("teammates", "tm"))
         for r in (3, 5, 7)
     ]
-    return covered.groupBy(*SIDE_FRAME_KEYS).agg(
+    return covered.groupBy(*SIDE_FRAME_KEYS, *keep).agg(
         *[F.max(c).alias(c) for c in shape],  # constant within the group
         F.avg("distance_to_formation_center").alias("team_spread_mean"),
         F.stddev_samp("relative_formation_depth").alias("depth_std"),

@@ -23,20 +23,28 @@ from gridmotion.schemas import (
 COVERAGE_RADII = (3.0, 5.0, 7.0)
 
 
-def players_table(tracking: DataFrame) -> DataFrame:
-    """One row per player and frame; one shuffle, by player timeline."""
+def players_table(tracking: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per player and frame; one shuffle, by player timeline.
+
+    keep names further input columns to carry along.
+    """
     rows = player_scalars(rightward(tracking))
     timed = temporal_features(rows, (3, 5), direction="dir_norm", x="x_norm", y="y_norm")
-    return present_columns(timed, PLAYER_COLUMNS)
+    return present_columns(timed, [*PLAYER_COLUMNS, *keep])
+
 
+def teamframe_table(tracking: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per side and frame; rows move once, by frame, then only their sums.
 
-def teamframe_table(tracking: DataFrame) -> DataFrame:
-    """One row per side and frame; one shuffle, by frame."""
-    rows = rightward(tracking).select(*FRAME_KEYS, "player_side", "nfl_id", "x_norm", "y_norm")
+    keep names columns that are constant within a play, to carry along.
+    """
+    rows = rightward(tracking).select(
+        *FRAME_KEYS, "player_side", "nfl_id", "x_norm", "y_norm", *keep
+    )
     covered = shape_and_coverage(
         rows, COVERAGE_RADII, FRAME_KEYS, "player_side", "nfl_id", "x_norm", "y_norm"
     )
-    return rollups.team_frame_rollup(covered)
+    return rollups.team_frame_rollup(covered, keep)
 
 
 def plays_table(players: DataFrame, teamframe: DataFrame, sides: tuple[str, ...] = SIDES) -> DataFrame:

@@ -75,13 +75,18 @@ def files_without_rows(spark: SparkSession, path: str, rows: DataFrame) -> DataF
     return listed.join(filled, "file", "left_anti")
 
 
-def write_weekly(df: DataFrame, path: str) -> None:
-    """One Parquet dataset with a folder per week, replacing only the weeks in df."""
+def write_weekly(df: DataFrame, path: str, only_given_weeks: bool = False) -> None:
+    """One Parquet dataset with a folder per week.
+
+    Replaces the dataset and marks it complete, or with only_given_weeks replaces just the
+    weeks in df (such a write leaves no success marker).
+    """
+    scope = "dynamic" if only_given_weeks else "static"
     (
         df.repartition("week", *_spread_keys(df))
         .write.partitionBy("week")
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", scope)
         .parquet(path)
     )
 

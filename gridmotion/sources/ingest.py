@@ -82,25 +82,31 @@ def ingest_if_needed(
 def build_features(spark: SparkSession, tracking: DataFrame, out: str) -> dict[str, str]:
     """Write players, teamframe and plays by week, skipping weeks that are finished.
 
-    plays is written last and from the stored tables, so its weeks mark finished work; a
-    week interrupted before that is rebuilt.
+    A week enters the list of finished weeks after all three tables hold it; a week
+    interrupted before that is rebuilt.
     """
     paths = {name: f"{out}/{name}" for name in ("players", "teamframe", "plays")}
+    finished = f"{out}/finished_weeks"
     pending = tracking
-    if files.path_exists(spark, paths["plays"]) and files.is_complete(spark, paths["plays"]):
-        pending = tracking.join(files.list_weeks(spark, paths["plays"]), "week", "left_anti")
+    if files.path_exists(spark, finished):
+        pending = tracking.join(spark.read.parquet(finished), "week", "left_anti")
     weeks = pending.select("week").distinct()
     if weeks.isEmpty():
         return paths
     play_week = pending.select(*PLAY_KEYS, "week").distinct()
-    files.write_weekly(players_table(pending).join(play_week, PLAY_KEYS), paths["players"])
-    files.write_weekly(teamframe_table(pending).join(play_week, PLAY_KEYS), paths["teamframe"])
-    stored = {
-        name: spark.read.parquet(paths[name]).join(weeks, "week", "left_semi")
+
+    def write(table: DataFrame, name: str) -> None:
+        files.write_weekly(table, paths[name], only_given_weeks=True)
+
+    write(players_table(pending, keep=("week",)), "players")
+    write(teamframe_table(pending, keep=("week",)), "teamframe")
+    players, teamframe = (
+        spark.read.parquet(paths[name]).join(weeks, "week", "left_semi").drop("week")
         for name in ("players", "teamframe")
-    }
-    plays = plays_table(stored["players"].drop("week"), stored["teamframe"].drop("week"))
-    files.write_weekly(plays.join(play_week, PLAY_KEYS), paths["plays"])
+    )
+    write(plays_table(players, teamframe).join(play_week, PLAY_KEYS), "plays")
+    done = spark.read.parquet(paths["plays"]).join(weeks, "week", "left_semi")
+    done.select("week").distinct().write.mode("append").parquet(finished)
     return paths
 
 
