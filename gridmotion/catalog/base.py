@@ -68,8 +68,9 @@ def with_ctes(names: list[str], body: str) -> str:
     """Prefix body with the named tables; a body may bring further ones of its own."""
     parts = ", ".join(f"{n} AS ({CTES[n]})" for n in names)
     body = body.strip()
-    if body[:5].upper() == "WITH ":
-        return f"WITH {parts}, {body[5:]}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.startswith(opening):
+            return f"{opening}{parts}, {body[len(opening):]}"
     return f"WITH {parts} {body}"
 
 

@@ -213,11 +213,10 @@ def _(spark, sf):
 @query(
     "missing_to_zero",
     f"""SELECT {K4}, {q("CASE WHEN v IS NULL OR isnan(v) THEN 0e0 ELSE v END AS v")}
-    FROM {_SPOILED} WHERE frame_id NOT IN (4, 5)""",
+    FROM {_SPOILED}""",
 )
 def _(spark, sf):
-    rows = _spoiled(spark, sf).where("frame_id NOT IN (4, 5)")
-    return N.missing_to_zero(rows, ["v"]).select(*ROW_KEYS, "v")
+    return N.missing_to_zero(_spoiled(spark, sf), ["v"]).select(*ROW_KEYS, "v")
 
 
 @query(

@@ -162,56 +162,97 @@ def _(spark, sf):
 
 
 _EMB_KNN = f"""WITH v AS (SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-  d AS (SELECT a.vec_id AS query_id, b.vec_id, list_distance(a.e, b.e) AS distance
-    FROM v a, v b WHERE {{pick}})
+  d AS (SELECT a.vec_id AS query_id, b.vec_id, list_distance(a.e, b.e) AS distance FROM v a, v b)
   SELECT query_id, vec_id, {q("distance AS distance")}, rank FROM (SELECT *, CAST(row_number() OVER
     (PARTITION BY query_id ORDER BY distance, vec_id) AS BIGINT) AS rank FROM d) WHERE rank <= 5"""
 
 
-@query("embedding_knn", _EMB_KNN.format(pick="a.vec_id % 50 = 7"))
-def embedding_knn(spark, sf):
+def _embedding_knn(spark, sf, **options):
     corpus = table(spark, sf, "embeddings").withColumn("vec_id", F.col("vec_id").cast("bigint"))
-    return neighbors.knn(
-        corpus, corpus.where("vec_id % 50 = 7"), 5, ["vec_id"], "vec_id", "embedding"
-    )
+    return neighbors.knn(corpus, corpus, 5, ["vec_id"], "vec_id", "embedding", **options)
 
 
-@query("embedding_knn_all_rows", _EMB_KNN.format(pick="true"))
+@query("embedding_knn", _EMB_KNN)
 def _(spark, sf):
-    corpus = table(spark, sf, "embeddings").withColumn("vec_id", F.col("vec_id").cast("bigint"))
-    return neighbors.knn(
-        corpus, corpus, 5, ["vec_id"], "vec_id", "embedding", max_shipped_values=1000
-    )
+    return _embedding_knn(spark, sf)
+
+
+@query("embedding_knn_by_blocks", _EMB_KNN)
+def _(spark, sf):
+    return _embedding_knn(spark, sf, max_shipped_values=0)
 
 
 # ------------------------------------------------------------------ density clusters
 
 
+def _cluster_sql(source: str, keys: str, eps: float, min_samples: int, min_size: int) -> str:
+    """The clustering rule on all pairs; source has the key columns and a list v."""
+    return f"""WITH RECURSIVE src AS MATERIALIZED ({source}),
+      pts AS MATERIALIZED (SELECT v, row_number() OVER (ORDER BY v) AS pid, n
+        FROM (SELECT v, count(*) AS n FROM src GROUP BY v)),
+      near AS MATERIALIZED (SELECT a.pid AS a, b.pid AS b, b.n, list_distance(a.v, b.v) AS d
+        FROM pts a, pts b WHERE list_distance(a.v, b.v) <= {eps}),
+      core AS MATERIALIZED (SELECT a AS pid FROM near GROUP BY a HAVING sum(n) >= {min_samples}),
+      link AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core)),
+      reach AS (SELECT pid AS a, pid AS b FROM core
+        UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+      roots AS (SELECT a AS pid, min(b) AS root FROM reach GROUP BY a),
+      nearest AS (SELECT a AS pid, arg_min(b, (d, b)) AS core_pid, min(d) AS d FROM near
+        WHERE a NOT IN (FROM core) AND b IN (FROM core) GROUP BY a),
+      members AS (SELECT pid, root, 1e0 AS prob FROM roots UNION ALL
+        SELECT m.pid, r.root, 1e0 - m.d / {eps} FROM nearest m JOIN roots r ON r.pid = m.core_pid),
+      kept AS (SELECT root, row_number() OVER (ORDER BY root) - 1 AS cluster FROM (
+        SELECT root FROM members JOIN pts USING (pid) GROUP BY root HAVING sum(n) >= {min_size}))
+    SELECT {keys}, CAST(coalesce(cluster, -1) AS BIGINT) AS cluster,
+      {q("CASE WHEN cluster IS NULL THEN 0e0 ELSE prob END AS cluster_prob")}
+    FROM src JOIN pts USING (v) LEFT JOIN members USING (pid) LEFT JOIN kept USING (root)"""
+
+
+_VECTORS = """SELECT game_id, play_id, player_side, list_resize(flatten(list([x_norm, y_norm]
+  ORDER BY y_norm, x_norm)), 22, 0e0) AS v FROM (SELECT *, row_number() OVER (
+    PARTITION BY game_id, play_id, player_side ORDER BY y_norm, x_norm) AS rn FROM first_rows)
+  WHERE rn <= 11 GROUP BY ALL"""
+_FORMATIONS = _cluster_sql(_VECTORS, "game_id, play_id, player_side", 115.0, 3, 4)
+_FIRST = ("norm", "first_rows")
+
+
 def _formation_clusters(spark, sf):
     vectors = formation_vectors(rightward(tracking(spark, sf)), None)
     return density.density_clusters(
-        vectors, SIDE_KEYS, eps=110.0, min_samples=3, min_cluster_size=4
+        vectors, SIDE_KEYS, eps=115.0, min_samples=3, min_cluster_size=4
     )
 
 
-@query("formation_clusters")
+@query("formation_clusters", _FORMATIONS, _FIRST)
 def _(spark, sf):
     return _formation_clusters(spark, sf)
 
 
-@query("embedding_clusters")
+@query(
+    "embedding_clusters",
+    _cluster_sql(
+        "SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
+        "vec_id",
+        0.9,
+        4,
+        5,
+    ),
+)
 def _(spark, sf):
-    return density.density_clusters(
-        table(spark, sf, "embeddings"), ["vec_id"], "embedding", 0.9, 4, 5
-    )
+    rows = table(spark, sf, "embeddings").withColumn("vec_id", F.col("vec_id").cast("bigint"))
+    return density.density_clusters(rows, ["vec_id"], "embedding", 0.9, 4, 5)
 
 
-@query("cluster_examples")
+@query(
+    "cluster_examples",
+    f"SELECT * FROM ({_FORMATIONS}) WHERE cluster = 0 ORDER BY game_id, play_id, player_side LIMIT 10",
+    _FIRST,
+)
 def _(spark, sf):
     return sampling.cluster_examples(_formation_clusters(spark, sf), 0, 10)
 
 
-@query("distinct_clusters")
+@query("distinct_clusters", f"SELECT DISTINCT cluster FROM ({_FORMATIONS})", _FIRST)
 def _(spark, sf):
     return _formation_clusters(spark, sf).select("cluster").distinct()
 

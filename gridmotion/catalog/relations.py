@@ -143,17 +143,16 @@ def _(spark, sf):
 
 @query(
     "full_join_plays",
-    """SELECT game_id, play_id, CAST(n_inputs AS BIGINT) AS n_inputs, CAST(n_labels AS BIGINT) AS n_labels
-    FROM (SELECT game_id, play_id, count(*) AS n_inputs FROM tracking WHERE play_id <> 2 GROUP BY 1, 2)
-    FULL JOIN (SELECT game_id, play_id, count(*) AS n_labels FROM labels WHERE play_id <> 5 GROUP BY 1, 2)
+    """SELECT game_id, play_id, CAST(n_fast AS BIGINT) AS n_fast, CAST(n_wide AS BIGINT) AS n_wide
+    FROM (SELECT game_id, play_id, count(*) AS n_fast FROM tracking WHERE s > 9.9e0 GROUP BY 1, 2)
+    FULL JOIN (SELECT game_id, play_id, count(*) AS n_wide FROM labels WHERE y > 52.8e0 GROUP BY 1, 2)
     USING (game_id, play_id)""",
 )
 def _(spark, sf):
-    inputs = tracking(spark, sf).where("play_id <> 2").groupBy(*PLAY_KEYS)
-    outputs = labels(spark, sf).where("play_id <> 5").groupBy(*PLAY_KEYS)
+    fast = tracking(spark, sf).where("s > 9.9").groupBy(*PLAY_KEYS)
+    wide = labels(spark, sf).where("y > 52.8").groupBy(*PLAY_KEYS)
     return joins.full_join_plays(
-        inputs.agg(F.count(F.lit(1)).alias("n_inputs")),
-        outputs.agg(F.count(F.lit(1)).alias("n_labels")),
+        fast.agg(F.count(F.lit(1)).alias("n_fast")), wide.agg(F.count(F.lit(1)).alias("n_wide"))
     )
 
 
@@ -176,12 +175,12 @@ def _(spark, sf):
     return matched_projection(spark, sf)
 
 
-_INDEX_SQL = """WITH ids AS (SELECT nfl_id FROM tracking WHERE nfl_id % 3 <> 0 GROUP BY 1),
+_INDEX_SQL = """WITH ids AS (SELECT nfl_id FROM labels GROUP BY 1),
   idx AS (SELECT nfl_id, row_number() OVER (ORDER BY nfl_id) - 1 AS player_idx FROM ids)"""
 
 
-def _some_players(spark, sf):
-    return P.player_index(tracking(spark, sf).where("nfl_id % 3 <> 0"))
+def _labelled_players(spark, sf):
+    return P.player_index(labels(spark, sf))
 
 
 @query(
@@ -189,7 +188,7 @@ def _some_players(spark, sf):
     f"{_INDEX_SQL} SELECT {K4}, player_idx FROM tracking JOIN idx USING (nfl_id)",
 )
 def _(spark, sf):
-    out = joins.with_player_index(tracking(spark, sf), _some_players(spark, sf), "skip")
+    out = joins.with_player_index(tracking(spark, sf), _labelled_players(spark, sf), "skip")
     return out.select(*ROW_KEYS, "player_idx")
 
 
@@ -198,7 +197,7 @@ def _(spark, sf):
     f"{_INDEX_SQL} SELECT {K4}, coalesce(player_idx, 0) AS player_idx FROM tracking LEFT JOIN idx USING (nfl_id)",
 )
 def _(spark, sf):
-    out = joins.with_player_index(tracking(spark, sf), _some_players(spark, sf), "zero")
+    out = joins.with_player_index(tracking(spark, sf), _labelled_players(spark, sf), "zero")
     return out.select(*ROW_KEYS, "player_idx")
 
 
@@ -338,7 +337,7 @@ _POOL = """SELECT label, pos - 1 AS pos, {agg} AS value FROM (SELECT label, vec_
 
 def _pooled(how, mask=None):
     def run(spark, sf):
-        rows = table(spark, sf, "embeddings").withColumn("keep", F.col("vec_id") % 4 != 0)
+        rows = table(spark, sf, "embeddings").withColumn("keep", F.col("embedding")[0] > 0)
         pooled = rollups.pool_vectors(rows, ["label"], "embedding", 64, how, mask)
         return pooled.select("label", F.posexplode("embedding").alias("pos", "value"))
 
@@ -355,7 +354,7 @@ for _how, _agg in (("mean", "avg(v)"), ("sum", "sum(v)"), ("max", "max(v)")):
 query(
     "pool_vectors_masked",
     f"SELECT CAST(label AS BIGINT) AS label, CAST(pos AS BIGINT) AS pos, {same('value')}"
-    f" FROM ({_POOL.format(agg='avg(v)', where='WHERE vec_id % 4 <> 0')})",
+    f" FROM ({_POOL.format(agg='avg(v)', where='WHERE embedding[1] > 0')})",
 )(_pooled("mean", "keep"))
 
 

@@ -46,7 +46,7 @@ def _raw(spark, sf, test: bool = False) -> str:
     _write_weekly_csv(inputs, "input", f"{root}/inputs")
     _write_weekly_csv(outputs, "output", f"{root}/outputs")
     if test:
-        inputs.where("week = 1").drop("week").write.option("header", True).csv(
+        inputs.drop("week").write.option("header", True).csv(
             f"{root}/{ingest.TEST_INPUT}"
         )
     return root
@@ -85,7 +85,7 @@ def _(spark, sf):
 
 @query(
     "test_csv_scan",
-    f"SELECT {K4}, {same('x', 'y')}, CAST(-1 AS BIGINT) AS week FROM tracking WHERE week = 1",
+    f"SELECT {K4}, {same('x', 'y')}, CAST(-1 AS BIGINT) AS week FROM tracking",
 )
 def _(spark, sf):
     root = _raw(spark, sf, test=True)
@@ -101,10 +101,15 @@ def _stored(spark, sf, name="tracking"):
     return path
 
 
-@query("weekly_parquet", _TRACKING_SQL.replace("SELECT ", "SELECT week, ", 1) + " WHERE week = 2")
+@query(
+    "weekly_parquet",
+    "SELECT week, CAST(count(*) AS BIGINT) AS n_rows, "
+    + q("sum(y) AS y_sum")
+    + " FROM tracking GROUP BY week",
+)
 def _(spark, sf):
     rows = files.read_table(spark, _stored(spark, sf), required=["week", *ROW_KEYS])
-    return rows.where("week = 2").select("week", *[f.name for f in TRACKING_SCHEMA])
+    return rows.groupBy("week").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("y").alias("y_sum"))
 
 
 @query("combined_parquet", _TRACKING_SQL.replace("SELECT ", "SELECT week, ", 1))
@@ -137,7 +142,7 @@ def _(spark, sf):
     "ingest_csv_to_parquet",
     """SELECT 'train_input' AS dataset, week, CAST(count(*) AS BIGINT) AS n_rows FROM tracking GROUP BY week
     UNION ALL SELECT 'train_output', week, CAST(count(*) AS BIGINT) FROM labels GROUP BY week
-    UNION ALL SELECT 'test_input', -1, CAST(count(*) AS BIGINT) FROM tracking WHERE week = 1""",
+    UNION ALL SELECT 'test_input', -1, CAST(count(*) AS BIGINT) FROM tracking""",
 )
 def _(spark, sf):
     root, out = _raw(spark, sf, test=True), scratch_path(spark, "parquet")
@@ -220,27 +225,31 @@ def _(spark, sf):
 
 
 @query(
-    "files_without_rows",
-    """SELECT concat('input_2023_w', lpad(CAST(week AS VARCHAR), 2, '0'), '.csv') AS file
-    FROM (SELECT DISTINCT week FROM tracking WHERE week <> 1)""",
+    "file_inventory",
+    """SELECT concat('input_2023_w', lpad(CAST(week AS VARCHAR), 2, '0'), '.csv') AS file, true AS has_rows
+    FROM (SELECT DISTINCT week FROM tracking) UNION ALL SELECT 'input_2023_w99.csv', false""",
 )
 def _(spark, sf):
-    glob = _inputs(_raw(spark, sf))
-    rows = files.with_week_from_name(files.read_typed_csv(spark, glob, TRACKING_SCHEMA))
-    found = files.files_without_rows(spark, glob, rows.where("week = 1"))
-    return found.select(F.regexp_extract("file", "(input_2023_w.*)$", 1).alias("file"))
+    root = _raw(spark, sf)
+    empty = spark.createDataFrame([], TRACKING_SCHEMA).coalesce(1)
+    empty.write.option("header", True).csv(f"{root}/inputs/file=input_2023_w99.csv")
+    found = files.file_inventory(spark, _inputs(root), TRACKING_SCHEMA)
+    return found.select(F.regexp_extract("file", "(input_2023_w.*)$", 1).alias("file"), "has_rows")
+
+
+# Weeks that have a missing speed against weeks that have a player near the far side line.
+_SOME = "SELECT week FROM tracking WHERE s IS NULL AND y > 52.5e0"
+_OTHER = "SELECT week FROM labels WHERE y > 53.2e0"
 
 
 @query(
     "week_mismatch",
-    """SELECT week, 'output' AS missing_in FROM (SELECT week FROM tracking WHERE week <> 3
-      EXCEPT SELECT week FROM labels WHERE week <> 2)
-    UNION ALL SELECT week, 'input' FROM (SELECT week FROM labels WHERE week <> 2
-      EXCEPT SELECT week FROM tracking WHERE week <> 3)""",
+    f"""SELECT week, 'output' AS missing_in FROM ({_SOME} EXCEPT {_OTHER})
+    UNION ALL SELECT week, 'input' FROM ({_OTHER} EXCEPT {_SOME})""",
 )
 def _(spark, sf):
     return quality.week_mismatch(
-        tracking(spark, sf).where("week <> 3"), labels(spark, sf).where("week <> 2")
+        tracking(spark, sf).where("s IS NULL AND y > 52.5"), labels(spark, sf).where("y > 53.2")
     )
 
 
@@ -340,11 +349,13 @@ def _(spark, sf):
     "prediction_count_mismatch",
     """SELECT game_id, play_id, CAST(coalesce(n_pred, 0) AS BIGINT) AS n_pred,
       CAST(coalesce(n_true, 0) AS BIGINT) AS n_true
-    FROM (SELECT game_id, play_id, count(*) AS n_pred FROM projected WHERE frame_id <= 9 GROUP BY 1, 2)
-    FULL JOIN (SELECT game_id, play_id, count(*) AS n_true FROM labels GROUP BY 1, 2)
-      USING (game_id, play_id) WHERE coalesce(n_pred, 0) <> coalesce(n_true, 0)""",
+    FROM (SELECT game_id, play_id, count(*) AS n_pred FROM projected GROUP BY 1, 2)
+    FULL JOIN (SELECT game_id, play_id, count(*) AS n_true FROM tracking WHERE player_to_predict
+      GROUP BY 1, 2) USING (game_id, play_id) WHERE coalesce(n_pred, 0) <> coalesce(n_true, 0)""",
     ("last_rows", "projected"),
 )
 def _(spark, sf):
-    predictions = kinematic_projection(tracking(spark, sf)).where("frame_id <= 9")
-    return quality.prediction_count_mismatch(predictions, labels(spark, sf))
+    rows = tracking(spark, sf)
+    return quality.prediction_count_mismatch(
+        kinematic_projection(rows), rows.where("player_to_predict")
+    )

@@ -155,32 +155,44 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
-def _block_pairs(blocks: DataFrame, cells: DataFrame, bands: list[str], extra: list[str]):
-    """Each pair of blocks in equal or adjacent cells once, with both blocks' arrays."""
-    arrays = ["ids", "vecs", *extra]
+def _block_pairs(placed: DataFrame, cells: DataFrame, bands: list[str]) -> DataFrame:
+    """Keys of all block pairs in equal or adjacent cells, each pair once; no vectors yet."""
     key = [*bands, "block"]
-    left = blocks.select(
-        *[F.col(c).alias(f"l_{c}") for c in [*key, *arrays]],
-        F.explode(
-            F.array(
-                *[
-                    F.struct(*[(F.col(b) + F.lit(s)).alias(b) for b, s in zip(bands, shift)])
-                    for shift in product((-1, 0, 1), repeat=len(bands))
-                ]
-            )
-        ).alias("to"),
+    shifts = F.array(
+        *[
+            F.struct(*[(F.col(f"l_{b}") + F.lit(s)).alias(b) for b, s in zip(bands, shift)])
+            for shift in product((-1, 0, 1), repeat=len(bands))
+        ]
     )
-    left = left.select("*", "to.*").drop("to").join(cells.select(*bands, "n_blocks"), bands)
-    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    left = placed.select(*[F.col(c).alias(f"l_{c}") for c in key]).distinct()
+    left = left.select("*", F.inline(shifts)).join(cells, bands)
+    pairs = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     mine = F.struct(*[F.col(f"l_{c}") for c in key])
     other = F.struct(*[F.col(c).alias(f"l_{c}") for c in key])
-    left = left.where(mine <= other).withColumn("same", mine == other)
-    right = blocks.select(*key, *[F.col(c).alias(f"r_{c}") for c in arrays])
-    return left.join(right, key).select(
-        "same", *[f"l_{c}" for c in arrays], *[f"r_{c}" for c in arrays]
+    return pairs.where(mine <= other).select(
+        *[f"l_{c}" for c in key],
+        *[F.col(c).alias(f"r_{c}") for c in key],
+        (mine == other).alias("same"),
     )
 
 
+def _with_blocks(pairs: DataFrame, table: DataFrame, bands: list[str], fields: dict[str, str]):
+    """Attach both blocks' arrays (in pid order) to the pair keys."""
+    key = [*bands, "block"]
+    entry = F.struct("pid", *[c for c in fields.values() if c != "pid"])
+    packed = table.groupBy(*key).agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    out = pairs
+    for side in ("l", "r"):
+        out = out.join(
+            packed.select(
+                *[F.col(c).alias(f"{side}_{c}") for c in key],
+                *[F.col("e")[c].alias(f"{side}_{n}") for n, c in fields.items()],
+            ),
+            [f"{side}_{c}" for c in key],
+        )
+    return out.select("same", *[f"{side}_{n}" for side in ("l", "r") for n in fields])
+
+
 def density_clusters(
     df: DataFrame,
     keys: list[str],
@@ -198,10 +210,8 @@ def density_clusters(
     to 0 at distance eps for joined rows, and is 0 for noise. Numbers follow vector order.
     """
     rows = df.select(*keys, vector)
-    points = dense_index(
-        rows.groupBy(vector).agg(F.count(F.lit(1)).alias("weight")), [vector], "pid"
-    )
-    points = checkpointed(points)
+    distinct = rows.groupBy(vector).agg(F.count(F.lit(1)).alias("weight"))
+    points = dense_index(distinct, [vector], "pid")
     total = points.count()
     if total == 0:
         return rows.select(
@@ -227,26 +237,18 @@ def density_clusters(
         )
     )
 
-    def gathered(table: DataFrame, extra: dict[str, str]) -> DataFrame:
-        entry = F.struct("pid", vector, *extra.values())
-        packed = table.groupBy(*bands, "block").agg(F.collect_list(entry).alias("e"))
-        names = {"ids": "pid", "vecs": vector, **extra}
-        return packed.select(
-            *bands,
-            "block",
-            *[F.col("e")[c].alias(n) for n, c in names.items()],
-        )
-
-    pairs = _block_pairs(gathered(placed, {"weights": "weight"}), cells, bands, ["weights"])
+    pairs = _block_pairs(placed, cells, bands)
+    arrays = {"ids": "pid", "vecs": vector}
     counts = (
-        pairs.mapInPandas(_count_kernel(eps), "pid long, n long")
+        _with_blocks(pairs, placed, bands, {**arrays, "weights": "weight"})
+        .mapInPandas(_count_kernel(eps), "pid long, n long")
         .groupBy("pid")
         .agg((F.sum("n") >= min_samples).alias("is_core"))
     )
     judged = checkpointed(placed.join(counts, "pid"))
-    pairs = _block_pairs(gathered(judged, {"core": "is_core"}), cells, bands, ["core"])
+    met = _with_blocks(pairs, judged, bands, {**arrays, "core": "is_core"})
     links = checkpointed(
-        pairs.mapInPandas(_link_kernel(eps), "kind string, a long, b long, distance double")
+        met.mapInPandas(_link_kernel(eps), "kind string, a long, b long, distance double")
     )
     roots = connected_components(links.where("kind = 'edge'").select("a", "b"))
 

@@ -177,33 +177,33 @@ def knn(
 
 
 def _knn_by_blocks(slim, wanted, keys, vector, k, schema) -> DataFrame:
-    """Every query block is sent to every corpus block by equi-join on the block number."""
+    """Query blocks meet corpus blocks by equi-join on a cell.
+
+    A corpus block lies in one cell; a query block goes to every cell, so it is copied once
+    per shuffle partition however large the corpus is.
+    """
 
     def blocks_of(df: DataFrame) -> int:
         return max(1, -(-df.count() // BLOCK_ROWS))
 
     n_corpus, n_query = blocks_of(slim), blocks_of(wanted)
+    n_cells = min(n_corpus, int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def blocked(df: DataFrame, id_columns: list[str], vec: str, n: int, prefix: str) -> DataFrame:
-        ident = F.struct(*id_columns) if len(id_columns) > 1 or prefix == "c" else F.col(id_columns[0])
-        entry = F.struct(ident.alias("id"), F.col(vec).alias("vec"))
+    def blocked(df: DataFrame, ident: Column, vec: str, n: int, prefix: str) -> DataFrame:
         return (
-            df.withColumn("__block", F.pmod(F.xxhash64(*id_columns), F.lit(n)).cast("int"))
+            df.withColumn("__block", F.pmod(F.xxhash64(ident), F.lit(n)).cast("int"))
             .groupBy("__block")
-            .agg(F.collect_list(entry).alias("__entries"))
-            .select(
-                "__block",
-                F.transform("__entries", lambda e: e["id"]).alias(f"{prefix}_ids"),
-                F.transform("__entries", lambda e: e["vec"]).alias(f"{prefix}_vecs"),
-            )
+            .agg(F.collect_list(F.struct(ident.alias("id"), F.col(vec).alias("vec"))).alias("e"))
+            .select("__block", F.col("e.id").alias(f"{prefix}_ids"), F.col("e.vec").alias(f"{prefix}_vecs"))
         )
 
-    corpus_blocks = blocked(slim, keys, vector, n_corpus, "c")
-    query_blocks = blocked(wanted, ["query_id"], "v", n_query, "q").drop("__block")
+    corpus_blocks = blocked(slim, F.struct(*keys), vector, n_corpus, "c")
+    corpus_blocks = corpus_blocks.withColumn("__cell", F.col("__block") % n_cells)
+    query_blocks = blocked(wanted, F.col("query_id"), "v", n_query, "q")
     aimed = query_blocks.withColumn(
-        "__block", F.explode(F.sequence(F.lit(0), F.lit(n_corpus - 1)))
+        "__cell", F.explode(F.sequence(F.lit(0), F.lit(n_cells - 1)))
     )
-    met = aimed.join(corpus_blocks, "__block").select("q_ids", "q_vecs", "c_ids", "c_vecs")
+    met = aimed.join(corpus_blocks, "__cell").select("q_ids", "q_vecs", "c_ids", "c_vecs")
     return met.mapInPandas(_block_kernel(keys, k), schema)
 
 

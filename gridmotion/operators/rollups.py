@@ -242,17 +242,21 @@ def pool_vectors(
     One aggregate per position keeps a group at one row from the map side on. Members with
     a false mask do not count; a group without members pools to 0 (max: -1e9).
     """
-    kept = F.lit(True) if mask is None else F.coalesce(F.col(mask).cast("boolean"), F.lit(False))
+    kept = None if mask is None else F.coalesce(F.col(mask).cast("boolean"), F.lit(False))
+
+    def counted(value: Column) -> Column:
+        return value if kept is None else F.when(kept, value)
+
     columns = []
     for i in range(dim):
-        value = F.when(kept, F.get(F.col(vector), F.lit(i)).cast("double"))
+        value = counted(F.get(F.col(vector), F.lit(i)).cast("double"))
         if how == "max":
             columns.append(F.coalesce(F.max(value), F.lit(-1e9)))
         elif how in ("mean", "sum"):
             columns.append(F.coalesce(F.sum(value), F.lit(0.0)))
         else:
             raise ValueError(f"unknown pooling {how!r}")
-    members = F.greatest(F.count(F.when(kept, F.lit(1))), F.lit(1))
+    members = F.greatest(F.count(counted(F.lit(1))), F.lit(1))
     pooled = df.groupBy(*keys).agg(
         members.alias("__members"), *[c.alias(f"__p{i}") for i, c in enumerate(columns)]
     )

@@ -60,19 +60,32 @@ def with_week_from_name(df: DataFrame) -> DataFrame:
     return df.withColumn("week", F.coalesce(digits.cast("int"), failure))
 
 
-def files_without_rows(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
-    """Files under path that hold a header at most; rows is the table read from them.
+def file_inventory(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(file, has_rows) for every CSV file under path; a folder of part files counts as one.
 
-    A folder of part files counts as one file.
+    A file longer than any header line has rows, which the listing tells; only files
+    as short as a header are opened.
     """
+    header = sum(len(name.encode()) + 3 for name in schema.names) + 8
 
     def unit(column):
         part = F.regexp_extract(column, r"^(.*?)(/part-[^/]*)?$", 1)
         return F.regexp_replace(part, "^file:/+", "/").alias("file")
 
-    listed = spark.read.format("binaryFile").load(path).select(unit(F.col("path"))).distinct()
-    filled = rows.select(unit(F.col("_metadata.file_path"))).distinct()
-    return listed.join(filled, "file", "left_anti")
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    by_unit = listed.groupBy(unit(F.col("path"))).agg(
+        F.max("length").alias("longest"), F.collect_set("path").alias("paths")
+    )
+    short = by_unit.where(F.col("longest") <= header)
+    opened = [p for row in short.select("paths").collect() for p in row.paths]
+    inventory = by_unit.select("file", (F.col("longest") > header).alias("has_rows"))
+    if not opened:
+        return inventory
+    rows = read_typed_csv(spark, opened, schema).select(unit(F.col("_metadata.file_path")))
+    filled = rows.distinct().withColumn("filled", F.lit(True))
+    return inventory.join(filled, "file", "left").select(
+        "file", (F.col("has_rows") | F.coalesce("filled", F.lit(False))).alias("has_rows")
+    )
 
 
 def write_weekly(df: DataFrame, path: str, only_given_weeks: bool = False) -> None:

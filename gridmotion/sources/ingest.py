@@ -33,11 +33,11 @@ def read_weekly_csv(spark: SparkSession, pattern: str, schema: T.StructType) ->
     """All files of a glob in one scan, with week; no file, or an empty one, is an error."""
     if not files.path_exists(spark, pattern):
         raise FileNotFoundError(f"no files match {pattern}")
-    rows = files.read_typed_csv(spark, pattern, schema)
-    empty = [r.file for r in files.files_without_rows(spark, pattern, rows).limit(10).collect()]
-    if empty:
-        raise ValueError(f"files without rows: {empty}")
-    return files.with_week_from_name(rows)
+    empty = files.file_inventory(spark, pattern, schema).where("NOT has_rows").select("file")
+    found = [r.file for r in empty.limit(10).collect()]
+    if found:
+        raise ValueError(f"files without rows, e.g.: {found}")
+    return files.with_week_from_name(files.read_typed_csv(spark, pattern, schema))
 
 
 def read_test_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
