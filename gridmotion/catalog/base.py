@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+UNROUNDED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # One play is 264 consecutive events: 12 frames of 22 players; one game is 10 plays.
@@ -123,6 +124,7 @@ def query(name: str, sql: str | None = None, ctes: tuple[str, ...] = ()):
     """Register a query; sql may use the tables tracking, labels and those named in ctes."""
 
     def register(fn):
+        UNROUNDED[name] = fn
         QUERIES[name] = lambda spark, sf_dir: tidy(fn(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = with_ctes(["base", "tracking", "labels", *ctes], sql)

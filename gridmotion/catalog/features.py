@@ -498,8 +498,23 @@ _PLAY_NAMES = [f"{v}_{s}" for v in X.MEAN_NAMES + X.SHAPE_NAMES for s in ("Offen
 
 @query("plays_table", f"SELECT game_id, play_id, {same(*_PLAY_NAMES)} FROM plays", X.PLAYS)
 def plays(spark, sf):
-    rows = tracking(spark, sf)
-    return P.plays_table(N.rightward(rows), P.teamframe_table(rows))
+    return P.plays_from_tracking(tracking(spark, sf))
+
+
+@query("plays_table_from_tables", f"SELECT game_id, play_id, {same(*_PLAY_NAMES)} FROM plays", X.PLAYS)
+def _(spark, sf):
+    players, teamframe, _ = P.feature_tables(tracking(spark, sf))
+    return P.plays_table(players, teamframe)
+
+
+@query(
+    "side_shapes",
+    f"""SELECT {', '.join(SIDE_FRAME_KEYS)}, {same("formation_width", "formation_depth",
+      "formation_x_mean", "formation_y_mean")} FROM shape""",
+    ("norm", "shape"),
+)
+def _(spark, sf):
+    return spatial.side_shapes(N.rightward(tracking(spark, sf)), x="x_norm", y="y_norm")
 
 
 @query(

@@ -212,14 +212,14 @@ _VECTORS = """SELECT game_id, play_id, player_side, list_resize(flatten(list([x_
   ORDER BY y_norm, x_norm)), 22, 0e0) AS v FROM (SELECT *, row_number() OVER (
     PARTITION BY game_id, play_id, player_side ORDER BY y_norm, x_norm) AS rn FROM first_rows)
   WHERE rn <= 11 GROUP BY ALL"""
-_FORMATIONS = _cluster_sql(_VECTORS, "game_id, play_id, player_side", 115.0, 3, 4)
+_FORMATIONS = _cluster_sql(_VECTORS, "game_id, play_id, player_side", 88.0, 3, 4)
 _FIRST = ("norm", "first_rows")
 
 
 def _formation_clusters(spark, sf):
     vectors = formation_vectors(rightward(tracking(spark, sf)), None)
     return density.density_clusters(
-        vectors, SIDE_KEYS, eps=115.0, min_samples=3, min_cluster_size=4
+        vectors, SIDE_KEYS, eps=88.0, min_samples=3, min_cluster_size=4
     )
 
 
@@ -233,14 +233,14 @@ def _(spark, sf):
     _cluster_sql(
         "SELECT CAST(vec_id AS BIGINT) AS vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
         "vec_id",
-        0.9,
+        1.141,
         4,
         5,
     ),
 )
 def _(spark, sf):
     rows = table(spark, sf, "embeddings").withColumn("vec_id", F.col("vec_id").cast("bigint"))
-    return density.density_clusters(rows, ["vec_id"], "embedding", 0.9, 4, 5)
+    return density.density_clusters(rows, ["vec_id"], "embedding", 1.141, 4, 5)
 
 
 @query(

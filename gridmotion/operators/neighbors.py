@@ -17,6 +17,7 @@ from gridmotion.schemas import SIDE_KEYS
 # Query values (rows x dimensions) that may travel to every task: 16 MB of doubles.
 MAX_SHIPPED_VALUES = 2_000_000
 BLOCK_ROWS = 1024
+CHUNK_VALUES = 4_000_000  # distances held at a time in a task
 
 
 def distance_to(vector: str, point: list[float]) -> Column:
@@ -62,31 +63,37 @@ def nearest_by_index(
 # ------------------------------------------------------------- many queries at once
 
 
-def _distances(queries: np.ndarray, rows: np.ndarray, chunk: int = 64) -> Iterator[tuple]:
-    """(first query, distance block); differences are taken directly, so copies are at 0."""
-    for start in range(0, len(queries), chunk):
-        part = queries[start : start + chunk]
-        diff = part[:, None, :] - rows[None, :, :]
-        yield start, np.sqrt(np.einsum("qnd,qnd->qn", diff, diff))
+def _top_k(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple:
+    """(query position, row position, distance) of each query's k nearest rows.
 
-
-def _closest(block: np.ndarray, keys: list[np.ndarray], k: int) -> list[np.ndarray]:
-    """Per query, positions of the k smallest distances, ties by key."""
-    out = []
-    for line in block:
-        if len(line) > k:
-            bound = np.partition(line, k - 1)[k - 1]
-            candidates = np.flatnonzero(line <= bound)
+    A matrix product finds candidates, with room for its rounding error; their distances
+    are then taken from differences, so copies are at 0. Ties go to the lower row position.
+    """
+    step = max(1, CHUNK_VALUES // max(len(rows), 1))
+    row_norms = np.einsum("nd,nd->n", rows, rows)
+    found = []
+    for start in range(0, len(queries), step):
+        part = queries[start : start + step]
+        norms = np.einsum("qd,qd->q", part, part)
+        rough = norms[:, None] + row_norms[None, :] - 2.0 * (part @ rows.T)
+        if len(rows) > k:
+            limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
+            room = 8 * (rows.shape[1] + 4) * np.finfo(float).eps * (norms + row_norms.max())
+            q_at, r_at = np.nonzero(rough <= (limit + room)[:, None])
         else:
-            candidates = np.arange(len(line))
-        order = np.lexsort([*[key[candidates] for key in reversed(keys)], line[candidates]])
-        out.append(candidates[order[:k]])
-    return out
+            q_at, r_at = (a.ravel() for a in np.indices(rough.shape))
+        diff = part[q_at] - rows[r_at]
+        distance = np.sqrt(np.einsum("nd,nd->n", diff, diff))
+        order = np.lexsort((r_at, distance, q_at))
+        q_at, r_at, distance = q_at[order], r_at[order], distance[order]
+        firsts = np.searchsorted(q_at, np.arange(len(part)))
+        keep = np.arange(len(q_at)) - firsts[q_at] < k
+        found.append((q_at[keep] + start, r_at[keep], distance[keep]))
+    return tuple(np.concatenate(column) for column in zip(*found))
 
 
-def _sortable(column: pd.Series) -> np.ndarray:
-    values = column.to_numpy()
-    return values.astype(str) if values.dtype == object else values
+def _matrix(vectors) -> np.ndarray:
+    return np.stack(vectors).astype(np.float64)
 
 
 def _scan_kernel(query_ids, query_matrix, keys: list[str], vector: str, k: int):
@@ -97,23 +104,16 @@ def _scan_kernel(query_ids, query_matrix, keys: list[str], vector: str, k: int):
         for batch in batches:
             if batch.empty:
                 continue
-            rows = np.stack(batch[vector].to_numpy()).astype(np.float64)
-            sortable = [_sortable(batch[c]) for c in keys]
-            found = []
-            for start, block in _distances(query_matrix, rows):
-                for offset, chosen in enumerate(_closest(block, sortable, k)):
-                    part = batch.iloc[chosen][keys].copy()
-                    part.insert(0, "query_id", query_ids[start + offset])
-                    part["distance"] = block[offset, chosen]
-                    found.append(part)
-            fresh = pd.concat(found, ignore_index=True)
-            best = fresh if best is None else pd.concat([best, fresh], ignore_index=True)
-            best = (
-                best.sort_values(["query_id", "distance", *keys], kind="stable")
-                .groupby("query_id", sort=False)
-                .head(k)
-            )
+            batch = batch.sort_values(keys)
+            q_at, r_at, distance = _top_k(query_matrix, _matrix(batch[vector].to_numpy()), k)
+            fresh = batch[keys].iloc[r_at].assign(__q=q_at, distance=distance)
+            if best is not None:
+                fresh = pd.concat([best, fresh]).sort_values(["__q", "distance", *keys])
+                fresh = fresh.groupby("__q", sort=False).head(k)
+            best = fresh
         if best is not None:
+            ids = [query_ids[i] for i in best.pop("__q")]
+            best.insert(0, "query_id", ids)
             yield best
 
     return run
@@ -125,18 +125,15 @@ def _block_kernel(keys: list[str], k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for q_ids, q_vecs, c_keys, c_vecs in batch.itertuples(index=False, name=None):
-                queries = np.stack(q_vecs).astype(np.float64)
-                rows = np.stack(c_vecs).astype(np.float64)
                 table = pd.DataFrame(list(c_keys), columns=keys)
-                sortable = [_sortable(table[c]) for c in keys]
-                for start, block in _distances(queries, rows):
-                    parts = []
-                    for offset, chosen in enumerate(_closest(block, sortable, k)):
-                        part = table.iloc[chosen].copy()
-                        part.insert(0, "query_id", q_ids[start + offset])
-                        part["distance"] = block[offset, chosen]
-                        parts.append(part)
-                    yield pd.concat(parts, ignore_index=True)
+                table["__vec"] = list(c_vecs)
+                table = table.sort_values(keys)
+                q_at, r_at, distance = _top_k(
+                    _matrix(q_vecs), _matrix(table["__vec"].to_numpy()), k
+                )
+                out = table[keys].iloc[r_at].assign(distance=distance)
+                out.insert(0, "query_id", [q_ids[i] for i in q_at])
+                yield out
 
     return run
 

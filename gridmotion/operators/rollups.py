@@ -44,33 +44,46 @@ LAST_FRAME_MEANS = {
 }
 
 
-def last_frame_means(players: DataFrame) -> DataFrame:
-    """Mean speed, acceleration and position of each side in its last frame.
-
-    Two map-side combined aggregations; no row is shuffled before it is averaged.
-    """
-    per_frame = players.groupBy(*SIDE_FRAME_KEYS).agg(
+def _per_frame_means(players: DataFrame) -> DataFrame:
+    """Means per side and frame; combined on the map side before any shuffle."""
+    return players.groupBy(*SIDE_FRAME_KEYS).agg(
         *[F.avg(src).alias(dst) for dst, src in LAST_FRAME_MEANS.items()]
     )
-    last = F.max_by(F.struct(*LAST_FRAME_MEANS), F.col("frame_id"))
-    return (
-        per_frame.groupBy(*SIDE_KEYS)
-        .agg(last.alias("last"))
-        .select(*SIDE_KEYS, *[F.col(f"last.{c}").alias(c) for c in LAST_FRAME_MEANS])
+
+
+def last_frame_means(players: DataFrame) -> DataFrame:
+    """Mean speed, acceleration and position of each side in its last frame."""
+    return _per_frame_means(players.dropna(subset=SIDE_KEYS)).groupBy(*SIDE_KEYS).agg(
+        *[F.max_by(c, "frame_id").alias(c) for c in LAST_FRAME_MEANS]
     )
 
 
-def last_team_shape(teamframe: DataFrame) -> DataFrame:
-    """Formation width and depth of each side in its last frame."""
-    shape = ["formation_width", "formation_depth"]
-    last = F.max_by(F.struct(*shape), F.col("frame_id"))
-    return (
-        teamframe.groupBy(*SIDE_KEYS)
-        .agg(last.alias("last"))
-        .select(*SIDE_KEYS, *[F.col(f"last.{c}").alias(c) for c in shape])
+def last_by_side(
+    per_frame: DataFrame, values: list[str], sides: tuple[str, ...] = SIDES
+) -> DataFrame:
+    """Per play, the values of each side's last frame as columns {value}_{side}.
+
+    Expects one row per side and frame; picks and spreads in one aggregation.
+    """
+    return per_frame.groupBy(*PLAY_KEYS).agg(
+        *[
+            F.max_by(v, F.when(F.col("player_side") == s, F.col("frame_id"))).alias(f"{v}_{s}")
+            for v in values
+            for s in sides
+        ]
     )
 
 
+def last_motion_by_side(players: DataFrame, sides: tuple[str, ...] = SIDES) -> DataFrame:
+    means = _per_frame_means(players.dropna(subset=SIDE_KEYS))
+    return last_by_side(means, list(LAST_FRAME_MEANS), sides)
+
+
+def last_shape_by_side(teamframe: DataFrame, sides: tuple[str, ...] = SIDES) -> DataFrame:
+    known = teamframe.dropna(subset=SIDE_KEYS)
+    return last_by_side(known, ["formation_width", "formation_depth"], sides)
+
+
 def pivot_sides(
     df: DataFrame,
     values: list[str],
@@ -94,26 +107,15 @@ def pivot_sides(
 
 
 def frames_at_edge(df: DataFrame, which: str, keys: list[str] = SIDE_KEYS) -> DataFrame:
+    """Rows of each side's first or last frame."""
     return edge_frame_rows(df, keys, "frame_id", which)
 
 
 def last_k_frames(
     df: DataFrame, k: int, keys: list[str] = SIDE_KEYS, frame: str = "frame_id"
 ) -> DataFrame:
-    """Rows whose frame is among the last k ticks of their side.
-
-    dense_rank cuts to k distinct frames before the shuffle, the tick test then settles gaps.
-    """
-    newest = Window.partitionBy(*keys).orderBy(F.desc(frame))
-    known = df.dropna(subset=[*keys, frame])
-    recent = known.withColumn("__rank", F.dense_rank().over(newest)).where(F.col("__rank") <= k)
-    last = recent.groupBy(*keys).agg(F.max(frame).alias("__last"))
-    return (
-        recent.drop("__rank")
-        .join(last, keys)
-        .where(F.col(frame) >= F.col("__last") - (k - 1))
-        .drop("__last")
-    )
+    """Rows whose frame is among the last k ticks of their side."""
+    return edge_frame_rows(df, keys, frame, "last", ticks=k)
 
 
 def formation_targets(

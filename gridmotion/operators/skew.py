@@ -150,14 +150,39 @@ def latest_rows(
     return df.withColumn("__rn", F.row_number().over(window)).where(F.col("__rn") <= n).drop("__rn")
 
 
-def edge_frame_rows(df: DataFrame, keys: list[str], frame: str, which: str) -> DataFrame:
-    """Rows of each group's first or last frame; other frames are cut before the shuffle."""
+CROWDED_FRAME_ROWS = 1_000_000
+
+
+def edge_frame_rows(
+    df: DataFrame,
+    keys: list[str],
+    frame: str,
+    which: str,
+    ticks: int = 1,
+    crowd: int = CROWDED_FRAME_ROWS,
+) -> DataFrame:
+    """Rows whose frame is among the first or last `ticks` ticks of their group.
+
+    Ranking cuts each map task's rows to that many distinct frames before the shuffle; the
+    tick test then settles gaps. When a single frame is beyond `crowd` rows, the edge tick is
+    aggregated first and joined, and AQE splits the crowded frame over tasks.
+    """
     if which not in ("first", "last"):
         raise ValueError(f"frame policy must be 'first' or 'last', got {which!r}")
-    order = F.asc(frame) if which == "first" else F.desc(frame)
+    first = which == "first"
     known = df.dropna(subset=[*keys, frame])
-    ranked = known.withColumn("__rank", F.rank().over(Window.partitionBy(*keys).orderBy(order)))
-    return ranked.where(F.col("__rank") == 1).drop("__rank")
+    edge = (F.min if first else F.max)(frame)
+    if split_large_groups(known, [*keys, frame], crowd)[1] is not None:
+        edges = known.groupBy(*keys).agg(edge.alias("__edge"))
+        near = known.join(edges, keys)
+    else:
+        group = Window.partitionBy(*keys)
+        ranked = group.orderBy(F.asc(frame) if first else F.desc(frame))
+        near = known.withColumn("__rank", F.dense_rank().over(ranked))
+        near = near.where(F.col("__rank") <= ticks).drop("__rank")
+        near = near.withColumn("__edge", edge.over(group))
+    distance = F.col(frame) - F.col("__edge")
+    return near.where(F.abs(distance) < ticks).drop("__edge")
 
 
 def dense_index(df: DataFrame, order: list[str], name: str = "idx") -> DataFrame:

@@ -68,10 +68,23 @@ def _shape_by_window(df: DataFrame, keys: list[str], x: str, y: str) -> DataFram
 
 
 def _shape_by_join(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    shape = df.groupBy(*keys).agg(*[v.alias(n) for n, v in _shape_values(x, y).items()])
+    shape = side_shapes(df, keys[:-1], keys[-1], x, y)
     return _relative_to_shape(df.join(shape, keys, "left"), x, y)
 
 
+def side_shapes(
+    df: DataFrame,
+    frame_keys: list[str] = FRAME_KEYS,
+    side: str = "player_side",
+    x: str = "x",
+    y: str = "y",
+) -> DataFrame:
+    """Width, depth and centre per side and frame."""
+    return df.groupBy(*frame_keys, side).agg(
+        *[v.alias(n) for n, v in _shape_values(x, y).items()]
+    )
+
+
 def formation_features(
     df: DataFrame,
     frame_keys: list[str] = FRAME_KEYS,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridmotion.operators import joins, rollups
 from gridmotion.operators.normalize import player_scalars, present_columns, rightward
 from gridmotion.operators.skew import dense_index
-from gridmotion.operators.spatial import shape_and_coverage
+from gridmotion.operators.spatial import shape_and_coverage, side_shapes
 from gridmotion.operators.temporal import prior_features, temporal_features
 from gridmotion.schemas import (
     FRAME_KEYS,
@@ -26,11 +26,13 @@ COVERAGE_RADII = (3.0, 5.0, 7.0)
 def players_table(tracking: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per player and frame; one shuffle, by player timeline.
 
-    keep names further input columns to carry along.
+    The scalars come after the time features, so their columns are never shuffled. keep
+    names further input columns to carry along.
     """
-    rows = player_scalars(rightward(tracking))
-    timed = temporal_features(rows, (3, 5), direction="dir_norm", x="x_norm", y="y_norm")
-    return present_columns(timed, [*PLAYER_COLUMNS, *keep])
+    timed = temporal_features(
+        rightward(tracking), (3, 5), direction="dir_norm", x="x_norm", y="y_norm"
+    )
+    return present_columns(player_scalars(timed), [*PLAYER_COLUMNS, *keep])
 
 
 def teamframe_table(tracking: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -48,20 +50,27 @@ def teamframe_table(tracking: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 
 
 def plays_table(players: DataFrame, teamframe: DataFrame, sides: tuple[str, ...] = SIDES) -> DataFrame:
-    """One row per play: each side's motion and shape in its last frame."""
-    motion = rollups.pivot_sides(
-        rollups.last_frame_means(players), list(rollups.LAST_FRAME_MEANS), sides=sides
-    )
-    shape = rollups.pivot_sides(
-        rollups.last_team_shape(teamframe), ["formation_width", "formation_depth"], sides=sides
+    """One row per play: each side's motion and shape in its last frame.
+
+    Of teamframe only the formation width and depth are used.
+    """
+    return joins.full_join_plays(
+        rollups.last_motion_by_side(players, sides), rollups.last_shape_by_side(teamframe, sides)
     )
-    return joins.full_join_plays(motion, shape)
 
 
 def feature_tables(tracking: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """players, teamframe and plays as lazy tables over the whole input."""
-    players, teamframe = players_table(tracking), teamframe_table(tracking)
-    return players, teamframe, plays_table(players, teamframe)
+    """players, teamframe and plays as lazy tables over the whole input.
+
+    plays needs only the sides' motion and shape, so it does not wait for the other two.
+    """
+    return players_table(tracking), teamframe_table(tracking), plays_from_tracking(tracking)
+
+
+def plays_from_tracking(tracking: DataFrame) -> DataFrame:
+    """The play table straight from tracking rows: aggregations only."""
+    rows = rightward(tracking)
+    return plays_table(rows, side_shapes(rows, x="x_norm", y="y_norm"))
 
 
 def t0_training_table(tracking: DataFrame, labels: DataFrame) -> DataFrame:

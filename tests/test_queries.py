@@ -22,8 +22,8 @@ def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-# Only one game exists at this size, so two-week checks may come out empty here.
-MAY_BE_EMPTY = {"weekly_parquet", "files_without_rows", "week_mismatch"}
+# Too little data at this size for these to find anything.
+MAY_BE_EMPTY = {"cluster_examples", "week_mismatch"}
 
 
 @pytest.mark.parametrize("name", sorted(set(contract.queries()) - SLOW))

@@ -123,3 +123,19 @@ def test_latest_and_edge_rows(spark):
     assert [r.frame_id for r in edge_frame_rows(df, keys, "frame_id", "first").collect()] == [1]
     with pytest.raises(ValueError):
         edge_frame_rows(df, keys, "frame_id", "middle")
+
+
+@pytest.mark.parametrize("which", ["first", "last"])
+@pytest.mark.parametrize("ticks", [1, 3])
+def test_edge_frames_agree_between_routes(spark, which, ticks):
+    rows = [(1, 1, p, f, 0.0, 0.0, 0.0, float(i), 0.0) for p in (1, 2) for f in (1, 2, 5, 6) for i in range(4)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    keys = ["game_id", "play_id", "nfl_id"]
+
+    def result(crowd):
+        out = edge_frame_rows(df, keys, "frame_id", which, ticks, crowd).collect()
+        return sorted((r.nfl_id, r.frame_id, r.x) for r in out)
+
+    kept = {("first", 1): {1}, ("last", 1): {6}, ("first", 3): {1, 2}, ("last", 3): {5, 6}}
+    assert result(10**6) == result(3)
+    assert {f for _, f, _ in result(3)} == kept[(which, ticks)]
