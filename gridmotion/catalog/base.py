@@ -108,13 +108,15 @@ def r6(col: Column) -> Column:
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Round doubles and widen integers, for comparison between engines."""
+    """Round doubles, widen integers and spell dates out, for comparison between engines."""
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out.append(r6(F.col(f.name).cast("double")).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType)):
             out.append(F.col(f.name).cast("bigint").alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            out.append(F.col(f.name).cast("string").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)

@@ -24,7 +24,11 @@ from gridmotion.session import scratch_path
 from gridmotion.sources import files, ingest
 
 _DOUBLES = ["x", "y", "s", "a", "dir", "o", "ball_land_x", "ball_land_y"]
-_OTHERS = [f.name for f in TRACKING_SCHEMA if f.name not in _DOUBLES]
+_OTHERS = [
+    "CAST(player_birth_date AS VARCHAR) AS player_birth_date" if n == "player_birth_date" else n
+    for n in TRACKING_SCHEMA.names
+    if n not in _DOUBLES
+]
 _TRACKING_SQL = f"SELECT {', '.join(_OTHERS)}, {same(*_DOUBLES)} FROM tracking"
 _LABEL_SQL = f"SELECT {K4}, {same('x', 'y')} FROM labels"
 

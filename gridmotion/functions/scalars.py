@@ -19,6 +19,10 @@ from gridmotion.schemas import (
 
 NAN = float("nan")
 
+# Days per year in ages, and the pounds-and-inches factor of the body mass index.
+DAYS_PER_YEAR = 365.25
+BMI_FACTOR = 703.0
+
 
 def _nan() -> Column:
     return F.lit(NAN)
@@ -32,7 +36,7 @@ def any_null(*cols: Column) -> Column:
 
 
 def height_to_inches(height: Column) -> Column:
-    """'6-1' -> 73.0; malformed text -> NaN."""
+    """Feet-inches text in inches, 73.0 for '6-1'; text of any other form is NaN."""
     parts = F.split(height, "-", -1)
     inches = F.get(parts, 0).try_cast("bigint") * 12 + F.get(parts, 1).try_cast("bigint")
     parsed = F.when(F.size(parts) == 2, inches.cast("double"))
@@ -40,14 +44,14 @@ def height_to_inches(height: Column) -> Column:
 
 
 def age_years(birth_date: Column, ref: str = AGE_REFERENCE_DATE) -> Column:
-    return F.datediff(F.lit(ref).cast("date"), birth_date) / F.lit(365.25)
+    return F.datediff(F.lit(ref).cast("date"), birth_date) / F.lit(DAYS_PER_YEAR)
 
 
 def bmi(weight_lb: Column, height_in: Column) -> Column:
     """NaN when weight is missing or zero, or height is missing or not positive."""
     unusable = any_null(weight_lb, height_in) | (weight_lb == 0) | (height_in <= 0)
     return F.when(unusable, _nan()).otherwise(
-        weight_lb.cast("double") * 703.0 / (height_in * height_in)
+        weight_lb.cast("double") * BMI_FACTOR / (height_in * height_in)
     )
 
 

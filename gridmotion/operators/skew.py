@@ -42,9 +42,11 @@ def split_large_groups(
     condition = present[0]
     for term in present[1:]:
         condition = condition & term
-    large = df.where(condition).groupBy(*keys).agg(*stats).where(F.col(GROUP_ROWS) > limit)
-    if large.isEmpty():
+    sizes = df.where(condition).groupBy(*keys).agg(*stats)
+    largest = sizes.agg(F.max(GROUP_ROWS)).first()[0]
+    if largest is None or largest <= limit:
         return df, None
+    large = sizes.where(F.col(GROUP_ROWS) > limit)
     return df.join(large.select(*keys), keys, "left_anti"), df.join(large, keys)
 
 

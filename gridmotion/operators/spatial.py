@@ -420,12 +420,18 @@ def team_opponent_means(
     )
 
 
+# Contact distance, weight of the targeted receiver, cost of one contact.
+CONTACT_DISTANCE = 2.0
+RECEIVER_WEIGHT = 50.0
+CONTACT_COST = 100.0
+
+
 def play_state_score(
     df: DataFrame,
     frame_keys: list[str] = FRAME_KEYS,
-    contact: float = 2.0,
-    receiver_weight: float = 50.0,
-    contact_cost: float = 100.0,
+    contact: float = CONTACT_DISTANCE,
+    receiver_weight: float = RECEIVER_WEIGHT,
+    contact_cost: float = CONTACT_COST,
 ) -> DataFrame:
     """Score per frame: the offence near the landing point raises it, defenders in contact lower it."""
     offence = F.coalesce(F.col("player_side") == OFFENSE, F.lit(False))

@@ -17,6 +17,7 @@ TICK_SECONDS = 0.1
 AGE_REFERENCE_DATE = "2023-09-01"
 TEST_WEEK = -1
 
+# Names as they stand in the data.
 OFFENSE = "Offense"
 DEFENSE = "Defense"
 SIDES = (OFFENSE, DEFENSE)
@@ -36,6 +37,7 @@ def _schema(fields: list[tuple[str, T.DataType]]) -> T.StructType:
 
 _LONG, _INT, _DOUBLE, _TEXT = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 
+# Columns and types of the raw tracking and label files.
 TRACKING_SCHEMA = _schema(
     [
         ("game_id", _LONG),
@@ -75,6 +77,7 @@ LABEL_SCHEMA = _schema(
     ]
 )
 
+# Columns of the feature tables, in table order.
 TEMPORAL_COLUMNS = [
     "speed_rolling_mean_3",
     "speed_rolling_std_3",
@@ -141,6 +144,7 @@ TEAMFRAME_FEATURES = [
     "tm_within_7yds_sum",
 ]
 
+# Feature lists of the sequence, raw-sequence and throw-time models.
 SEQUENCE_BASE_FEATURES = [
     "x_norm",
     "y_norm",

@@ -63,8 +63,8 @@ def with_week_from_name(df: DataFrame) -> DataFrame:
 def file_inventory(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """(file, has_rows) for every CSV file under path; a folder of part files counts as one.
 
-    A file longer than any header line has rows, which the listing tells; only files
-    as short as a header are opened.
+    A file longer than any header line has rows, which the listing tells; the size filter
+    on the scan opens only files as short as a header.
     """
     header = sum(len(name.encode()) + 3 for name in schema.names) + 8
 
@@ -73,18 +73,12 @@ def file_inventory(spark: SparkSession, path: str, schema: T.StructType) -> Data
         return F.regexp_replace(part, "^file:/+", "/").alias("file")
 
     listed = spark.read.format("binaryFile").load(path).select("path", "length")
-    by_unit = listed.groupBy(unit(F.col("path"))).agg(
-        F.max("length").alias("longest"), F.collect_set("path").alias("paths")
-    )
-    short = by_unit.where(F.col("longest") <= header)
-    opened = [p for row in short.select("paths").collect() for p in row.paths]
-    inventory = by_unit.select("file", (F.col("longest") > header).alias("has_rows"))
-    if not opened:
-        return inventory
-    rows = read_typed_csv(spark, opened, schema).select(unit(F.col("_metadata.file_path")))
-    filled = rows.distinct().withColumn("filled", F.lit(True))
-    return inventory.join(filled, "file", "left").select(
-        "file", (F.col("has_rows") | F.coalesce("filled", F.lit(False))).alias("has_rows")
+    units = listed.groupBy(unit(F.col("path"))).agg(F.max("length").alias("longest"))
+    short = read_typed_csv(spark, path, schema).where(F.col("_metadata.file_size") <= header)
+    filled = short.select(unit(F.col("_metadata.file_path"))).distinct()
+    return units.join(filled.withColumn("filled", F.lit(True)), "file", "left").select(
+        "file",
+        ((F.col("longest") > header) | F.coalesce("filled", F.lit(False))).alias("has_rows"),
     )
 
 

@@ -53,6 +53,10 @@ def test_missing_empty_and_unnamed_files(spark, tmp_path):
     (tmp_path / "output_2023_w02.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n")
     with pytest.raises(ValueError, match="output_2023_w02"):
         ingest.read_weekly_csv(spark, f"{tmp_path}/{ingest.OUTPUT_PATTERN}", LABEL_SCHEMA)
+    (tmp_path / "output_2023_w03.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n" + "oops" * 99)
+    inventory = files.file_inventory(spark, f"{tmp_path}/{ingest.OUTPUT_PATTERN}", LABEL_SCHEMA)
+    found = {r.file[-7:-4]: r.has_rows for r in inventory.collect()}  # never opens the long file
+    assert found == {"w01": True, "w02": False, "w03": True}
     (tmp_path / "other.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n1,1,1,1,1.0,2.0\n")
     unnamed = files.with_week_from_name(files.read_typed_csv(spark, f"{tmp_path}/other.csv", LABEL_SCHEMA))
     with pytest.raises(Exception, match="no week in file name"):
