@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gridmotion.session import checkpointed
 
 GROUP_ROWS = "__group_rows"
+MAX_TIMELINE_ROWS = 1_000_000  # a window over more rows is cut into segments
 _SEGMENT, _HALO = "__segment", "__halo"
 _LOW, _HIGH = "__low", "__high"
 
@@ -57,7 +58,7 @@ def over_timelines(
     lookback: int,
     compute: Callable[[DataFrame, WindowSpec], DataFrame],
     running: dict[str, Column] | None = None,
-    max_rows: int = 100_000,
+    max_rows: int = MAX_TIMELINE_ROWS,
 ) -> DataFrame:
     """Apply look-back window logic per timeline.
 

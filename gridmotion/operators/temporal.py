@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from gridmotion.functions import scalars as S
-from gridmotion.operators.skew import over_timelines
+from gridmotion.operators.skew import MAX_TIMELINE_ROWS, over_timelines
 from gridmotion.schemas import TIMELINE_KEYS
 
 
@@ -26,7 +26,7 @@ def temporal_features(
     direction: str = "dir",
     x: str = "x",
     y: str = "y",
-    max_rows: int = 100_000,
+    max_rows: int = MAX_TIMELINE_ROWS,
 ) -> DataFrame:
     """Rolling mean/deviation of speed and acceleration, turn rate, steps, path length."""
 
@@ -62,7 +62,7 @@ def prior_features(
     order: tuple[str, ...] = ("frame_id",),
     x: str = "x",
     y: str = "y",
-    max_rows: int = 100_000,
+    max_rows: int = MAX_TIMELINE_ROWS,
 ) -> DataFrame:
     """Add x_prior1..n and y_prior1..n; rows without a full history are left out."""
 
