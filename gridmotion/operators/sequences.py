@@ -16,7 +16,6 @@ from gridmotion.operators.skew import edge_frame_rows
 from gridmotion.schemas import SIDE_FRAME_KEYS, SIDE_KEYS, TIMELINE_KEYS, require_columns
 
 TARGET_NAMES = ["width_x", "width_y", "center_x", "center_y", "mean_dist_to_center"]
-SET_FEATURES = ["x_norm", "y_norm", "s", "a", "dir_sin", "dir_cos", "o_sin", "o_cos"]
 
 
 def _padding(width: int, missing: Column) -> Column:
