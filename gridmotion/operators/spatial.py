@@ -238,9 +238,14 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
     return pc.fill_null(codes, -1).to_numpy(zero_copy_only=False)
 
 
-def _nearest(distance: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _nearest(
+    distance: np.ndarray, usable: np.ndarray, with_nan: bool
+) -> tuple[np.ndarray, np.ndarray]:
     """Smallest usable distance per row (NaN only when all are NaN), and where there is none."""
-    smallest = np.fmin.reduce(np.where(usable, distance, np.inf), axis=2)
+    candidates = np.where(usable, distance, np.inf)
+    if not with_nan:
+        return candidates.min(axis=2), ~usable.any(axis=2)
+    smallest = np.fmin.reduce(candidates, axis=2)
     only_nan = np.isinf(smallest) & (usable & np.isnan(distance)).any(axis=2)
     return np.where(only_nan, np.nan, smallest), ~usable.any(axis=2)
 
@@ -253,6 +258,9 @@ def _frame_coverage(table: pa.Table, frame_keys, side, pid, x, y, radii) -> pa.T
         table.column(x).is_null().to_numpy() | table.column(y).is_null().to_numpy()
     )
     ids, sides = _codes(table.column(pid)), _codes(table.column(side))
+    # Usual data has no gaps; the masks for missing values are then left out.
+    all_placed, all_known, all_sided = placed.all(), (ids >= 0).all(), (sides >= 0).all()
+    with_nan = not (np.isfinite(xs).all() and np.isfinite(ys).all())
     names = coverage_columns(radii)
     values = {name: np.zeros(table.num_rows) for name in names}
     absent = {name: np.ones(table.num_rows, dtype=bool) for name in names}
@@ -262,25 +270,29 @@ def _frame_coverage(table: pa.Table, frame_keys, side, pid, x, y, radii) -> pa.T
         def pairwise(test, values, at=at):
             return test(values[at][:, :, None], values[at][:, None, :])
 
-        distance = np.sqrt(
-            pairwise(np.subtract, xs) ** 2 + pairwise(np.subtract, ys) ** 2
-        )
-        both_placed = pairwise(np.logical_and, placed)
-        known = pairwise(np.logical_and, ids >= 0)
-        others = pairwise(np.not_equal, ids) & known
-        sided = others & pairwise(np.logical_and, sides >= 0)
+        dx, dy = pairwise(np.subtract, xs), pairwise(np.subtract, ys)
+        distance = np.sqrt(dx * dx + dy * dy)
+        others = pairwise(np.not_equal, ids)
+        if not all_known:
+            others &= pairwise(np.logical_and, ids >= 0)
         same = pairwise(np.equal, sides)
-        density = np.where(sided & ~same & both_placed, 1.0 / (1.0 + distance), 0.0).sum(axis=2)
-        values["coverage_density"][at] = density
+        mates, rivals = others & same, others & ~same
+        if not all_sided:
+            sided = pairwise(np.logical_and, sides >= 0)
+            mates, rivals = mates & sided, rivals & sided
+        both_placed = None if all_placed else pairwise(np.logical_and, placed)
         absent["coverage_density"][at] = ~others.any(axis=2)
-        for label, met in (("teammate", sided & same), ("opponent", sided & ~same)):
-            usable = met & both_placed
+        for label, met in (("teammate", mates), ("opponent", rivals)):
+            usable = met if both_placed is None else met & both_placed
+            if label == "opponent":
+                density = np.where(usable, 1.0 / (1.0 + distance), 0.0).sum(axis=2)
+                values["coverage_density"][at] = density
             nearest = f"distance_to_nearest_{label}"
-            values[nearest][at], absent[nearest][at] = _nearest(distance, usable)
+            values[nearest][at], absent[nearest][at] = _nearest(distance, usable, with_nan)
             alone = ~met.any(axis=2)
             for r in radii:
                 name = f"{label}s_within_{int(r)}yds"
-                values[name][at] = (usable & (distance < r)).sum(axis=2)
+                values[name][at] = np.count_nonzero(usable & (distance < r), axis=2)
                 absent[name][at] = alone
     for name in names:
         column = values[name].astype(np.int64) if "_within_" in name else values[name]
