@@ -238,16 +238,13 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
     return pc.fill_null(codes, -1).to_numpy(zero_copy_only=False)
 
 
-def _nearest(
-    distance: np.ndarray, usable: np.ndarray, with_nan: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest usable distance per row (NaN only when all are NaN), and where there is none."""
-    candidates = np.where(usable, distance, np.inf)
+def _nearest(candidates: np.ndarray, with_nan: bool) -> np.ndarray:
+    """Smallest distance per row; infinity stands for nobody, NaN counts only alone."""
     if not with_nan:
-        return candidates.min(axis=2), ~usable.any(axis=2)
+        return candidates.min(axis=2)
     smallest = np.fmin.reduce(candidates, axis=2)
-    only_nan = np.isinf(smallest) & (usable & np.isnan(distance)).any(axis=2)
-    return np.where(only_nan, np.nan, smallest), ~usable.any(axis=2)
+    only_nan = np.isinf(smallest) & np.isnan(candidates).any(axis=2)
+    return np.where(only_nan, np.nan, smallest)
 
 
 def _frame_coverage(table: pa.Table, frame_keys, side, pid, x, y, radii) -> pa.Table:
@@ -284,15 +281,16 @@ def _frame_coverage(table: pa.Table, frame_keys, side, pid, x, y, radii) -> pa.T
         absent["coverage_density"][at] = ~others.any(axis=2)
         for label, met in (("teammate", mates), ("opponent", rivals)):
             usable = met if both_placed is None else met & both_placed
+            candidates = np.where(usable, distance, np.inf)
             if label == "opponent":
-                density = np.where(usable, 1.0 / (1.0 + distance), 0.0).sum(axis=2)
-                values["coverage_density"][at] = density
-            nearest = f"distance_to_nearest_{label}"
-            values[nearest][at], absent[nearest][at] = _nearest(distance, usable, with_nan)
+                values["coverage_density"][at] = (1.0 / (1.0 + candidates)).sum(axis=2)
             alone = ~met.any(axis=2)
+            nearest = f"distance_to_nearest_{label}"
+            values[nearest][at] = _nearest(candidates, with_nan)
+            absent[nearest][at] = alone if usable is met else ~usable.any(axis=2)
             for r in radii:
                 name = f"{label}s_within_{int(r)}yds"
-                values[name][at] = np.count_nonzero(usable & (distance < r), axis=2)
+                values[name][at] = (candidates < r).sum(axis=2)
                 absent[name][at] = alone
     for name in names:
         column = values[name].astype(np.int64) if "_within_" in name else values[name]
