@@ -1,8 +1,8 @@
 """Token ids in shard files with a minimal perfect hash index for keyed access.
 
 Documents are written in ascending key order. A task writes shards of bounded size: the raw
-ids of its documents end to end as little-endian unsigned 32-bit numbers, and an index beside
-them. The index is a minimal perfect hash over the shard's keys (levels of bit arrays: a key
+ids of its documents end to end as little-endian unsigned numbers, of 16 bits where the
+vocabulary allows and of 32 bits otherwise, and an index beside them. The index is a minimal perfect hash over the shard's keys (levels of bit arrays: a key
 alone at its place in a level is settled there, the others go on to the next level), and holds
 at each slot a fingerprint of the key, the document's offset and its count of ids. A lookup
 costs a few bit tests and one slot read, whatever the shard's size.
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from gridmotion.llm.common import Encoder, fresh_folder, open_store, slices, store_folder, write_once
 
-SHARD_IDS = 16_000_000  # a shard is closed beyond so many ids, 64 MB
+SHARD_IDS = 16_000_000  # a shard is closed beyond so many ids, 32 or 64 MB
 END_ID = 0
 SLOT = np.dtype([("fingerprint", "<u4"), ("offset", "<u8"), ("count", "<u8")])
 KEY = np.dtype([("null", "u1"), ("key", "<i8"), ("copy", "<u4")])
@@ -82,7 +82,7 @@ class PerfectHash:
         return out
 
 
-def encode_index(keys: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> bytes:
+def encode_index(keys: np.ndarray, offsets: np.ndarray, counts: np.ndarray, width: int) -> bytes:
     """Index file: header, bit arrays of the levels, slots, then the keys in payload order."""
     seed = 1
     while len(np.unique(key_hash(keys, seed))) < len(keys):
@@ -93,8 +93,10 @@ def encode_index(keys: np.ndarray, offsets: np.ndarray, counts: np.ndarray) -> b
     at = perfect.slots(hashes)
     table["fingerprint"][at] = mix(hashes, 7) & np.uint64(0xFFFFFFFF)
     table["offset"][at], table["count"][at] = offsets, counts
-    head = json.dumps({"seed": seed, "keys": len(keys), "levels": [len(b) for b in perfect.levels]}).encode()
-    return b"".join([MAGIC, struct.pack("<I", len(head)), head, *(b.tobytes() for b in perfect.levels), table.tobytes(), keys.tobytes()])
+    levels = [len(bits) for bits in perfect.levels]
+    head = json.dumps({"seed": seed, "keys": len(keys), "width": width, "levels": levels}).encode()
+    parts = [MAGIC, struct.pack("<I", len(head)), head, *(bits.tobytes() for bits in perfect.levels)]
+    return b"".join([*parts, table.tobytes(), keys.tobytes()])
 
 
 class ShardIndex:
@@ -109,7 +111,7 @@ class ShardIndex:
         for n in head["levels"]:
             levels.append(np.frombuffer(raw, "<u8", n, at))
             at += 8 * n
-        self.seed, self.perfect = head["seed"], PerfectHash(levels)
+        self.seed, self.width, self.perfect = head["seed"], head["width"], PerfectHash(levels)
         self.table = np.frombuffer(raw, SLOT, head["keys"], at)
         self.keys = np.frombuffer(raw, KEY, head["keys"], at + self.table.nbytes)
 
@@ -122,12 +124,17 @@ class ShardIndex:
         here &= row["fingerprint"] == (mix(hashes, 7) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         return here, row["offset"].astype(np.int64), row["count"].astype(np.int64)
 
+    def ids(self, payload, offset: int, count: int) -> np.ndarray:
+        """A document's ids as unsigned 32-bit numbers, from the open payload file."""
+        raw = payload.read_at(self.width * count, self.width * offset)
+        return np.frombuffer(raw, f"<u{self.width}").astype("<u4")
+
 
 class _Shard:
     """One payload file being written, and what its index needs."""
 
-    def __init__(self, uri: str, stem: str):
-        self.uri, self.stem = uri, stem
+    def __init__(self, uri: str, stem: str, width: int):
+        self.uri, self.stem, self.width = uri, stem, width
         self.path, self.out = write_once(uri, stem, ".ids")
         self.keys: list[tuple[int, int, int]] = []
         self.counts: list[int] = []
@@ -138,7 +145,7 @@ class _Shard:
         if self.keys and self.keys[-1][:2] == ((1, 0) if key is None else (0, key)):
             copy = self.keys[-1][2] + 1
         self.keys.append((1, 0, copy) if key is None else (0, key, copy))
-        self.out.write(ids.astype("<u4").tobytes())
+        self.out.write(ids.astype(f"<u{self.width}").tobytes())
         self.counts.append(len(ids))
         self.ids += len(ids)
 
@@ -147,7 +154,7 @@ class _Shard:
         counts = np.array(self.counts, np.int64)
         index, out = write_once(self.uri, self.stem, ".index")
         with out:
-            out.write(encode_index(np.array(self.keys, KEY), np.cumsum(counts) - counts, counts))
+            out.write(encode_index(np.array(self.keys, KEY), np.cumsum(counts) - counts, counts, self.width))
         return self.path, index, len(counts), self.ids
 
 
@@ -172,12 +179,13 @@ def write_shards(
         from pyspark import TaskContext
 
         encoder, partition = Encoder(vocabulary), TaskContext.get().partitionId()
+        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
         shard, rows = None, []
         for batch in batches:
             for part in slices(batch, "text"):
                 for k, ids in zip(part.column("key").to_pylist(), encoder.encode(part.column("text"))):
                     if shard is None:
-                        shard = _Shard(folder, f"{partition:06d}-{len(rows):04d}")
+                        shard = _Shard(folder, f"{partition:06d}-{len(rows):04d}", width)
                     shard.add(k, np.append(ids, np.uint32(END_ID)))
                     if shard.ids >= shard_ids:
                         rows.append((partition, len(rows), *shard.close()))
@@ -204,7 +212,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     Returns doc_id, start (ids of all documents before it), n_tokens and ids_crc32.
     """
     spark = manifest.sparkSession
-    # One row a shard of 64 MB, so the list stays small.
+    # One row a shard, so the list stays small.
     shards = sorted(manifest.collect(), key=lambda r: (r["partition"], r["number"]))
     before, rows = 0, []
     for r in shards:
@@ -228,7 +236,7 @@ def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             crc = np.zeros(len(found), np.int64)
             with store.open_input_file(open_store(row["payload"])[1]) as f:
                 for i, (at, n) in enumerate(zip(offset.tolist(), count.tolist())):
-                    crc[i] = zlib.crc32(f.read_at(4 * n, 4 * at))
+                    crc[i] = zlib.crc32(index.ids(f, at, n).tobytes())
             keys = pa.array(index.keys["key"], pa.int64(), mask=index.keys["null"] == 1)
             yield pa.RecordBatch.from_arrays(
                 [keys, pa.array(offset + row["before"]), pa.array(count), pa.array(crc)],
@@ -245,7 +253,7 @@ def lookup(manifest_row, keys: list[int]) -> list[np.ndarray | None]:
     out = []
     with store.open_input_file(open_store(manifest_row["payload"])[1]) as f:
         for here, at, n in zip(found, offset.tolist(), count.tolist()):
-            out.append(np.frombuffer(f.read_at(4 * n, 4 * at), "<u4") if here else None)
+            out.append(index.ids(f, at, n) if here else None)
     return out
 
 
