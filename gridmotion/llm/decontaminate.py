@@ -71,7 +71,8 @@ def _within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
         "length", "passage", "fp", F.col("e.b").alias("b"), F.col("e.v").alias("v")
     )
     bits = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    met = asked.join(listed, ["length", "b", "v"]).withColumn("bits", bits).where(F.col("bits") <= RADIUS)
+    # Neither side is bounded, so the join may not turn into a broadcast at run time.
+    met = asked.hint("merge").join(listed, ["length", "b", "v"]).withColumn("bits", bits).where(F.col("bits") <= RADIUS)
     return met.select("length", "passage", "item", "bits").distinct()
 
 
@@ -133,7 +134,9 @@ def contaminated(
     hits = stored(hits, "windows")
     windows = _fingerprints(hits.select("length", "passage").distinct(), ["length", "passage"], size)
     prints = _fingerprints(items.select("item", "length", F.col("item").alias("passage")).distinct(), ["item", "length"], size)
-    pairs = _within_radius(windows, prints)
+    # Few bytes but much work a row: the pairs are dealt out again, by number and not by size.
+    dealt = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = _within_radius(windows, prints).repartition(dealt, "passage", "item")
     pairs = pairs.select(
         "length", "passage", "item", "bits",
         _shingles(F.split("passage", " "), size).alias("a"), _shingles(F.split("item", " "), size).alias("b"),
@@ -141,10 +144,10 @@ def contaminated(
     common, joint = _weighted(F.col("a"), F.col("b"))
     scored = pairs.select("length", "passage", "item", "bits", common.alias("common"), joint.alias("joint"))
     good = scored.withColumn("similarity", F.col("common") / F.col("joint")).where(F.col("similarity") >= similarity)
-    good = good.join(items.select("item_id", "item"), "item").select(
+    good = good.hint("merge").join(items.select("item_id", "item"), "item").select(
         "length", "passage", "item_id", "bits", "similarity"
     )
-    matches = hits.join(good, ["length", "passage"]).groupBy("doc_id", "row", "item_id").agg(
+    matches = hits.join(good.hint("merge"), ["length", "passage"]).groupBy("doc_id", "row", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), "bits", "length")).alias("best")
     )
     return matches.select(
