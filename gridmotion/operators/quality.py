@@ -19,7 +19,7 @@ def week_mismatch(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
 
 
 def assert_same_weeks(inputs: DataFrame, outputs: DataFrame) -> None:
-    rows = week_mismatch(inputs, outputs).orderBy("week").limit(200).collect()
+    rows = week_mismatch(inputs, outputs).orderBy("week").collect()  # weeks are two digits
     if rows:
         detail = {
             side: [r.week for r in rows if r.missing_in == side] for side in ("input", "output")
@@ -134,6 +134,27 @@ def prediction_count_mismatch(
     return both.where(F.col("n_pred") != F.col("n_true"))
 
 
+def assert_prediction_counts(
+    predictions: DataFrame, truth: DataFrame, keys: list[str] = PLAY_KEYS, examples: int = 10
+) -> None:
+    found = prediction_count_mismatch(predictions, truth, keys)
+    shown = found.orderBy(*keys).limit(examples).collect()
+    if shown:
+        raise ValueError(
+            f"{found.count()} plays have other numbers of predictions than of labels, e.g. "
+            f"{[tuple(r) for r in shown]}"
+        )
+
+
+def assert_profile(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """Numeric profile of a table; infinite values are an error."""
+    profile = numeric_profile(df, columns)
+    infinite = [r["column"] for r in profile.where("has_inf").collect()]  # a row a column
+    if infinite:
+        raise ValueError(f"{name}: infinite values in {infinite}")
+    return profile
+
+
 def assert_not_empty(df: DataFrame, what: str) -> DataFrame:
     if df.isEmpty():
         raise ValueError(f"no rows left in {what}")

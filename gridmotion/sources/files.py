@@ -29,56 +29,68 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 
 def read_typed_csv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """CSV with header under a fixed schema; a value that does not fit fails the job."""
-    return (
+    """CSV with header under a fixed schema.
+
+    A value that does not fit fails the job, whichever columns are asked for, and so does a
+    header that names other columns or names them in another order.
+    """
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("enforceSchema", False)
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path)
     )
+    # The reader converts only the columns a query uses. This is true of every row, and uses all.
+    return rows.where(F.xxhash64(*schema.names) >= F.lit(-(2**63)))
 
 
-def read_untyped_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with inferred types; label columns left over from a merge regain their names."""
-    df = spark.read.option("header", True).option("inferSchema", True).csv(path)
+def read_untyped_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, sampled: float = 1.0
+) -> DataFrame:
+    """CSV under a schema, or with types inferred from a share of its rows; label columns
+    left over from a merge regain their names."""
+    reader = spark.read.option("header", True)
+    if schema is None:
+        reader = reader.option("inferSchema", True).option("samplingRatio", sampled)
+    else:
+        reader = reader.schema(schema)
+    df = reader.csv(path)
     if {"x_y", "y_y"} <= set(df.columns):
         df = df.withColumnsRenamed({"x_y": "x", "y_y": "y"})
     return df
 
 
 def with_week_from_name(df: DataFrame) -> DataFrame:
-    """Add week from '_wNN' in the file name, or in its folder when a file is a folder of parts."""
+    """Add week from '_wNN' in the file name, or in the folder's when the file is one of its parts."""
     location = F.col("_metadata.file_path")
     pattern = r"(?i)_w(\d{2})"
     name = F.element_at(F.split(location, "/"), -1)
     folder = F.element_at(F.split(location, "/"), -2)
-    digits = F.coalesce(
-        *[F.nullif(F.regexp_extract(part, pattern, 1), F.lit("")) for part in (name, folder)]
-    )
+    named = F.when(name.startswith("part-"), folder).otherwise(name)
+    digits = F.nullif(F.regexp_extract(named, pattern, 1), F.lit(""))
     failure = F.raise_error(F.concat(F.lit("no week in file name: "), location)).cast("int")
     return df.withColumn("week", F.coalesce(digits.cast("int"), failure))
 
 
 def file_inventory(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """(file, has_rows) for every CSV file under path; a folder of part files counts as one.
+    """(file, n_rows, has_rows) for every CSV file under path; a folder of parts counts as one.
 
-    A file longer than any header line has rows, which the listing tells; the size filter
-    on the scan opens only files as short as a header.
+    Rows are counted by reading the files, which also checks all their values; the listing
+    supplies the files without any.
     """
-    header = sum(len(name.encode()) + 3 for name in schema.names) + 8
 
     def unit(column):
         part = F.regexp_extract(column, r"^(.*?)(/part-[^/]*)?$", 1)
         return F.regexp_replace(part, "^file:/+", "/").alias("file")
 
-    listed = spark.read.format("binaryFile").load(path).select("path", "length")
-    units = listed.groupBy(unit(F.col("path"))).agg(F.max("length").alias("longest"))
-    short = read_typed_csv(spark, path, schema).where(F.col("_metadata.file_size") <= header)
-    filled = short.select(unit(F.col("_metadata.file_path"))).distinct()
-    return units.join(filled.withColumn("filled", F.lit(True)), "file", "left").select(
-        "file",
-        ((F.col("longest") > header) | F.coalesce("filled", F.lit(False))).alias("has_rows"),
+    listed = spark.read.format("binaryFile").load(path).select(unit(F.col("path"))).distinct()
+    rows = read_typed_csv(spark, path, schema).select(unit(F.col("_metadata.file_path")))
+    counted = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    n_rows = F.coalesce("n", F.lit(0))
+    return listed.join(counted, "file", "left").select(
+        "file", n_rows.alias("n_rows"), (n_rows > 0).alias("has_rows")
     )
 
 
@@ -90,7 +102,7 @@ def write_weekly(df: DataFrame, path: str, only_given_weeks: bool = False) -> No
     """
     scope = "dynamic" if only_given_weeks else "static"
     (
-        df.repartition("week", *_spread_keys(df))
+        df.hint("rebalance", "week")  # even files, however large a week is
         .write.partitionBy("week")
         .mode("overwrite")
         .option("partitionOverwriteMode", scope)
@@ -98,11 +110,6 @@ def write_weekly(df: DataFrame, path: str, only_given_weeks: bool = False) -> No
     )
 
 
-def _spread_keys(df: DataFrame) -> list[str]:
-    """Keys that spread one week over several files."""
-    return [c for c in ("game_id", "play_id") if c in df.columns]
-
-
 def read_table(
     spark: SparkSession, path: str, columns: list[str] | None = None, required: list[str] = ()
 ) -> DataFrame:
@@ -112,8 +119,11 @@ def read_table(
 
 
 def list_weeks(spark: SparkSession, path: str) -> DataFrame:
-    """Weeks a dataset holds; answered from the partition folders."""
-    return spark.read.parquet(path).select("week").distinct()
+    """Weeks a dataset holds, taken from the names of its partition folders."""
+    filesystem, jvm_path = _filesystem(spark, path)
+    names = [entry.getPath().getName() for entry in filesystem.listStatus(jvm_path)]
+    weeks = [(int(n.removeprefix("week=")),) for n in names if n.startswith("week=")]
+    return spark.createDataFrame(weeks, "week int")
 
 
 def write_csv(df: DataFrame, path: str) -> None:

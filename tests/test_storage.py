@@ -41,9 +41,14 @@ def test_ingest_then_skip(spark, raw, sf_dir, tmp_path):
 
 def test_bad_value_fails(spark, tmp_path):
     (tmp_path / "output_2023_w01.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n1,1,1,1,oops,2\n")
-    rows = ingest.read_weekly_csv(spark, f"{tmp_path}/{ingest.OUTPUT_PATTERN}", LABEL_SCHEMA)
     with pytest.raises(Exception, match="oops|MALFORMED|CANNOT_PARSE|FAILED"):
-        rows.collect()
+        ingest.read_weekly_csv(spark, f"{tmp_path}/{ingest.OUTPUT_PATTERN}", LABEL_SCHEMA)
+    rows = files.read_typed_csv(spark, f"{tmp_path}/{ingest.OUTPUT_PATTERN}", LABEL_SCHEMA)
+    with pytest.raises(Exception, match="oops|MALFORMED|CANNOT_PARSE|FAILED"):
+        rows.select("game_id").collect()  # the bad value stands in another column
+    (tmp_path / "turned_w01.csv").write_text("play_id,game_id,nfl_id,frame_id,x,y\n1,2,1,1,1.0,2.0\n")
+    with pytest.raises(Exception, match="header|schema"):
+        files.read_typed_csv(spark, f"{tmp_path}/turned_w01.csv", LABEL_SCHEMA).collect()
 
 
 def test_missing_empty_and_unnamed_files(spark, tmp_path):
@@ -53,11 +58,16 @@ def test_missing_empty_and_unnamed_files(spark, tmp_path):
     (tmp_path / "output_2023_w02.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n")
     with pytest.raises(ValueError, match="output_2023_w02"):
         ingest.read_weekly_csv(spark, f"{tmp_path}/{ingest.OUTPUT_PATTERN}", LABEL_SCHEMA)
-    (tmp_path / "output_2023_w03.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n" + "oops" * 99)
+    (tmp_path / "output_2023_w03.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n" + "\n" * 99)
     inventory = files.file_inventory(spark, f"{tmp_path}/{ingest.OUTPUT_PATTERN}", LABEL_SCHEMA)
-    found = {r.file[-7:-4]: r.has_rows for r in inventory.collect()}  # never opens the long file
-    assert found == {"w01": True, "w02": False, "w03": True}
+    found = {r.file[-7:-4]: (r.n_rows, r.has_rows) for r in inventory.collect()}
+    assert found == {"w01": (1, True), "w02": (0, False), "w03": (0, False)}
     (tmp_path / "other.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n1,1,1,1,1.0,2.0\n")
+    (tmp_path / "data_w05").mkdir()
+    (tmp_path / "data_w05" / "plain.csv").write_text("game_id,play_id,nfl_id,frame_id,x,y\n1,1,1,1,1.0,2.0\n")
+    plain = files.read_typed_csv(spark, f"{tmp_path}/data_w05/plain.csv", LABEL_SCHEMA)
+    with pytest.raises(Exception, match="no week in file name"):
+        files.with_week_from_name(plain).collect()
     unnamed = files.with_week_from_name(files.read_typed_csv(spark, f"{tmp_path}/other.csv", LABEL_SCHEMA))
     with pytest.raises(Exception, match="no week in file name"):
         unnamed.collect()
