@@ -9,6 +9,7 @@ from gridmotion.catalog.base import labels, q, query, tracking
 from gridmotion.catalog.features import K4, same
 from gridmotion.operators import sequences as Q
 from gridmotion.operators.joins import frame_aligned_join, with_last_label
+from gridmotion.operators.rollups import TARGET_NAMES, formation_targets
 from gridmotion.operators.normalize import fit_scaler, missing_to_zero, player_scalars, rightward
 from gridmotion.schemas import RAW_SEQUENCE_FEATURES, SIDE_FRAME_KEYS, SIDE_KEYS, TIMELINE_KEYS
 
@@ -255,3 +256,35 @@ def _(spark, sf):
 def _(spark, sf):
     sets = Q.player_sets(tracking(spark, sf), n_max=12)
     return sets.select(*SIDE_FRAME_KEYS, F.posexplode("mask").alias("pos", "value"))
+
+
+_GROUP = f"OVER (PARTITION BY {_KFS})"
+_TARGETS_SQL = f"""SELECT {_KFS}, max(width_x) AS width_x, max(width_y) AS width_y, max(center_x) AS center_x,
+  max(center_y) AS center_y, avg(sqrt((x_norm - center_x) * (x_norm - center_x)
+    + (y_norm - center_y) * (y_norm - center_y))) AS mean_dist_to_center
+  FROM (SELECT {_KFS}, x_norm, y_norm, max(x_norm) {_GROUP} - min(x_norm) {_GROUP} AS width_x,
+    max(y_norm) {_GROUP} - min(y_norm) {_GROUP} AS width_y, avg(x_norm) {_GROUP} AS center_x,
+    avg(y_norm) {_GROUP} AS center_y FROM {{rows}}) GROUP BY {_KFS}"""
+
+
+@query(
+    "player_set_targets",
+    f"SELECT {_KFS}, {same(*TARGET_NAMES)} FROM ({_TARGETS_SQL.format(rows='norm')})",
+    ("norm",),
+)
+def _(spark, sf):
+    sets = Q.player_sets(tracking(spark, sf), n_max=12)
+    picks = [F.col("targets")[i].alias(n) for i, n in enumerate(TARGET_NAMES)]
+    return sets.select(*SIDE_FRAME_KEYS, *picks)
+
+
+@query(
+    "formation_targets_null_side",
+    f"""WITH sided AS (SELECT * REPLACE (CASE WHEN nfl_id % 3 = 0 THEN NULL ELSE player_side END AS player_side)
+      FROM norm) SELECT {_KFS}, {same(*TARGET_NAMES)} FROM ({_TARGETS_SQL.format(rows='sided')})""",
+    ("norm",),
+)
+def _(spark, sf):
+    sided = F.when(F.col("nfl_id") % 3 != 0, F.col("player_side"))
+    rows = rightward(tracking(spark, sf)).withColumn("player_side", sided)
+    return formation_targets(rows)

@@ -33,6 +33,16 @@ def rmse(matched: DataFrame, mode: str = "mean_sq2d", by: list[str] | None = Non
     return grouped.agg(F.count(F.lit(1)).alias("n_points"), value)
 
 
+def all_rmse_modes(matched: DataFrame) -> DataFrame:
+    """(mode, n_points, rmse) of every mode from one pass: they differ by a factor."""
+    one = matched.agg(F.count(F.lit(1)).alias("n_points"), F.avg(squared_error()).alias("__mean"))
+    rows = [
+        F.struct(F.lit(mode).alias("mode"), "n_points", _from_mean_square(F.col("__mean"), mode).alias("rmse"))
+        for mode in RMSE_MODES
+    ]
+    return one.select(F.inline(F.array(*rows)))
+
+
 def play_averaged_rmse(matched: DataFrame, keys: list[str] = PLAY_KEYS) -> DataFrame:
     """Mean over plays of each play's error."""
     per_play = matched.groupBy(*keys).agg(F.sqrt(F.avg(squared_error())).alias("rmse"))

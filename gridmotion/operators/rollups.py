@@ -14,6 +14,10 @@ from gridmotion.schemas import (
     SIDES,
     TIMELINE_KEYS,
 )
+from gridmotion.session import checkpointed
+
+# Fixed value: what an empty maximum pools to.
+EMPTY_MAX = -1e9
 
 
 def team_frame_rollup(covered: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -118,57 +122,65 @@ def last_k_frames(
     return edge_frame_rows(df, keys, frame, "last", ticks=k)
 
 
-def formation_targets(
+TARGET_NAMES = ["width_x", "width_y", "center_x", "center_y", "mean_dist_to_center"]
+
+
+def with_formation_targets(
     df: DataFrame, keys: list[str] = SIDE_FRAME_KEYS, x: str = "x_norm", y: str = "y_norm"
 ) -> DataFrame:
-    """Width in x and y, centre, mean distance to the centre; zeros when no position is finite."""
+    """Add width in x and y, centre and mean distance to the centre of each row's group.
+
+    Rows whose key is null are a group too; the values are 0 where no position is finite.
+    """
     finite = S.is_finite(F.col(x)) & S.is_finite(F.col(y))
     px, py = F.when(finite, F.col(x)), F.when(finite, F.col(y))
-    centre = df.groupBy(*keys).agg(
-        (F.max(px) - F.min(px)).alias("width_x"),
-        (F.max(py) - F.min(py)).alias("width_y"),
-        F.avg(px).alias("center_x"),
-        F.avg(py).alias("center_y"),
-    )
+    group = Window.partitionBy(*keys)
+    values = {
+        "width_x": F.max(px).over(group) - F.min(px).over(group),
+        "width_y": F.max(py).over(group) - F.min(py).over(group),
+        "center_x": F.avg(px).over(group),
+        "center_y": F.avg(py).over(group),
+    }
     away = S.euclidean(px - F.col("center_x"), py - F.col("center_y"))
-    spread = (
-        df.select(*keys, x, y)
-        .join(centre, keys)
-        .groupBy(*keys)
-        .agg(F.avg(away).alias("mean_dist_to_center"))
-    )
-    names = ["width_x", "width_y", "center_x", "center_y", "mean_dist_to_center"]
-    return centre.join(spread, keys, "left").select(
-        *keys, *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names]
-    )
+    out = df.withColumns(values).withColumn("mean_dist_to_center", F.avg(away).over(group))
+    return out.withColumns({n: F.coalesce(F.col(n), F.lit(0.0)) for n in TARGET_NAMES})
+
+
+def formation_targets(
+    df: DataFrame, keys: list[str] = SIDE_FRAME_KEYS, x: str = "x_norm", y: str = "y_norm"
+) -> DataFrame:
+    """One row per group with its formation targets: one shuffle, no join."""
+    rows = with_formation_targets(df.select(*keys, x, y), keys, x, y)
+    return rows.groupBy(*keys).agg(*[F.max(n).alias(n) for n in TARGET_NAMES])
 
 
 def exact_quantile(
-    df: DataFrame, keys: list[str], value: str, q: float, name: str, buckets: int = 256
+    df: DataFrame, keys: list[str], value: str, q: float, name: str, buckets: int = 64
 ) -> DataFrame:
     """Nearest-rank quantile per key over non-missing values.
 
-    Equal values are counted first. A histogram per key then finds the bucket that holds
-    the rank, and only that bucket's distinct values are ordered, so a key with a third of
-    all rows is never sorted in one task.
+    Equal values are counted first and the counts are stored, so the source is read once. The
+    distinct values of a key are cut into about equal parts by approximate quantiles, which
+    hold whatever the values are; a histogram over the parts finds the one with the rank, and
+    only that one is ordered.
     """
     number = F.col(value).cast("double")
-    freq = (
+    freq = checkpointed(
         df.select(*keys, S.nan_as_null(number).alias("__v"))
         .where(F.col("__v").isNotNull())
         .groupBy(*keys, "__v")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
+    shares = [i / buckets for i in range(1, buckets)] or [1.0]
     stats = freq.groupBy(*keys).agg(
-        F.sum("__n").alias("__total"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi")
-    )
-    share = (F.col("__v") - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-    placed = freq.join(stats, keys).withColumn(
-        "__bucket",
-        F.when(
-            F.col("__hi") > F.col("__lo"), F.least(F.floor(share * buckets), F.lit(buckets - 1))
-        ).otherwise(F.lit(0)),
+        F.sum("__n").alias("__total"), F.percentile_approx("__v", shares, 1000).alias("__bounds")
     )
+    stats = stats.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__total", "__bounds")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    part = F.size(F.filter("__bounds", lambda bound: bound < F.col("__v")))
+    placed = freq.join(stats, same).select(*keys, "__v", "__n", "__total", part.alias("__bucket"))
     upward = Window.partitionBy(*keys).orderBy("__bucket")
     histogram = (
         placed.groupBy(*keys, "__bucket")
@@ -178,11 +190,14 @@ def exact_quantile(
     )
     target = histogram.where(
         (F.col("__rank") <= F.col("__upto")) & (F.col("__rank") > F.col("__upto") - F.col("__in"))
-    ).select(*keys, "__bucket", (F.col("__rank") - F.col("__upto") + F.col("__in")).alias("__rank"))
-    inside = Window.partitionBy(*keys, "__bucket").orderBy("__v")
+    ).select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.col("__bucket").alias("__b"),
+        (F.col("__rank") - F.col("__upto") + F.col("__in")).alias("__rank"),
+    )
+    inside = Window.partitionBy(*keys).orderBy("__v")
     return (
-        placed.select(*keys, "__bucket", "__v", "__n")
-        .join(target, [*keys, "__bucket"])
+        placed.join(target, same & (F.col("__bucket") == F.col("__b")))
         .withColumn("__upto", F.sum("__n").over(inside))
         .where(
             (F.col("__rank") <= F.col("__upto"))
@@ -253,7 +268,7 @@ def pool_vectors(
     for i in range(dim):
         value = counted(F.get(F.col(vector), F.lit(i)).cast("double"))
         if how == "max":
-            columns.append(F.coalesce(F.max(value), F.lit(-1e9)))
+            columns.append(F.coalesce(F.max(value), F.lit(EMPTY_MAX)))
         elif how in ("mean", "sum"):
             columns.append(F.coalesce(F.sum(value), F.lit(0.0)))
         else:

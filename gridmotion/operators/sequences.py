@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from gridmotion.functions import scalars as S
 from gridmotion.operators.normalize import ensure_rightward, only_side
-from gridmotion.operators.rollups import formation_targets
+from gridmotion.operators.rollups import (
+    TARGET_NAMES,
+    formation_targets,
+    with_formation_targets,
+)
 from gridmotion.operators.skew import edge_frame_rows
 from gridmotion.schemas import SIDE_FRAME_KEYS, SIDE_KEYS, TIMELINE_KEYS, require_columns
 
-TARGET_NAMES = ["width_x", "width_y", "center_x", "center_y", "mean_dist_to_center"]
-
 
 def _padding(width: int, missing: Column) -> Column:
     return F.array_repeat(F.array(*[F.lit(0.0)] * width), missing.cast("int"))
@@ -166,20 +168,28 @@ def formation_vectors(
     n_players counts the players before truncation.
     """
     chosen = edge_frame_rows(only_side(players, side, keys[-1]), keys, "frame_id", frame_policy)
-    sizes = chosen.groupBy(*keys).agg(
-        F.max("frame_id").alias("frame_id"), F.count(F.lit(1)).alias("n_players")
-    )
-    window = Window.partitionBy(*keys).orderBy(y, x)
+    group = Window.partitionBy(*keys)
+    window = group.orderBy(y, x)
     place = F.struct(F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x"))
     vectors = (
-        chosen.withColumn("__rn", F.row_number().over(window))
+        chosen.withColumns(
+            {
+                "__rn": F.row_number().over(window),
+                "__n": F.count(F.lit(1)).over(group),
+                "__frame": F.max("frame_id").over(group),
+            }
+        )
         .where(F.col("__rn") <= max_players)
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(place)).alias("__places"))
+        .agg(
+            F.max("__frame").alias("frame_id"),
+            F.max("__n").alias("n_players"),
+            F.sort_array(F.collect_list(place)).alias("__places"),
+        )
     )
     flat = F.flatten(F.transform("__places", lambda p: F.array(p["x"], p["y"])))
     zeros = F.array_repeat(F.lit(0.0), (F.lit(2 * max_players) - F.size(flat)).cast("int"))
-    return vectors.join(sizes, keys).select(
+    return vectors.select(
         *keys, "frame_id", "n_players", F.concat(flat, zeros).alias("vector")
     )
 
@@ -189,7 +199,8 @@ def formation_matrix(
 ) -> DataFrame:
     """Five formation features of each side's first frame, as columns and as one vector."""
     require_columns(players, [*keys, "frame_id", "x_norm", "y_norm"], "players table")
-    first = edge_frame_rows(only_side(players, side, keys[-1]), keys, "frame_id", "first")
+    chosen = only_side(players, side, keys[-1]).select(*keys, "frame_id", "x_norm", "y_norm")
+    first = edge_frame_rows(chosen, keys, "frame_id", "first")
     targets = formation_targets(first, keys)
     return targets.withColumn("vector", F.array(*TARGET_NAMES))
 
@@ -211,7 +222,8 @@ def player_sets(
     values = ["x_norm", "y_norm", "s", "a", "__dir_sin", "__dir_cos", "__o_sin", "__o_cos"]
     window = Window.partitionBy(*keys).orderBy("x_norm", "y_norm")
     sets = (
-        df.withColumn("__rn", F.row_number().over(window))
+        with_formation_targets(df, keys)
+        .withColumn("__rn", F.row_number().over(window))
         .where(F.col("__rn") <= n_max)
         .groupBy(*keys)
         .agg(
@@ -219,7 +231,8 @@ def player_sets(
                 F.collect_list(
                     F.struct("__rn", F.array(*[F.col(c).cast("double") for c in values]).alias("f"))
                 )
-            ).alias("__set")
+            ).alias("__set"),
+            F.first(F.array(*TARGET_NAMES)).alias("targets"),
         )
     )
     missing = F.lit(n_max) - F.size("__set")
@@ -232,6 +245,6 @@ def player_sets(
             F.array_repeat(F.lit(1.0), F.size("__set")),
             F.array_repeat(F.lit(0.0), missing.cast("int")),
         ).alias("mask"),
+        "targets",
     )
-    targets = formation_targets(df, keys).select(*keys, F.array(*TARGET_NAMES).alias("targets"))
-    return sets.join(targets, keys, "left")
+    return sets
