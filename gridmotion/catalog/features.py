@@ -546,3 +546,37 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return rollups.first_row_per_play(tracking(spark, sf)).select(*ROW_KEYS, "x", "y")
+
+
+# Players numbered so that two rows of a frame share a key; their pairs add up under the key.
+_SHARED_SQL = f"""WITH shared AS (SELECT * REPLACE (nfl_id % 11 AS nfl_id) FROM tracking),
+  met AS (SELECT l.game_id, l.play_id, l.nfl_id, l.frame_id, l.player_side = r.player_side AS mate,
+    sqrt((l.x - r.x) * (l.x - r.x) + (l.y - r.y) * (l.y - r.y)) AS d
+    FROM shared l JOIN shared r ON l.game_id = r.game_id AND l.play_id = r.play_id
+      AND l.frame_id = r.frame_id AND l.nfl_id <> r.nfl_id)
+  SELECT route, {K4}, {q("min(d) FILTER (WHERE mate) AS distance_to_nearest_teammate",
+    "min(d) FILTER (WHERE NOT mate) AS distance_to_nearest_opponent",
+    "coalesce(sum(1e0 / (1e0 + d)) FILTER (WHERE NOT mate), 0e0) AS coverage_density")},
+    CASE WHEN count(*) FILTER (WHERE NOT mate) > 0
+      THEN CAST(count(*) FILTER (WHERE NOT mate AND d < 3) AS BIGINT) END AS opponents_within_3yds,
+    CASE WHEN count(*) FILTER (WHERE mate) > 0
+      THEN CAST(count(*) FILTER (WHERE mate AND d < 7) AS BIGINT) END AS teammates_within_7yds
+  FROM met, (VALUES ('whole'), ('blocks')) AS r(route) GROUP BY route, {K4}"""
+
+
+@query("coverage_repeated_keys", _SHARED_SQL)
+def _(spark, sf):
+    rows = tracking(spark, sf).withColumn("nfl_id", F.col("nfl_id") % 11)
+    out = None
+    for route, members in (("whole", spatial.MAX_MEMBERS), ("blocks", 4)):
+        found = spatial.coverage_features(rows, max_members=members).select(
+            F.lit(route).alias("route"), *ROW_KEYS,
+            "distance_to_nearest_teammate", "distance_to_nearest_opponent", "coverage_density",
+            "opponents_within_3yds", "teammates_within_7yds",
+        )
+        # Rows of one key carry equal values; the sums may differ in their last digit.
+        each = found.groupBy("route", *ROW_KEYS).agg(
+            *[F.max(c).alias(c) for c in found.columns if c not in ("route", *ROW_KEYS)]
+        )
+        out = each if out is None else out.unionByName(each)
+    return out

@@ -279,6 +279,7 @@ def _frame_coverage(table: pa.Table, frame_keys, side, pid, x, y, radii) -> pa.T
             mates, rivals = mates & sided, rivals & sided
         both_placed = None if all_placed else pairwise(np.logical_and, placed)
         absent["coverage_density"][at] = ~others.any(axis=2)
+        own = pairwise(np.equal, ids) & (ids[at] >= 0)[:, :, None] | np.eye(size, dtype=bool)
         for label, met in (("teammate", mates), ("opponent", rivals)):
             usable = met if both_placed is None else met & both_placed
             candidates = np.where(usable, distance, np.inf)
@@ -292,6 +293,16 @@ def _frame_coverage(table: pa.Table, frame_keys, side, pid, x, y, radii) -> pa.T
                 name = f"{label}s_within_{int(r)}yds"
                 values[name][at] = (candidates < r).sum(axis=2)
                 absent[name][at] = alone
+        if own.sum() > at.size:  # rows that share a key add up, as they do across blocks
+            for name in names:
+                each = np.broadcast_to(values[name][at][:, None, :], own.shape)
+                gone = absent[name][at]
+                if "nearest" in name:
+                    met = np.where(own & ~gone[:, None, :], each, np.inf)
+                    values[name][at] = _nearest(met, with_nan)
+                else:
+                    values[name][at] = np.where(own, each, 0).sum(axis=2)
+                absent[name][at] = ~(own & ~gone[:, None, :]).any(axis=2)
     for name in names:
         column = values[name].astype(np.int64) if "_within_" in name else values[name]
         table = table.append_column(name, pa.array(column, mask=absent[name]))
@@ -381,7 +392,7 @@ def shape_and_coverage(
     if crowded is None:
         return out
     size = crowded.select(*frame_keys, GROUP_ROWS).distinct()
-    shaped = _shape_by_join(crowded.drop(GROUP_ROWS), keys, x, y).join(size, frame_keys)
+    shaped = _shape_by_join(crowded.drop(GROUP_ROWS), keys, x, y).join(size, frame_keys, "left")
     blocked = _coverage_by_blocks(shaped, frame_keys, side, pid, x, y, radii, max_members)
     return out.unionByName(blocked)
 
