@@ -17,7 +17,7 @@ from gridmotion.session import checkpointed
 GROUP_ROWS = "__group_rows"
 MAX_TIMELINE_ROWS = 1_000_000  # a window over more rows is cut into segments
 _SEGMENT, _HALO = "__segment", "__halo"
-_LOW, _HIGH = "__low", "__high"
+CUTS = 256  # places, even in rows, at which a long timeline may be cut
 
 
 def _position(df: DataFrame, column: str) -> Column:
@@ -29,26 +29,27 @@ def _position(df: DataFrame, column: str) -> Column:
 
 
 def split_large_groups(
-    df: DataFrame, keys: list[str], limit: int, span: str | None = None
+    df: DataFrame, keys: list[str], limit: int
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of groups up to limit, rows of larger groups with their size, or None).
 
-    With span, the second part also carries that column's range within its group.
+    Rows whose keys are null are a group like any other, since a window gathers them as one.
     """
-    stats = [F.count(F.lit(1)).alias(GROUP_ROWS)]
-    if span:
-        value = _position(df, span)
-        stats += [F.min(value).alias(_LOW), F.max(value).alias(_HIGH)]
-    present = [F.col(k).isNotNull() for k in keys]
-    condition = present[0]
-    for term in present[1:]:
-        condition = condition & term
-    sizes = df.where(condition).groupBy(*keys).agg(*stats)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_ROWS))
     largest = sizes.agg(F.max(GROUP_ROWS)).first()[0]
     if largest is None or largest <= limit:
         return df, None
-    large = sizes.where(F.col(GROUP_ROWS) > limit)
-    return df.join(large.select(*keys), keys, "left_anti"), df.join(large, keys)
+    large = sizes.where(F.col(GROUP_ROWS) > limit).alias("large")
+    names = df.columns
+    rows = df.alias("rows")
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(f"rows.{k}").eqNullSafe(F.col(f"large.{k}"))
+    small = rows.join(large, condition, "left_anti")
+    picked = rows.join(large, condition).select(
+        *[F.col(f"rows.{c}").alias(c) for c in names], F.col(f"large.{GROUP_ROWS}")
+    )
+    return small, picked
 
 
 def over_timelines(
@@ -69,7 +70,7 @@ def over_timelines(
     sums get the totals before it, so the values equal those of one whole window.
     """
     running = running or {}
-    whole, long = split_large_groups(df, keys, max_rows, span=order[0])
+    whole, long = split_large_groups(df, keys, max_rows)
     window = Window.partitionBy(*keys).orderBy(*order)
     out = compute(whole, window)
     to_here = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -85,23 +86,34 @@ def over_timelines(
 
 
 def _over_segments(long, keys, order, lookback, compute, running, max_rows):
-    columns = [c for c in long.columns if c not in (GROUP_ROWS, _LOW, _HIGH)]
+    columns = [c for c in long.columns if c != GROUP_ROWS]
     position = _position(long, order[0])
-    pieces = F.ceil(F.col(GROUP_ROWS) / F.lit(max_rows))
-    share = (position - F.col(_LOW)) / (F.col(_HIGH) - F.col(_LOW))
-    piece = F.when(
-        F.col(_HIGH) > F.col(_LOW), F.least(F.floor(share * pieces), pieces - 1)
-    ).otherwise(F.lit(0))
-    rows = long.withColumn("__piece", F.coalesce(piece, F.lit(-1)).cast("bigint"))
+    # Cuts lie at quantiles of the order column, so pieces hold like numbers of rows wherever
+    # the values lie; a missing order value comes first.
+    shares = [i / CUTS for i in range(1, CUTS)]
+    cuts = long.groupBy(*keys).agg(
+        F.percentile_approx(position, shares, 10_000).alias("__cuts"),
+        F.ceil(F.max(GROUP_ROWS) / F.lit(max_rows)).alias("__pieces"),
+    )
+    named = cuts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__cuts", "__pieces")
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    below = F.size(F.filter("__cuts", lambda cut: cut < position))
+    piece = F.floor(below * F.least(F.col("__pieces"), F.lit(CUTS)) / F.lit(CUTS))
+    rows = long.join(named, same).withColumn(
+        "__piece", F.when(position.isNull(), -1).otherwise(piece).cast("bigint")
+    )
+    rows = rows.select(*columns, "__piece")
 
     # Number the non-empty pieces: one row per piece, not per frame.
     numbered = rows.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__n"))
     numbered = numbered.select(
-        *keys,
-        "__piece",
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        F.col("__piece").alias("__p"),
         F.row_number().over(Window.partitionBy(*keys).orderBy("__piece")).alias(_SEGMENT),
     )
-    rows = rows.join(numbered, [*keys, "__piece"]).select(*columns, _SEGMENT)
+    rows = rows.join(numbered, same & (F.col("__piece") == F.col("__p"))).select(*columns, _SEGMENT)
 
     segment_keys = [*keys, _SEGMENT]
     newest_first = Window.partitionBy(*segment_keys).orderBy(*[F.desc(c) for c in order])
@@ -114,8 +126,9 @@ def _over_segments(long, keys, order, lookback, compute, running, max_rows):
         tails.withColumn("__ahead", F.explode(F.sequence(F.lit(1), F.lit(lookback))))
         .withColumn(_SEGMENT, F.col(_SEGMENT) + F.col("__ahead"))
         .drop("__ahead")
-        .join(numbered.select(*segment_keys), segment_keys, "left_semi")
     )
+    known = numbered.select(*[F.col(f"__k{i}") for i in range(len(keys))], F.col(_SEGMENT).alias("__s"))
+    halo = halo.join(known, same & (F.col(_SEGMENT) == F.col("__s")), "left_semi")
     both = rows.withColumn(_HALO, F.lit(False)).unionByName(halo.withColumn(_HALO, F.lit(True)))
     window = Window.partitionBy(*segment_keys).orderBy(*order)
     out = compute(both, window).where(~F.col(_HALO)).drop(_HALO)
@@ -130,17 +143,18 @@ def _over_segments(long, keys, order, lookback, compute, running, max_rows):
             *[F.sum(inc).alias(f"__sum_{name}") for name, inc in running.items()]
         )
         carried = carried.select(
-            *segment_keys,
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+            F.col(_SEGMENT).alias("__s"),
             *[
                 F.coalesce(F.sum(f"__sum_{n}").over(before), F.lit(0.0)).alias(f"__carry_{n}")
                 for n in running
             ],
         )
-        out = out.join(carried, segment_keys)
+        out = out.join(carried, same & (F.col(_SEGMENT) == F.col("__s")))
         for name, increment in running.items():
             total = F.sum(increment).over(to_here) + F.col(f"__carry_{name}")
             out = out.withColumn(name, F.when(increment.isNotNull(), total))
-        out = out.drop(*[f"__carry_{name}" for name in running])
+        out = out.drop("__s", *[f"__carry_{n}" for n in running], *[f"__k{i}" for i in range(len(keys))])
     return out.drop(_SEGMENT)
 
 
