@@ -4,8 +4,10 @@ Differs by design from a hierarchical density clustering: one radius holds every
 
 Exact copies collapse into one weighted point first. Candidates come from distance bands
 around a few pivots: by the triangle inequality, points within the radius lie in equal or
-adjacent bands of every pivot. Points of a band meet in blocks of bounded size; a block
-pair yields neighbour counts and a spanning forest, at most one row per point, never the
+adjacent bands of every pivot. Points of a band are split by their nearest landmark into
+blocks of bounded size. Every block knows its range of distances to each landmark, and a
+block pair is dropped, before any vector moves, when two ranges lie farther apart than the
+radius. A pair that is left yields neighbour counts and a spanning forest, at most one row per point, never the
 pairs. Components are then joined on the forest edges.
 """
 
@@ -16,7 +18,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmotion.operators.neighbors import distance_to
@@ -25,6 +27,7 @@ from gridmotion.session import checkpointed
 
 BLOCK_ROWS = 512
 N_PIVOTS = 2
+N_LANDMARKS = 16
 NOISE = -1
 
 
@@ -110,11 +113,12 @@ def _link_kernel(eps: float):
     return run
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an undirected edge list a-b; root is the smallest node.
 
-    Alternates hanging larger and smaller neighbours under the smallest one. Each round
-    is one minimum per node and one join, so a hub's neighbours are never gathered.
+    Alternates hanging larger and smaller neighbours under the smallest one until nothing
+    moves. Each round is one minimum per node and one join, so a hub's neighbours are never
+    gathered.
     """
 
     def oriented(pairs: DataFrame) -> DataFrame:
@@ -133,7 +137,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     current = checkpointed(oriented(edges))
     state = fingerprint(current)
-    for _ in range(max_rounds):
+    while True:
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         hung = oriented(
@@ -152,12 +156,50 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         if state == previous:
             roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             return current.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+
+
+def _landmark_distances(vector: str, landmarks: list[list[float]]) -> Column:
+    """Distances of an array column to fixed points, as an array."""
+
+    def squared(point: list[float]) -> Column:
+        gaps = F.zip_with(
+            F.col(vector),
+            F.array(*[F.lit(float(v)) for v in point]),
+            lambda a, b: (a.cast("double") - b) * (a.cast("double") - b),
+        )
+        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
+
+    return F.array(*[F.sqrt(squared(point)) for point in landmarks])
+
+
+def _block_ranges(placed: DataFrame, key: list[str], n: int) -> DataFrame:
+    """Per block the least and largest distance to each landmark: one small row a block."""
+    sides = {"lo": F.min, "hi": F.max}
+    wide = placed.groupBy(*key).agg(
+        *[f(F.col("landmarks")[i]).alias(f"{s}{i}") for s, f in sides.items() for i in range(n)]
+    )
+    return wide.select(*key, *[F.array(*[f"{s}{i}" for i in range(n)]).alias(s) for s in sides])
+
+
+def _within_reach(pairs: DataFrame, ranges: DataFrame, key: list[str], eps: float) -> DataFrame:
+    """Block pairs whose ranges overlap, up to the radius, at every landmark."""
+    out = pairs
+    for side in ("l", "r"):
+        named = ranges.select(
+            *[F.col(c).alias(f"{side}_{c}") for c in key],
+            *[F.col(c).alias(f"__{side}_{c}") for c in ("lo", "hi")],
+        )
+        out = out.join(named, [f"{side}_{c}" for c in key])
+    gaps = F.zip_with("__l_lo", "__r_hi", lambda a, b: a - b), F.zip_with(
+        "__r_lo", "__l_hi", lambda a, b: a - b
+    )
+    apart = F.greatest(*[F.array_max(gap) for gap in gaps]) > eps * (1 + 1e-9) + 1e-12
+    return out.where(~apart).select(*pairs.columns)
 
 
 def _block_pairs(placed: DataFrame, cells: DataFrame, bands: list[str]) -> DataFrame:
     """Keys of all block pairs in equal or adjacent cells, each pair once; no vectors yet."""
-    key = [*bands, "block"]
+    key = [*bands, "near", "block"]
     shifts = F.array(
         *[
             F.struct(*[(F.col(f"l_{b}") + F.lit(s)).alias(b) for b, s in zip(bands, shift)])
@@ -178,7 +220,7 @@ def _block_pairs(placed: DataFrame, cells: DataFrame, bands: list[str]) -> DataF
 
 def _with_blocks(pairs: DataFrame, table: DataFrame, bands: list[str], fields: dict[str, str]):
     """Attach both blocks' arrays (in pid order) to the pair keys."""
-    key = [*bands, "block"]
+    key = [*bands, "near", "block"]
     entry = F.struct("pid", *[c for c in fields.values() if c != "pid"])
     packed = table.groupBy(*key).agg(F.sort_array(F.collect_list(entry)).alias("e"))
     out = pairs
@@ -217,8 +259,13 @@ def density_clusters(
         return rows.select(
             *keys, F.lit(NOISE).cast("bigint").alias("cluster"), F.lit(0.0).alias("cluster_prob")
         )
-    at = sorted({round(i * (total - 1) / max(N_PIVOTS - 1, 1)) for i in range(N_PIVOTS)})
-    pivots = [list(r[vector]) for r in points.where(F.col("pid").isin(at)).collect()]
+
+    def spread(n: int) -> list[list[float]]:
+        """n points, even in vector order."""
+        at = sorted({round(i * (total - 1) / max(n - 1, 1)) for i in range(n)})
+        return [list(r[vector]) for r in points.where(F.col("pid").isin(at)).collect()]
+
+    pivots, landmarks = spread(N_PIVOTS), spread(N_LANDMARKS)
 
     width = eps * (1 + 1e-9)
     bands = [f"band_{i}" for i in range(len(pivots))]
@@ -228,16 +275,21 @@ def density_clusters(
             for band, pivot in zip(bands, pivots)
         }
     )
-    cells = points.groupBy(*bands).agg(
+    points = points.withColumn("landmarks", _landmark_distances(vector, landmarks))
+    nearest_one = F.array_position("landmarks", F.array_min("landmarks")).cast("int")
+    points = points.withColumn("near", nearest_one)
+    cells = points.groupBy(*bands, "near").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("n_blocks")
     )
     placed = checkpointed(
-        points.join(cells, bands).withColumn(
+        points.join(cells, [*bands, "near"]).withColumn(
             "block", F.pmod(F.xxhash64("pid"), F.col("n_blocks")).cast("int")
         )
     )
 
-    pairs = _block_pairs(placed, cells, bands)
+    key = [*bands, "near", "block"]
+    ranges = _block_ranges(placed, key, len(landmarks))
+    pairs = checkpointed(_within_reach(_block_pairs(placed, cells, bands), ranges, key, eps))
     arrays = {"ids": "pid", "vecs": vector}
     counts = (
         _with_blocks(pairs, placed, bands, {**arrays, "weights": "weight"})
