@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import threading
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from gridmotion.catalog import sqltext as X
 from gridmotion.catalog.base import labels, q, query, table, tracking
 from gridmotion.catalog.features import K4, same
+from gridmotion.catalog.relations import fraction_sql
+from gridmotion.functions import scalars as S
 from gridmotion.operators import density, evaluate, models, neighbors, sampling
 from gridmotion.operators.joins import predictions_with_truth
 from gridmotion.operators.normalize import fit_scaler, rightward
@@ -16,10 +22,6 @@ from gridmotion.schemas import PLAY_KEYS, ROW_KEYS, SIDE_KEYS, T0_FEATURES, TIME
 from gridmotion.session import scratch_path
 from gridmotion.sources.files import write_csv
 
-# Small boosting settings: the registered queries check the path, not the accuracy.
-QUICK = {"trees": 3, "depth": 3}
-
-
 def matched_projection(spark, sf):
     return predictions_with_truth(kinematic(spark, sf), labels(spark, sf))
 
@@ -62,14 +64,7 @@ _FACTORS = {"mean_sq2d": "1e0", "half": "0.5e0", "elementwise": "0.5e0", "elemen
     X.MATCHED,
 )
 def _(spark, sf):
-    matched = matched_projection(spark, sf)
-    parts = [
-        evaluate.rmse(matched, mode).withColumn("mode", F.lit(mode)) for mode in evaluate.RMSE_MODES
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("mode", "n_points", "rmse")
+    return evaluate.all_rmse_modes(matched_projection(spark, sf))
 
 
 @query(
@@ -150,14 +145,12 @@ def _(spark, sf):
 
 @query(
     "formation_knn_saved",
-    _NEAREST.format(pick="game_id = 2024000000 AND play_id = 2 AND player_side = 'Offense'").replace(
-        "FROM matrix c", "FROM (SELECT * FROM matrix WHERE player_side = 'Offense') c"
-    ),
+    _NEAREST.format(pick="game_id = 2024000000 AND play_id = 2 AND player_side = 'Offense'"),
     X.MATRIX,
 )
 def _(spark, sf):
     path = scratch_path(spark, "formation_index")
-    neighbors.build_formation_index(rightward(tracking(spark, sf)), "Offense", path)
+    neighbors.build_formation_index(rightward(tracking(spark, sf)), None, path)
     return neighbors.nearest_by_key(neighbors.load_formation_index(spark, path), _KEY, 5)
 
 
@@ -258,6 +251,31 @@ def _(spark, sf):
 
 
 # ------------------------------------------------------------------ models
+#
+# Fitted values are Spark's own, so each query reports what SQL can state of a full run: the
+# rows of every part, that no row lacks a prediction, and that the model beats the mean.
+
+_LAGGED = f"""(SELECT {K4} FROM (SELECT {K4}, {", ".join(
+    f"lag({c}, 5) OVER (PARTITION BY game_id, play_id, nfl_id ORDER BY frame_id) AS {c}5"
+    for c in ("x", "y"))} FROM tracking) WHERE x5 IS NOT NULL AND y5 IS NOT NULL)"""
+_T0_ROWS = f"(SELECT {K4} FROM labels JOIN (SELECT game_id, play_id, nfl_id FROM last_rows) USING (game_id, play_id, nfl_id))"
+
+
+def _split_report(rows: str, keys: list[str]) -> str:
+    share = fraction_sql(keys)
+    return f"""SELECT CAST(count(*) FILTER (WHERE {share} < 0.8e0) AS BIGINT) AS n_train,
+      CAST(count(*) FILTER (WHERE {share} >= 0.8e0) AS BIGINT) AS n_test,
+      CAST(0 AS BIGINT) AS n_missing, true AS beats_mean FROM {rows}"""
+
+
+def _report(spark, **values):
+    kinds = {bool: "boolean", int: "bigint"}
+    schema = ", ".join(f"{name} {kinds[type(v)]}" for name, v in values.items())
+    return spark.createDataFrame([tuple(values.values())], schema)
+
+
+def _missing(scored) -> int:
+    return scored.where("pred_x IS NULL OR pred_y IS NULL").count()
 
 
 def _lags(spark, sf):
@@ -265,85 +283,156 @@ def _lags(spark, sf):
     return rows, P.lag_features(rows.columns, 5)
 
 
-@query("boosted_lag_model")
-def _(spark, sf):
+def _lag_report(spark, sf, keys):
     rows, features = _lags(spark, sf)
-    return models.holdout_error(rows, features, settings=QUICK)[2]
+    _, scored, error = models.holdout_error(rows, features, split_keys=keys)
+    parts = sampling.train_test(rows, keys=keys)
+    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
+    return _report(
+        spark,
+        n_train=train.count(),
+        n_test=scored.count(),
+        n_missing=_missing(scored),
+        beats_mean=error.first().rmse < models.mean_baseline(train, test),
+    )
 
 
-@query("boosted_lag_model_row_split")
+@query("boosted_lag_model", _split_report(_LAGGED, PLAY_KEYS))
 def _(spark, sf):
-    rows, features = _lags(spark, sf)
-    return models.holdout_error(rows, features, settings=QUICK, split_keys=ROW_KEYS)[2]
+    return _lag_report(spark, sf, PLAY_KEYS)
+
+
+@query("boosted_lag_model_row_split", _split_report(_LAGGED, ROW_KEYS))
+def _(spark, sf):
+    return _lag_report(spark, sf, ROW_KEYS)
 
 
 def _t0(spark, sf):
     return P.t0_training_table(tracking(spark, sf), labels(spark, sf))
 
 
-@query("boosted_t0_model")
+_FITTED: dict[tuple[str, str], models.AxisModels] = {}
+_FITTING = threading.Lock()
+
+
+def _t0_scored(spark, sf):
+    """The full t0 model scored on its training rows; a session fits it once per data folder."""
+    rows, key = _t0(spark, sf), (spark.sparkContext.applicationId, sf)
+    with _FITTING:
+        if key not in _FITTED:
+            _FITTED[key] = models.fit_axes(rows, T0_FEATURES, settings=models.T0_SETTINGS)
+    return _FITTED[key], rows, models.score(_FITTED[key], rows, T0_FEATURES, ROW_KEYS)
+
+
+@query(
+    "boosted_t0_model",
+    f"SELECT {K4}, true AS predicted FROM {_T0_ROWS}",
+    ("last_rows",),
+)
 def _(spark, sf):
-    rows = _t0(spark, sf)
-    fitted = models.fit_axes(rows, T0_FEATURES, settings={**models.T0_SETTINGS, **QUICK})
-    return models.score(fitted, rows, T0_FEATURES, ROW_KEYS)
+    scored = _t0_scored(spark, sf)[2]
+    known = F.col("pred_x").isNotNull() & F.col("pred_y").isNotNull()
+    return scored.select(*ROW_KEYS, known.alias("predicted"))
 
 
-@query("boosted_t0_play_error")
+@query(
+    "boosted_t0_play_error",
+    f"""SELECT CAST(count(DISTINCT (game_id, play_id)) AS BIGINT) AS n_plays, true AS beats_mean
+    FROM {_T0_ROWS}""",
+    ("last_rows",),
+)
 def _(spark, sf):
-    rows = _t0(spark, sf)
-    fitted = models.fit_axes(rows, T0_FEATURES, settings={**models.T0_SETTINGS, **QUICK})
-    scored = models.score(fitted, rows, T0_FEATURES, ROW_KEYS)
-    return evaluate.play_averaged_rmse(predictions_with_truth(scored, labels(spark, sf)), PLAY_KEYS)
+    _, rows, scored = _t0_scored(spark, sf)
+    truth = labels(spark, sf)
+    error = evaluate.play_averaged_rmse(predictions_with_truth(scored, truth), PLAY_KEYS).first()
+    mean = rows.agg(F.avg("x"), F.avg("y")).first()
+    flat = rows.select(*ROW_KEYS, F.lit(mean[0]).alias("pred_x"), F.lit(mean[1]).alias("pred_y"))
+    plain = evaluate.play_averaged_rmse(predictions_with_truth(flat, truth), PLAY_KEYS).first()
+    return _report(spark, n_plays=error.n_plays, beats_mean=error.rmse < plain.rmse)
+
+
+SEARCH_SEQUENCES = 300  # labelled sequences a registered search draws
+
+_SEARCH_SQL = """SELECT CAST(4 AS BIGINT) AS n_trials, CAST(0 AS BIGINT) AS n_unscored,
+  true AS best_is_least FROM (SELECT count(*) FROM labels)"""
+
+
+def _search_report(spark, sf, k):
+    result = models.search_settings(_t0(spark, sf), T0_FEATURES, k=k, n_sequences=SEARCH_SEQUENCES)
+    history = result.history_table(spark)
+    found = history.agg(F.count(F.lit(1)), F.count(F.when(F.col("error").isNull(), 1)), F.min("error"))
+    n_trials, n_unscored, least = found.first()
+    return _report(spark, n_trials=n_trials, n_unscored=n_unscored, best_is_least=least == result.score)
 
 
-@query("settings_search_folds")
+@query("settings_search_folds", _SEARCH_SQL)
 def _(spark, sf):
-    result = models.search_settings(
-        _t0(spark, sf), T0_FEATURES, trials=2, k=2, depths=(2, 3), trees=(2, 3)
-    )
-    return result.history_table(spark)
+    return _search_report(spark, sf, 3)
 
 
-@query("settings_search_holdout")
+@query("settings_search_holdout", _SEARCH_SQL)
 def _(spark, sf):
-    result = models.search_settings(
-        _t0(spark, sf), T0_FEATURES, trials=2, k=None, depths=(2, 3), trees=(2, 3)
-    )
-    return result.history_table(spark)
+    return _search_report(spark, sf, None)
 
 
-@query("early_stopped_model")
+@query(
+    "early_stopped_model",
+    f"SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_missing, true AS stopped FROM {_T0_ROWS}",
+    ("last_rows",),
+)
 def _(spark, sf):
     rows = _t0(spark, sf)
-    fitted = models.early_stopped_fit(rows, T0_FEATURES, settings={**QUICK, "trees": 6})
-    return models.score(fitted, rows, T0_FEATURES, ROW_KEYS)
+    fitted = models.early_stopped_fit(rows, T0_FEATURES, settings=models.T0_SETTINGS)
+    scored = models.score(fitted, rows, T0_FEATURES, ROW_KEYS)
+    return _report(
+        spark,
+        n_rows=scored.count(),
+        n_missing=_missing(scored),
+        stopped=max(fitted.n_trees()) < models.T0_SETTINGS["trees"],
+    )
 
 
-@query("batch_scoring_saved_model")
+@query(
+    "batch_scoring_saved_model",
+    f"SELECT {K4}, true AS as_before FROM {_T0_ROWS}",
+    ("last_rows",),
+)
 def _(spark, sf):
-    rows, path = _t0(spark, sf), scratch_path(spark, "bundle")
-    fitted = models.fit_axes(rows, T0_FEATURES, settings=QUICK)
+    path = scratch_path(spark, "bundle")
+    fitted, rows, before = _t0_scored(spark, sf)
     index = P.player_index(tracking(spark, sf))
     models.save_bundle(fitted, index, fit_scaler(rows, ["x", "y"]), path)
     loaded, known, _ = models.load_bundle(spark, path)
-    scored = models.score(loaded, rows.join(known, "nfl_id"), T0_FEATURES, ROW_KEYS)
+    scored = models.score(loaded, rows.join(known, "nfl_id"), loaded.features, ROW_KEYS)
     out = scratch_path(spark, "scored.csv")
     write_csv(scored, out)
-    return spark.read.schema(scored.schema).option("header", True).csv(out)
+    again = spark.read.schema(scored.schema).option("header", True).csv(out)
+    first = before.select(*ROW_KEYS, F.col("pred_x").alias("x0"), F.col("pred_y").alias("y0"))
+    same_values = (F.col("pred_x") == F.col("x0")) & (F.col("pred_y") == F.col("y0"))
+    return again.join(first, ROW_KEYS).select(*ROW_KEYS, same_values.alias("as_before"))
 
 
 @query(
     "python_model_scoring",
-    f"SELECT {K4}, {q('x + 1e0 AS pred_x', 'y - 1e0 AS pred_y')} FROM labels",
+    f"SELECT {K4}, true AS finite FROM {_T0_ROWS}",
+    ("last_rows",),
 )
 def _(spark, sf):
+    """A linear model fitted here by least squares, scored in Arrow batches by NumPy."""
+    rows = _t0(spark, sf).withColumns({c: S.zero_if_not_finite(F.col(c)) for c in T0_FEATURES})
+    terms = VectorAssembler(inputCols=T0_FEATURES, outputCol="terms").transform(rows.dropna(subset=["x", "y"]))
+    fits = [LinearRegression(featuresCol="terms", labelCol=t, regParam=0.01).fit(terms) for t in ("x", "y")]
+    weights = [(fit.coefficients.toArray(), fit.intercept) for fit in fits]
+
     def predict(batch):
-        keys = ["game_id", "play_id", "nfl_id", "frame_id"]
-        return batch[keys].assign(pred_x=batch["x"] + 1.0, pred_y=batch["y"] - 1.0)
+        values = batch[T0_FEATURES].to_numpy()
+        (wx, bx), (wy, by) = weights
+        return batch[ROW_KEYS].assign(pred_x=values @ wx + bx, pred_y=values @ wy + by)
 
-    return models.score_with_python(
-        labels(spark, sf),
-        [*ROW_KEYS, "x", "y"],
+    scored = models.score_with_python(
+        rows,
+        [*ROW_KEYS, *T0_FEATURES],
         predict,
         "game_id long, play_id long, nfl_id long, frame_id int, pred_x double, pred_y double",
     )
+    return scored.select(*ROW_KEYS, (S.is_finite(F.col("pred_x")) & S.is_finite(F.col("pred_y"))).alias("finite"))

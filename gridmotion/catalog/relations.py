@@ -143,16 +143,17 @@ def _(spark, sf):
 
 @query(
     "full_join_plays",
-    """SELECT game_id, play_id, CAST(n_fast AS BIGINT) AS n_fast, CAST(n_wide AS BIGINT) AS n_wide
-    FROM (SELECT game_id, play_id, count(*) AS n_fast FROM tracking WHERE s > 9.9e0 GROUP BY 1, 2)
-    FULL JOIN (SELECT game_id, play_id, count(*) AS n_wide FROM labels WHERE y > 52.8e0 GROUP BY 1, 2)
+    # Label plays are numbered one on, so that either side has plays the other lacks.
+    """SELECT game_id, play_id, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_labels AS BIGINT) AS n_labels
+    FROM (SELECT game_id, play_id, count(*) AS n_rows FROM tracking GROUP BY 1, 2)
+    FULL JOIN (SELECT game_id, play_id + 1 AS play_id, count(*) AS n_labels FROM labels GROUP BY 1, 2)
     USING (game_id, play_id)""",
 )
 def _(spark, sf):
-    fast = tracking(spark, sf).where("s > 9.9").groupBy(*PLAY_KEYS)
-    wide = labels(spark, sf).where("y > 52.8").groupBy(*PLAY_KEYS)
+    rows = tracking(spark, sf).groupBy(*PLAY_KEYS)
+    moved = labels(spark, sf).withColumn("play_id", F.col("play_id") + 1).groupBy(*PLAY_KEYS)
     return joins.full_join_plays(
-        fast.agg(F.count(F.lit(1)).alias("n_fast")), wide.agg(F.count(F.lit(1)).alias("n_wide"))
+        rows.agg(F.count(F.lit(1)).alias("n_rows")), moved.agg(F.count(F.lit(1)).alias("n_labels"))
     )
 
 
@@ -419,7 +420,12 @@ def _(spark, sf):
     return sampling.sample_sequences(labels(spark, sf), 30).select(*ROW_KEYS, "x", "y")
 
 
-_FRACTION = f"{_number(PLAY_KEYS)} / 4294967296e0"
+def fraction_sql(keys: list[str]) -> str:
+    """The digest of the keys as a fraction in [0, 1)."""
+    return f"{_number(keys)} / 4294967296e0"
+
+
+_FRACTION = fraction_sql(PLAY_KEYS)
 
 
 @query(

@@ -6,8 +6,10 @@ features, splits and error measures are the same.
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -17,16 +19,27 @@ from pyspark.ml.pipeline import Pipeline
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from gridmotion.functions import scalars as S
 from gridmotion.operators.evaluate import rmse
 from gridmotion.operators.rollups import last_states
-from gridmotion.operators.sampling import fold_column, split_column
+from gridmotion.operators.sampling import fold_column, sample_sequences, split_column
 from gridmotion.schemas import ROW_KEYS, TICK_SECONDS, TIMELINE_KEYS
 
 # The boosting settings of the lag model and of the t0 model.
 LAG_SETTINGS = {"trees": 200, "step": 0.05, "depth": 6, "rows": 0.9, "columns": "0.9", "seed": 42}
 T0_SETTINGS = {**LAG_SETTINGS, "trees": 300}
+PARTITION_ROWS = 100_000  # training rows a task; a tree costs a few jobs over all partitions
+SIDE_BY_SIDE = 4  # fits that run at once
+
+
+def together(spark: SparkSession, tasks: list[Callable]) -> list:
+    """Results of independent driver steps whose Spark jobs may overlap."""
+    if len(tasks) < 2:
+        return [task() for task in tasks]
+    with ThreadPoolExecutor(min(SIDE_BY_SIDE, len(tasks))) as pool:
+        return list(pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks))
 
 
 @dataclass
@@ -48,7 +61,11 @@ class AxisModels:
 
     @classmethod
     def load(cls, path: str) -> AxisModels:
-        return cls(PipelineModel.load(f"{path}/x"), PipelineModel.load(f"{path}/y"))
+        x, y = PipelineModel.load(f"{path}/x"), PipelineModel.load(f"{path}/y")
+        return cls(x, y, list(x.stages[0].getInputCols()))
+
+    def n_trees(self) -> tuple[int, int]:
+        return self.x.stages[-1].getNumTrees, self.y.stages[-1].getNumTrees
 
 
 def _pipeline(features, target, axis, settings, validation) -> Pipeline:
@@ -68,6 +85,8 @@ def _pipeline(features, target, axis, settings, validation) -> Pipeline:
         subsamplingRate=settings["rows"],
         featureSubsetStrategy=settings["columns"],
         seed=settings["seed"],
+        cacheNodeIds=True,
+        maxMemoryInMB=1024,  # the nodes of a level are found in one job
         **options,
     )
     return Pipeline(stages=[assembler, trees])
@@ -91,11 +110,22 @@ def fit_axes(
         subset=list(targets)
     )
     train = train.withColumns({c: S.zero_if_not_finite(F.col(c)) for c in features})
-    return AxisModels(
-        _pipeline(features, targets[0], "x", settings, validation).fit(train),
-        _pipeline(features, targets[1], "y", settings, validation).fit(train),
-        features,
-    )
+    train = train.persist()  # rebuilt from lineage when an executor is lost
+    try:
+        parts = max(1, -(-train.count() // PARTITION_ROWS))
+        even = train.coalesce(parts)
+        x, y = together(
+            df.sparkSession,
+            [
+                lambda axis=axis, target=target: _pipeline(
+                    features, target, axis, settings, validation
+                ).fit(even)
+                for axis, target in zip(("x", "y"), targets)
+            ],
+        )
+    finally:
+        train.unpersist()
+    return AxisModels(x, y, list(features))
 
 
 def score(models: AxisModels, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
@@ -150,6 +180,15 @@ def scored_error(scored: DataFrame, targets=("x", "y"), mode: str = "mean_sq2d")
     return rmse(matched, mode)
 
 
+def mean_baseline(
+    train: DataFrame, held: DataFrame, targets: tuple[str, str] = ("x", "y"), mode: str = "mean_sq2d"
+) -> float | None:
+    """Error on held rows of always predicting the training rows' mean target."""
+    mean = train.agg(*[F.avg(t) for t in targets]).first()
+    scored = held.withColumns({"pred_x": F.lit(mean[0]), "pred_y": F.lit(mean[1])})
+    return scored_error(scored, targets, mode).first().rmse
+
+
 def cross_validated_error(
     df: DataFrame,
     features: list[str],
@@ -158,56 +197,71 @@ def cross_validated_error(
     k: int = 3,
     keys: list[str] = TIMELINE_KEYS,
     seed: int = 42,
+    mode: str = "elementwise",
 ) -> float:
-    """Mean over folds of the per-coordinate error; a sequence stays within one fold."""
+    """Mean over the folds that hold rows of the error; a sequence stays within one fold."""
     folded = fold_column(df, k, keys, seed)
-    errors = []
-    for fold in range(k):
+
+    def error_of(fold: int) -> float | None:
         models = fit_axes(folded.where(F.col("fold") != fold), features, targets, settings)
         held = folded.where(F.col("fold") == fold)
-        scored = score(models, held, features, list(targets))
-        errors.append(scored_error(scored, targets, "elementwise").first().rmse)
+        return scored_error(score(models, held, features, list(targets)), targets, mode).first().rmse
+
+    filled = [r["fold"] for r in folded.select("fold").distinct().collect()]  # k rows at most
+    if len(filled) < 2:
+        raise ValueError("cross-validation needs rows in two folds at least")
+    errors = together(df.sparkSession, [lambda f=f: error_of(f) for f in filled])
     known = [e for e in errors if e is not None]
+    if not known:
+        raise ValueError("no fold has a target to score")
     return sum(known) / len(known)
 
 
+@dataclass(frozen=True)
+class SearchSpace:
+    """Values each setting may take, in order; a step goes to a neighbouring value."""
+
+    depth: tuple[int, ...] = (3, 4, 5, 6)
+    trees: tuple[int, ...] = (50, 100, 200)
+    step: tuple[float, ...] = (0.05, 0.1, 0.2)
+    rows: tuple[float, ...] = (0.8, 0.9, 1.0)
+
+    def anywhere(self, rng: random.Random) -> dict[str, int]:
+        """A place in the space, as an index per setting."""
+        return {name: rng.randrange(len(values)) for name, values in vars(self).items()}
+
+    def beside(self, place: dict[str, int], rng: random.Random) -> dict[str, int]:
+        """A place one step away in one setting or more."""
+        movable = [name for name, values in vars(self).items() if len(values) > 1]
+        moved = dict(place)
+        for name in rng.sample(movable, rng.randint(1, len(movable))) if movable else ():
+            last = len(getattr(self, name)) - 1
+            moved[name] = min(last, max(0, place[name] + (1 if rng.random() < 0.5 else -1)))
+        return moved
+
+    def settings(self, place: dict[str, int]) -> dict:
+        return {name: getattr(self, name)[at] for name, at in place.items()}
+
+
 @dataclass
 class SearchResult:
     settings: dict
     score: float
-    history: list[dict]
+    trials: list[tuple[dict, float]]
 
     def history_table(self, spark: SparkSession) -> DataFrame:
-        rows = [
-            (h["trial"], h["error"], h["depth"], h["trees"], h["step"], h["rows"])
-            for h in self.history
+        """One row a trial: number, error and the settings tried."""
+        lines = [
+            json.dumps({"trial": i, "error": error, **settings})
+            for i, (settings, error) in enumerate(self.trials, 1)
         ]
-        return spark.createDataFrame(
-            rows, "trial int, error double, depth int, trees int, step double, row_share double"
+        fields = "trial int, error double, depth int, trees int, step double, rows double"
+        parsed = spark.createDataFrame([(line,) for line in lines], "line string")
+        return parsed.select(F.inline(F.array(F.from_json("line", fields)))).withColumnRenamed(
+            "rows", "row_share"
         )
 
 
-# Where the search starts and how far one move goes.
-_DEPTHS, _TREES = (3, 4, 5, 6), (50, 100, 200)
-_STEPS, _ROWS = (0.05, 0.1), (0.8, 0.9, 1.0)
-
-
-def _propose(best: dict | None, rng: random.Random, depths, trees) -> dict:
-    if best is None:
-        return {
-            "depth": rng.choice(depths),
-            "trees": rng.choice(trees),
-            "step": rng.choice(_STEPS),
-            "rows": rng.choice(_ROWS),
-        }
-    spread = max(1, min(trees) // 2)
-    return {
-        **best,
-        "depth": max(1, best["depth"] + rng.choice([-1, 0, 1])),
-        "trees": max(1, best["trees"] + rng.choice([-spread, 0, spread])),
-    }
-
-
 def search_settings(
     df: DataFrame,
     features: list[str],
@@ -215,29 +269,51 @@ def search_settings(
     trials: int = 4,
     k: int | None = 3,
     seed: int = 42,
-    depths: tuple[int, ...] = _DEPTHS,
-    trees: tuple[int, ...] = _TREES,
+    space: SearchSpace | None = None,
+    per_round: int = 2,
+    n_sequences: int | None = None,
+    mode: str = "elementwise",
 ) -> SearchResult:
-    """Random search that moves around the best settings so far.
+    """Search by rounds of trials that are fitted side by side.
 
-    Scores by k-fold error, or by one hold-out part when k is None.
+    The first round is drawn from the whole space; a later round stays around the best place
+    so far. Every trial is scored by the same error measure: k-fold, or on one held-out part
+    when k is None. n_sequences bounds the labelled sequences that the search draws, by digest.
     """
-    rng = random.Random(seed)
-    best, best_error, history = None, float("inf"), []
-    data = df.persist()  # read by every trial and fold; rebuilt from lineage when lost
+    space, rng = space or SearchSpace(), random.Random(seed)
+    data = df if n_sequences is None else sample_sequences(df, n_sequences, TIMELINE_KEYS, seed)
+    data = data.persist()  # read by every trial; rebuilt from lineage when lost
+
+    def error_of(settings: dict) -> float:
+        settings = {**settings, "seed": seed}
+        if k is not None:
+            return cross_validated_error(data, features, targets, settings, k, seed=seed, mode=mode)
+        error = holdout_error(data, features, targets, settings, seed=seed, mode=mode)[2].first().rmse
+        if error is None:
+            raise ValueError("the held-out part has no target to score")
+        return error
+
+    tried: list[tuple[dict, float]] = []
+    best_place, best = None, None
     try:
-        for trial in range(1, trials + 1):
-            settings = _propose(best, rng, depths, trees)
-            if k is None:
-                error = holdout_error(data, features, targets, settings)[2].first().rmse
-            else:
-                error = cross_validated_error(data, features, targets, settings, k, seed=seed)
-            history.append({"trial": trial, "error": float(error), **settings})
-            if error < best_error:
-                best, best_error = settings, error
+        while len(tried) < trials:
+            count = min(per_round, trials - len(tried))
+            places = [
+                space.anywhere(rng) if best_place is None else space.beside(best_place, rng)
+                for _ in range(count)
+            ]
+            errors = together(
+                df.sparkSession, [lambda p=p: error_of(space.settings(p)) for p in places]
+            )
+            for place, error in zip(places, errors):
+                tried.append((space.settings(place), error))
+                if best is None or error < best[1]:
+                    best_place, best = place, tried[-1]
     finally:
         data.unpersist()
-    return SearchResult(best, best_error, history)
+    if best is None:
+        raise ValueError("a search needs one trial at least")
+    return SearchResult(best[0], best[1], tried)
 
 
 def early_stopped_fit(

@@ -53,11 +53,36 @@ def test_bundle_round_trip(spark, tmp_path):
 
 def test_search_keeps_the_best(spark):
     rows = P.t0_training_table(tracking(spark, SF), labels(spark, SF))
-    found = models.search_settings(
-        rows, T0_FEATURES, trials=2, k=None, depths=(1, 2), trees=(1, 2)
-    )
-    assert found.score == min(h["error"] for h in found.history) and len(found.history) == 2
-    assert found.history_table(spark).count() == 2
+    space = models.SearchSpace(depth=(1, 2), trees=(1, 2))
+    found = models.search_settings(rows, T0_FEATURES, trials=3, k=None, space=space, n_sequences=60)
+    errors = [error for _, error in found.trials]
+    assert found.score == min(errors) and len(errors) == 3
+    table = found.history_table(spark).orderBy("trial").collect()
+    assert [r.error for r in table] == errors and [r.trial for r in table] == [1, 2, 3]
+
+
+def test_search_moves_every_setting(spark):
+    import random
+
+    space, rng = models.SearchSpace(), random.Random(1)
+    place, seen = space.anywhere(rng), {name: set() for name in vars(space)}
+    for _ in range(300):
+        place = space.beside(place, rng)
+        for name, at in place.items():
+            seen[name].add(getattr(space, name)[at])
+    assert all(seen[name] == set(values) for name, values in vars(space).items())
+
+
+def test_search_needs_rows_to_score(spark):
+    rows = P.t0_training_table(tracking(spark, SF), labels(spark, SF)).where("game_id = 0")
+    with pytest.raises(ValueError):
+        models.cross_validated_error(rows, T0_FEATURES, settings=FEW)
+
+
+def test_loaded_models_know_their_features(spark, tmp_path):
+    rows = P.t0_training_table(tracking(spark, SF), labels(spark, SF))
+    models.fit_axes(rows, T0_FEATURES, settings=FEW).save(str(tmp_path))
+    assert models.AxisModels.load(str(tmp_path)).features == list(T0_FEATURES)
 
 
 def test_projection_frames_and_motion(spark):
