@@ -11,6 +11,7 @@ from gridmotion.operators import sequences as Q
 from gridmotion.operators.joins import frame_aligned_join, with_last_label
 from gridmotion.operators.rollups import TARGET_NAMES, formation_targets
 from gridmotion.operators.normalize import fit_scaler, missing_to_zero, player_scalars, rightward
+from gridmotion.plans import tables as P
 from gridmotion.schemas import RAW_SEQUENCE_FEATURES, SIDE_FRAME_KEYS, SIDE_KEYS, TIMELINE_KEYS
 
 K3 = "game_id, play_id, nfl_id"
@@ -86,6 +87,53 @@ def _(spark, sf):
     return cells(Q.scaled_sequences(joined, scaler, 15), TIMELINE_KEYS, "features")
 
 
+_SCALED_TARGET = """SELECT game_id, play_id, nfl_id, {tx}, {ty}, coalesce(player_idx, 0) AS player_idx
+  FROM targets LEFT JOIN (SELECT nfl_id, row_number() OVER (ORDER BY nfl_id) - 1 AS player_idx FROM (
+    SELECT DISTINCT nfl_id FROM tracking WHERE nfl_id % 2 = 0)) USING (nfl_id)"""
+
+
+def _target_moments(column: str) -> str:
+    """A target scaled over the input rows that carry it, by the population deviation."""
+    rows = f"(SELECT {column} FROM tracking JOIN targets USING (game_id, play_id, nfl_id))"
+    return q(
+        f"({column} - (SELECT avg({column}) FROM {rows})) / (SELECT stddev_pop({column}) FROM {rows}) AS {column}"
+    )
+
+
+def _zscored(spark, sf, with_target: bool):
+    rows = missing_to_zero(tracking(spark, sf), RAW_SEQUENCE_FEATURES)
+    index = P.player_index(tracking(spark, sf).where("nfl_id % 2 = 0"))
+    if not with_target:
+        return Q.scaled_sequences(rows, fit_scaler(rows, RAW_SEQUENCE_FEATURES), 15, None, player_index=index)
+    joined = with_last_label(rows, labels(spark, sf))
+    scaler = fit_scaler(joined, RAW_SEQUENCE_FEATURES)
+    targets = fit_scaler(joined, ["tx", "ty"], sample=False)
+    return Q.scaled_sequences(joined, scaler, 15, target_scaler=targets, player_index=index)
+
+
+@query(
+    "zscored_sequence_targets",
+    f"WITH targets AS ({_TARGETS}) "
+    + _SCALED_TARGET.format(tx=_target_moments("tx"), ty=_target_moments("ty")),
+)
+def _(spark, sf):
+    """Scaled targets and player indexes; every second player is known to the index."""
+    packed = _zscored(spark, sf, True)
+    return packed.select(
+        *TIMELINE_KEYS, F.col("target")[0].alias("tx"), F.col("target")[1].alias("ty"), "player_idx"
+    )
+
+
+@query(
+    "zscored_sequences_inference",
+    _padded(_SCALED.replace(f"WHERE ({K3}) IN (SELECT ({K3}) FROM labels)", ""), RAW_SEQUENCE_FEATURES, 15, "last", "left")
+    .replace("WITH kept", f"WITH {_FILLED_CTE}, kept", 1),
+)
+def _(spark, sf):
+    """Every timeline, labelled or not, as a model meets it when it predicts."""
+    return cells(_zscored(spark, sf, False), TIMELINE_KEYS, "features")
+
+
 _PLAY_FEATURES = ["x_norm", "y_norm", "s", "a", "vx", "vy"]
 _MODEL = f"""(SELECT {K4}, x_norm, y_norm, coalesce(s, 0e0) AS s, a,
   coalesce(s * cos(radians(dir_norm)), 0e0) AS vx, coalesce(s * sin(radians(dir_norm)), 0e0) AS vy

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmotion.functions import scalars as S
+from gridmotion.operators.joins import with_player_index
 from gridmotion.operators.normalize import ensure_rightward, only_side
 from gridmotion.operators.rollups import (
     TARGET_NAMES,
@@ -89,13 +90,26 @@ def label_sequences(joined: DataFrame, length: int = 100) -> DataFrame:
 
 
 def scaled_sequences(
-    df: DataFrame, scaler, length: int = 15, target: list[str] | None = ("tx", "ty")
+    df: DataFrame,
+    scaler,
+    length: int = 15,
+    target: list[str] | None = ("tx", "ty"),
+    target_scaler=None,
+    player_index: DataFrame | None = None,
 ) -> DataFrame:
     """Last `length` z-scored frames, left-padded with zeros.
 
-    With target columns, sequences without a finite target are left out.
+    With target columns, sequences without a finite target are left out; target_scaler scales
+    them too. player_index adds each player's index, 0 for a player it does not hold.
     """
+    out = _scaled(df, scaler, length, target, target_scaler)
+    return out if player_index is None else with_player_index(out, player_index, "zero")
+
+
+def _scaled(df, scaler, length, target, target_scaler) -> DataFrame:
     rows = scaler.transform(df)
+    if target is not None and target_scaler is not None:
+        rows = target_scaler.transform(rows)
     groups = {"features": list(scaler.means)}
     if target is None:
         return pack_sequences(rows, groups, length, keep="last", pad="left")
