@@ -33,12 +33,13 @@ _TRACKING_SQL = f"SELECT {', '.join(_OTHERS)}, {same(*_DOUBLES)} FROM tracking"
 _LABEL_SQL = f"SELECT {K4}, {same('x', 'y')} FROM labels"
 
 
-def _write_weekly_csv(rows, prefix: str, path: str) -> None:
+def _write_weekly_csv(rows, prefix: str, root: str) -> None:
     """One folder of parts per week, named like the weekly raw files."""
     week = F.lpad(F.col("week").cast("string"), 2, "0")
     name = F.concat(F.lit(f"{prefix}_2023_w"), week, F.lit(".csv"))
-    named = rows.withColumn("file", name).drop("week")
-    named.write.partitionBy("file").option("header", True).csv(path)
+    parts = f"{root}/parts-{prefix}"
+    rows.withColumn("file", name).drop("week").write.partitionBy("file").option("header", True).csv(parts)
+    files.move_children(rows.sparkSession, parts, root, "file=")
 
 
 def _raw(spark, sf, test: bool = False) -> str:
@@ -47,8 +48,8 @@ def _raw(spark, sf, test: bool = False) -> str:
     columns = [f.name for f in TRACKING_SCHEMA]
     inputs = tracking(spark, sf).select(*columns, "week")
     outputs = labels(spark, sf).select(*[f.name for f in LABEL_SCHEMA], "week")
-    _write_weekly_csv(inputs, "input", f"{root}/inputs")
-    _write_weekly_csv(outputs, "output", f"{root}/outputs")
+    _write_weekly_csv(inputs, "input", root)
+    _write_weekly_csv(outputs, "output", root)
     if test:
         inputs.drop("week").write.option("header", True).csv(
             f"{root}/{ingest.TEST_INPUT}"
@@ -57,11 +58,11 @@ def _raw(spark, sf, test: bool = False) -> str:
 
 
 def _inputs(root: str) -> str:
-    return f"{root}/inputs/*{ingest.INPUT_PATTERN}"
+    return f"{root}/{ingest.INPUT_PATTERN}"
 
 
 def _outputs(root: str) -> str:
-    return f"{root}/outputs/*{ingest.OUTPUT_PATTERN}"
+    return f"{root}/{ingest.OUTPUT_PATTERN}"
 
 
 @query("typed_csv_scan", _TRACKING_SQL)
@@ -141,23 +142,28 @@ def _(spark, sf):
 )
 def _(spark, sf):
     root, out = _raw(spark, sf, test=True), scratch_path(spark, "parquet")
-    for name, pattern, schema in (
-        ("train_input", _inputs(root), TRACKING_SCHEMA),
-        ("train_output", _outputs(root), LABEL_SCHEMA),
-    ):
-        files.write_weekly(ingest.read_weekly_csv(spark, pattern, schema), f"{out}/{name}")
-    found = ingest.read_test_csv(spark, f"{root}/{ingest.TEST_INPUT}", TRACKING_SCHEMA)
-    files.write_weekly(found, f"{out}/test_input")
     counted = [
-        spark.read.parquet(f"{out}/{name}")
+        spark.read.parquet(path)
         .groupBy("week")
         .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(name).alias("dataset"), "week", "n_rows")
-        for name in ("train_input", "train_output", "test_input")
+        .select(F.lit(path.rsplit("/", 1)[1]).alias("dataset"), "week", "n_rows")
+        for path in ingest.ingest(spark, root, out, test_labels=False)
     ]
     return files.union_strict(counted)
 
 
+@query(
+    "ingested_rows",
+    _TRACKING_SQL.replace("SELECT ", "SELECT week, CAST(0 AS BIGINT) AS n_again, ", 1),
+)
+def _(spark, sf):
+    """All rows after an ingest that ran because it was needed; a second one writes nothing."""
+    root, out = _raw(spark, sf, test=True), scratch_path(spark, "parquet")
+    ingest.ingest_if_needed(spark, root, out, test_labels=False)
+    again = ingest.ingest_if_needed(spark, root, out, test_labels=False)
+    return spark.read.parquet(f"{out}/train_input").withColumn("n_again", F.lit(len(again)))
+
+
 _PLAY_NAMES = [f"{v}_{s}" for v in X.MEAN_NAMES + X.SHAPE_NAMES for s in ("Offense", "Defense")]
 
 
@@ -228,10 +234,10 @@ def _(spark, sf):
 def _(spark, sf):
     root = _raw(spark, sf)
     empty = spark.createDataFrame([], TRACKING_SCHEMA).coalesce(1)
-    empty.write.option("header", True).csv(f"{root}/inputs/file=input_2023_w99.csv")
+    empty.write.option("header", True).csv(f"{root}/input_2023_w99.csv")
     # A header followed by blank lines holds no rows, however long the file is.
     blank = spark.createDataFrame([(",".join(TRACKING_SCHEMA.names) + "\n" * 60,)], "line string")
-    blank.coalesce(1).write.text(f"{root}/inputs/file=input_2023_w98.csv")
+    blank.coalesce(1).write.text(f"{root}/input_2023_w98.csv")
     found = files.file_inventory(spark, _inputs(root), TRACKING_SCHEMA)
     name = F.regexp_extract("file", "(input_2023_w.*)$", 1).alias("file")
     return found.select(name, "n_rows", "has_rows")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmotion.operators.quality import assert_not_empty
 from gridmotion.operators.sequences import formation_matrix
 from gridmotion.operators.skew import dense_index
 from gridmotion.schemas import SIDE_KEYS
@@ -218,9 +219,13 @@ def load_formation_index(spark, path: str) -> DataFrame:
 def build_formation_index(
     players: DataFrame, side: str | None = None, save_path: str | None = None
 ) -> DataFrame:
-    """Formation vectors ready for neighbour search, stored when a path is given."""
+    """Formation vectors ready for neighbour search, stored when a path is given.
+
+    Storing an index without rows, as for a side nobody plays on, is an error.
+    """
     index = formation_matrix(players, side).select(*SIDE_KEYS, "vector")
     if save_path is None:
         return index
+    assert_not_empty(index, f"formations of side {side or 'any'}")
     save_formation_index(index, save_path)
     return load_formation_index(players.sparkSession, save_path)

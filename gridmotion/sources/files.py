@@ -23,6 +23,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def move_children(spark: SparkSession, folder: str, target: str, prefix: str) -> None:
+    """Move the entries of a folder that start with prefix to target, without the prefix."""
+    filesystem, jvm_path = _filesystem(spark, folder)
+    into = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for entry in filesystem.listStatus(jvm_path):
+        name = entry.getPath().getName()
+        if name.startswith(prefix):
+            filesystem.rename(entry.getPath(), into(f"{target}/{name.removeprefix(prefix)}"))
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a finished Spark write left its success marker."""
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")

@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmotion.operators.quality import assert_same_weeks, assert_unique
+from gridmotion.operators.quality import (
+    assert_not_empty,
+    assert_profile,
+    assert_same_weeks,
+    assert_unique,
+)
 from gridmotion.plans.tables import players_table, plays_table, teamframe_table
 from gridmotion.schemas import (
     FRAME_KEYS,
@@ -110,8 +115,12 @@ def build_features(spark: SparkSession, tracking: DataFrame, out: str) -> dict[s
     return paths
 
 
-def check_features(spark: SparkSession, paths: dict[str, str]) -> None:
-    """All tables exist and their keys are unique."""
+def check_features(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
+    """All tables exist, hold rows without infinite values, and have unique keys.
+
+    Returns the numeric profile of each table.
+    """
+    profiles = {}
     keys = {
         "players": [*FRAME_KEYS, "nfl_id"],
         "teamframe": SIDE_FRAME_KEYS,
@@ -120,4 +129,10 @@ def check_features(spark: SparkSession, paths: dict[str, str]) -> None:
     for name, path in paths.items():
         if not files.path_exists(spark, path):
             raise FileNotFoundError(f"missing table {name}: {path}")
-        assert_unique(spark.read.parquet(path), keys[name], name)
+        table = assert_not_empty(spark.read.parquet(path), name)
+        assert_unique(table, keys[name], name)
+        numbers = [
+            f.name for f in table.schema.fields if isinstance(f.dataType, T.NumericType)
+        ]
+        profiles[name] = assert_profile(table, numbers, name)
+    return profiles
