@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from gridmotion.llm.common import slices, stored
 
-LABELLED_ROWS = 20_000  # about so many labelled documents are learnt from, chosen by a hash
-LEAST_TEXTS = 5  # features of fewer training texts have no weight
-STEPS = 30
-PENALTY = 1e-4
+LABELLED_ROWS = 40_000  # about so many labelled documents are learnt from, chosen by a hash
+LEAST_TEXTS = 3  # features of fewer training texts have no weight
+LEAST_CHI2 = 15.0  # nor have those whose texts are graded much like all texts
+STEPS = 60
+PENALTY = 2e-5
 GRADES = 3
 KEEP_FROM = 0.5  # least probability of the top grade
 
@@ -38,6 +39,7 @@ def features(raw: bytes) -> list[int]:
     lowered = {t.lower().strip(STRIP) for t in tokens}
     lowered.discard(b"")
     out = {zlib.crc32(b"w:" + w) for w in lowered}
+    out.update(zlib.crc32(b"m:" + m) for m in set(re.findall(rb"[^\w\s\x80-\xff]{2,4}", raw)))
     total = max(1, len(tokens))
     lines = [line for line in raw.split(b"\n") if line.strip()]
     letters = len(re.findall(rb"[A-Za-z\x80-\xff]", raw))
@@ -160,9 +162,19 @@ def _located(batch: pa.RecordBatch, ids: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def fit(rows: DataFrame, steps: int = STEPS, penalty: float = PENALTY) -> Model:
     """Cumulative-link regression on stored rows (grade, ids)."""
-    total = rows.count()
-    counts = rows.select(F.explode("ids").alias("id")).groupBy("id").count().where(F.col("count") >= LEAST_TEXTS)
-    ids = np.array(sorted(r["id"] for r in counts.collect()), np.int64)  # bounded by the sample
+    shares = {r["grade"]: r["count"] for r in rows.groupBy("grade").count().collect()}  # a row a grade
+    total = sum(shares.values())
+    times = {g: F.count(F.when(F.col("grade") == g, 1)) for g in shares}
+    counts = rows.select("grade", F.explode("ids").alias("id")).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n"), *[c.alias(f"g{g}") for g, c in times.items()]
+    )
+    telling = F.lit(False)
+    for g, count in shares.items():
+        p = count / total
+        beyond = F.col(f"g{g}") - F.col("n") * p
+        telling = telling | (beyond * beyond > LEAST_CHI2 * p * (1 - p) * F.col("n"))
+    kept = counts.where((F.col("n") >= LEAST_TEXTS) & telling).select("id")
+    ids = np.array(sorted(r["id"] for r in kept.collect()), np.int64)  # bounded by the sample
     cuts = np.arange(GRADES - 1, dtype=float) - (GRADES - 2) / 2
     if not total:
         return Model(ids[:0], np.zeros(0), cuts)
