@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -51,6 +53,25 @@ def checkpointed(df):
     return df.checkpoint(eager=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """Fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}/{name}"
+def _remove(folder: str) -> None:
+    """Delete a scratch folder through Spark's own file system layer."""
+    gateway = SparkContext._gateway
+    if gateway is None:
+        return
+    hadoop = gateway.jvm.org.apache.hadoop
+    path = hadoop.fs.Path(folder)
+    path.getFileSystem(hadoop.conf.Configuration()).delete(path, True)
+
+
+def _remove_quietly(folder: str) -> None:
+    try:
+        _remove(folder)
+    except Exception:  # the JVM is gone; the owner of the shared folder cleans up
+        pass
+
+
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """Fresh path in the given folder, by default the shared one; removed as the driver ends."""
+    own = f"{folder or shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
+    atexit.register(_remove_quietly, own)
+    return f"{own}/{name}"
