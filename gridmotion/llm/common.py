@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import os
 import re
 import uuid
@@ -14,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmotion.session import scratch_path, shared_dir
+from gridmotion.session import scratch_path
 
 # Words are runs of anything but these separators; only A-Z is lower-cased.
 SEPARATORS = "[\\x20\\x09-\\x0D]+"
@@ -31,21 +30,9 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a stored intermediate while its session still runs."""
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session is gone; the shared folder's owner cleans up
-        pass
-
-
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A new place in the shared folder, removed when the driver program ends."""
-    path = scratch_path(spark, name)
-    atexit.register(_remove, spark, path.rsplit("/", 1)[0])
-    return path
+    return scratch_path(spark, name)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -70,12 +57,6 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def store_folder(spark: SparkSession, name: str) -> str:
-    """URI of a new folder for files that are not tables."""
-    shared_dir(spark)
-    return fresh_folder(spark, name)
-
-
 def write_once(uri: str, stem: str, suffix: str):
     """(path, open stream) of a file no other attempt of the task writes."""
     store, base = open_store(uri)

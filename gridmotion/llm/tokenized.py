@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmotion.llm.common import Encoder, fresh_folder, open_store, slices, store_folder, write_once
+from gridmotion.llm.common import Encoder, fresh_folder, open_store, slices, write_once
 
 SHARD_IDS = 16_000_000  # a shard is closed beyond so many ids, 32 or 64 MB
 END_ID = 0
@@ -173,7 +173,7 @@ def write_shards(
     only finished ones reach the manifest, so lost executors leave no half-written shard in it.
     """
     spark = docs.sparkSession
-    folder = store_folder(spark, "token-shards")
+    folder = fresh_folder(spark, "token-shards")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

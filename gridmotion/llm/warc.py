@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmotion.llm.common import fresh_folder, open_store, store_folder, write_once
+from gridmotion.llm.common import fresh_folder, open_store, write_once
 
 SHARED_FROM = 1000  # payloads of fewer bytes are always stored
 ARCHIVE_BYTES = 256_000_000  # an archive is closed beyond so many bytes
@@ -104,7 +104,7 @@ def write_archives(pages: DataFrame, least: int = SHARED_FROM, archive_bytes: in
     finished tasks are listed.
     """
     spark = pages.sparkSession
-    folder = store_folder(spark, "archives")
+    folder = fresh_folder(spark, "archives")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         paths, counts, out, size = [], [], None, 0
