@@ -89,7 +89,7 @@ class Encoder:
     text is encoded as it is. Strings of special tokens are ordinary text.
     """
 
-    CACHE = 900_000  # pieces a worker keeps; the others are encoded again
+    CACHE = 300_000  # pieces a worker keeps, some 70 MB; the others are encoded again
     TOGETHER = 256
 
     def __init__(self, path: str):
