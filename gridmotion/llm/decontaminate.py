@@ -42,7 +42,9 @@ def _shingles(w: Column, size: int) -> Column:
 
 def _fingerprints(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
     """SimHash of the shingles of the text column `passage`, repeats included."""
-    hashed = rows.select(*keys, F.explode(_shingles(F.split("passage", " "), size)).alias("s")).select(
+    # The words are a column of their own: within the shingles they would be split anew each time.
+    split = rows.select(*keys, F.split("passage", " ").alias("pw"))
+    hashed = split.select(*keys, F.explode(_shingles(F.col("pw"), size)).alias("s")).select(
         *keys, F.xxhash64("s").alias("h")
     )
     ones = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit(1))).alias(f"b{b}") for b in range(64)]
@@ -137,9 +139,10 @@ def contaminated(
     # Few bytes but much work a row: the pairs are dealt out again, by number and not by size.
     dealt = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = _within_radius(windows, prints).repartition(dealt, "passage", "item")
+    pairs = pairs.withColumns({"pw": F.split("passage", " "), "iw": F.split("item", " ")})
     pairs = pairs.select(
         "length", "passage", "item", "bits",
-        _shingles(F.split("passage", " "), size).alias("a"), _shingles(F.split("item", " "), size).alias("b"),
+        _shingles(F.col("pw"), size).alias("a"), _shingles(F.col("iw"), size).alias("b"),
     )
     common, joint = _weighted(F.col("a"), F.col("b"))
     scored = pairs.select("length", "passage", "item", "bits", common.alias("common"), joint.alias("joint"))
