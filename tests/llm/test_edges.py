@@ -523,3 +523,14 @@ def test_cut_words_keeps_the_rest():
     assert substring.cut_words(raw, [(1, 3)]) == "A d  e é f".encode()
     assert substring.cut_words(raw, [(0, 2), (4, 99)]) == b"c\nd  "
     assert substring.cut_words(raw, []) == raw
+
+
+@pytest.mark.parametrize("every,length", [(6, 60), (7, 60), (8, 60), (10, 60), (6, 100)])
+def test_similar_passages_are_all_found(documents, every, length):
+    rows = []
+    for n in range(40):
+        passage = prose(length, 1000 + n).split()
+        changed = [f"new{n}x{i}" if i % every == every - 1 else w for i, w in enumerate(passage)]
+        rows += [(2 * n, f"{prose(30, 2000 + n)} {' '.join(passage)}"), (2 * n + 1, f"{' '.join(changed)} {prose(30, 3000 + n)}")]
+    got = {(r["doc_id"], r["source_id"]) for r in substring.repeated_passages(documents(rows)).collect()}
+    assert got == {(2 * n + 1, 2 * n) for n in range(40)}
