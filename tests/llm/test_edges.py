@@ -525,6 +525,15 @@ def test_cut_words_keeps_the_rest():
     assert substring.cut_words(raw, []) == raw
 
 
+def test_passages_whose_lines_stand_alone_before(documents):
+    """Every five words of the passage stand in an earlier document, the passage in none."""
+    passage = prose(60, 901).split()
+    rows = [(i, f"{prose(30, 910 + i)} {' '.join(passage[a:b])} {prose(30, 920 + i)}") for i, (a, b) in enumerate([(0, 30), (30, 60), (25, 36)])]
+    rows += [(i, f"{prose(40, 930 + i)} {' '.join(passage)} {prose(40, 940 + i)}") for i in (7, 8, 9)]
+    got = {(r["doc_id"], r["source_id"]) for r in substring.repeated_passages(documents(rows)).collect() if r["end"] - r["start"] >= 60}
+    assert got == {(8, 7), (9, 7)}
+
+
 @pytest.mark.parametrize("every,length", [(6, 60), (7, 60), (8, 60), (10, 60), (6, 100)])
 def test_similar_passages_are_all_found(documents, every, length):
     rows = []
