@@ -1,8 +1,8 @@
 """Finding passages of benchmark items in documents.
 
-A window has as many words as the item it is held against. Windows are placed where a document
-shares a word shingle with an item of that length: a window as similar as asked for shares
-one, so no other window can pass. Every window and item has a SimHash fingerprint of its
+A window has as many words as the item it is held against. Windows are placed at every start from
+which so many of the window's shingles stand in the item, in any order, as the similarity asked
+for needs; no other window can pass. Every window and item has a SimHash fingerprint of its
 shingles. A multi-index over blocks of the fingerprint finds all items within the Hamming
 radius: with m blocks and a radius below m * (t + 1), one block differs in at most t bits, and
 every item is listed under all block values that near. What is found is then compared exactly,
@@ -24,6 +24,7 @@ SIMILARITY = 0.8
 BLOCKS, BLOCK_BITS, BLOCK_RADIUS = 8, 8, 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1  # the largest radius the blocks guarantee
 FEW_SHINGLES = 500_000  # item shingles sent to every task, 20 MB; more are joined by a shuffle
+FEW_RANGES = 200_000  # ranges of window starts sent to every task
 
 
 def _hashes(w: Column, size: int) -> Column:
@@ -87,6 +88,30 @@ def _weighted(a: Column, b: Column) -> tuple[Column, Column]:
     return common, F.size(a) + F.size(b) - common
 
 
+def _start_ranges(met: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(doc_id, row, length, lo, hi): the starts from which a window can be as similar as asked for.
+
+    met: (doc_id, row, words, key, length, at), a place where a document of so many words holds a
+    shingle of `size` words of the item `key`. A window from s holds enough of them if the c-th from
+    the first at or after s lies in it; the ranges of a document and an item are disjoint.
+    """
+    shingles = F.greatest(F.col("length") - size + 1, F.lit(1))
+    own = F.least(shingles, F.greatest(F.col("words") - size + 1, F.lit(1)))  # of a short document: fewer
+    need = F.ceil((shingles + own) * similarity / (1 + similarity) - 1e-9).cast("int")
+    listed = met.groupBy("doc_id", "row", "words", "key", "length").agg(F.sort_array(F.collect_set("at")).alias("p"))
+    listed = listed.withColumn("c", F.greatest(need, F.lit(1))).where(F.size("p") >= F.col("c"))
+    p, last = F.col("p"), F.greatest(F.col("words") - F.col("length"), F.lit(0))
+    ranges = F.transform(
+        F.sequence(F.lit(0), F.size("p") - F.col("c")),
+        lambda i: F.struct(
+            F.greatest(F.get(p, i + F.col("c") - 1) - shingles + 1, F.coalesce(F.get(p, i - 1), F.lit(-1)) + 1, F.lit(0)).alias("lo"),
+            F.least(F.get(p, i), last).alias("hi"),
+        ),
+    )
+    found = listed.select("doc_id", "row", "length", F.explode(F.filter(ranges, lambda r: r["lo"] <= r["hi"])).alias("r"))
+    return found.select("doc_id", "row", "length", "r.lo", "r.hi")
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE_WORDS, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -109,30 +134,26 @@ def contaminated(
         F.xxhash64("text").alias("row"),
         words(F.col("text")).alias("w"),
     )
-    hits = None
+    ranges = None
     for s in sizes:
         mine = items.where(F.least("length", F.lit(size)) == s)
-        marks = mine.select("length", F.posexplode(_hashes(F.col("w"), s)).alias("offset", "h")).distinct()
+        marks = mine.select(F.xxhash64("item").alias("key"), "length", F.explode(_hashes(F.col("w"), s)).alias("h")).distinct()
         few = marks.limit(FEW_SHINGLES + 1).count() <= FEW_SHINGLES
-        if few:
-            places = rows.select("doc_id", "row", "w", F.posexplode(_hashes(F.col("w"), s)).alias("at", "h"))
-            met = places.join(F.broadcast(marks), "h")  # size checked
-        else:
-            places = rows.select("doc_id", "row", F.posexplode(_hashes(F.col("w"), s)).alias("at", "h"))
-            met = places.join(marks, "h").select("doc_id", "row", "at", "length", "offset").distinct()
-            keyed = rows.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "w").dropDuplicates(["d", "r"])
-            met = met.join(keyed, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
-        last = F.greatest(F.size("w") - F.col("length"), F.lit(0))
-        start = F.greatest(F.least(F.col("at") - F.col("offset"), last), F.lit(0))
-        found = met.select(
-            "doc_id", "row", "length", start.alias("start"),
-            F.concat_ws(" ", F.slice("w", start + 1, F.col("length"))).alias("passage"),
-        ).distinct()
-        hits = found if hits is None else hits.union(found)
-    if hits is None:
-        hits = rows.where("false").select(
-            "doc_id", "row", F.lit(0).alias("length"), F.lit(0).alias("start"), F.lit("").alias("passage")
-        )
+        places = rows.select("doc_id", "row", F.size("w").alias("words"), F.posexplode(_hashes(F.col("w"), s)).alias("at", "h"))
+        met = places.join(F.broadcast(marks) if few else marks, "h")  # size checked
+        found = _start_ranges(met, s, similarity)
+        ranges = found if ranges is None else ranges.union(found)
+    if ranges is None:
+        ranges = rows.where("false").select("doc_id", "row", *[F.lit(0).alias(c) for c in ("length", "lo", "hi")])
+    ranges = stored(ranges.distinct(), "ranges")
+    asked = ranges.select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "length", "lo", "hi")
+    if asked.limit(FEW_RANGES + 1).count() <= FEW_RANGES:
+        asked = F.broadcast(asked)  # size checked
+    hits = rows.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    hits = hits.select("doc_id", "row", "w", "length", F.explode(F.sequence("lo", "hi")).alias("start"))
+    hits = hits.select(
+        "doc_id", "row", "length", "start", F.concat_ws(" ", F.slice("w", F.col("start") + 1, F.col("length"))).alias("passage")
+    ).distinct()
     hits = stored(hits, "windows")
     windows = _fingerprints(hits.select("length", "passage").distinct(), ["length", "passage"], size)
     prints = _fingerprints(items.select("item", "length", F.col("item").alias("passage")).distinct(), ["item", "length"], size)

@@ -370,6 +370,21 @@ def test_leaks_against_brute_force(spark, documents):
     assert decontaminate.contaminated(frame, benchmark.limit(0)).collect() == []
 
 
+def test_leaks_in_another_order(spark, documents):
+    """Items whose parts stand in another order inside longer documents, against brute force."""
+    rng = random.Random(8)
+    items, docs = [(i, prose(n, 300 + i)) for i, n in enumerate([60, 60, 40, 70])], []
+    for k in range(12):
+        part = items[k % 4][1].split()
+        cuts = sorted(rng.sample(range(5, len(part) - 5), 1 + k % 2))
+        parts = [part[a:b] for a, b in zip([0, *cuts], [*cuts, len(part)])][::-1]
+        docs.append((k, " ".join([prose(rng.randint(20, 40), 400 + k), *[" ".join(p) for p in parts], prose(rng.randint(20, 40), 500 + k)])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(documents(docs), benchmark).collect()
+    want = brute_leaks(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want) > 5
+
+
 def test_leaks_when_the_benchmark_is_large(spark, documents, monkeypatch):
     monkeypatch.setattr(decontaminate, "FEW_SHINGLES", 0)
     item = prose(30, 1)
