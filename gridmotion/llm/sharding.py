@@ -81,8 +81,8 @@ def minimax_cuts(ends: DataFrame, shards: int, few: int = FEW) -> list[int]:
             break
         step = max(1, (high - low) // (AT_ONCE + 1))
         tried = list(range(low + step, high, step))[:AT_ONCE]
-        if not tried:
-            break
+        if not tried:  # high is the smallest feasible capacity
+            return high_cuts[1:]
         for capacity, cuts in zip(tried, _greedy(ends, tried, shards)):
             if cuts[-1] >= total:
                 high, high_cuts = capacity, cuts

@@ -75,6 +75,14 @@ def test_cuts_are_minimax(spark, few):
         assert cuts[-1] == sum(sizes) and set(cuts) <= {0, *ends} and max(loads) == brute_capacity(sizes, 4)
 
 
+def test_cuts_with_a_hot_group_are_not_searched_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "bisect_right", None)
+    sizes = [*[1] * 60, 100, *[1] * 60]
+    frame = spark.createDataFrame(list(zip(sizes, np.cumsum(sizes).tolist())), "size long, end long").coalesce(2)
+    cuts = sharding.minimax_cuts(frame, 4, few=10)
+    assert cuts[-1] == sum(sizes) and max(np.diff([0, *cuts])) == brute_capacity(sizes, 4)
+
+
 def test_sharding_odd_rows(odd, empty):
     rows = sharding.shard_documents(odd, shards=3, rows_each=2).collect()
     assert len(rows) == 13
