@@ -112,18 +112,13 @@ def _start_ranges(met: DataFrame, size: int, similarity: float) -> DataFrame:
     return found.select("doc_id", "row", "length", "r.lo", "r.hi")
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE_WORDS, similarity: float = SIMILARITY
-) -> DataFrame:
-    """Documents (doc_id, text) that hold a window like a benchmark item (item_id, text).
+def text_row(text: Column) -> Column:
+    """Tells documents with the same doc_id, or with none, apart by their text."""
+    return F.xxhash64(text)
 
-    Returns doc_id, item_id, similarity, bits, start and words: the best window (the first of
-    the best) for each document and item. Words are lower-cased in A-Z; an item shorter than a
-    shingle is one shingle; a document shorter than the item is one window. Items and documents
-    without words (null, empty) match nothing; null ids are kept; documents that share a doc_id
-    are told apart by their text, and repeated rows count once; other columns are ignored; an
-    empty table gives an empty result.
-    """
+
+def _matches(docs: DataFrame, benchmark: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(doc_id, row, item_id, best) with the best window of each document and item."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("w"))
     items = items.where(F.size("w") > 0)
     items = items.select("item_id", "w", F.size("w").alias("length"), F.concat_ws(" ", "w").alias("item"))
@@ -131,7 +126,7 @@ def contaminated(
     sizes = sorted(r[0] for r in items.select(F.least("length", F.lit(size))).distinct().collect())  # `size` rows at most
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("row"),
+        text_row(F.col("text")).alias("row"),
         words(F.col("text")).alias("w"),
     )
     ranges = None
@@ -171,9 +166,29 @@ def contaminated(
     good = good.hint("merge").join(items.select("item_id", "item"), "item").select(
         "length", "passage", "item_id", "bits", "similarity"
     )
-    matches = hits.join(good.hint("merge"), ["length", "passage"]).groupBy("doc_id", "row", "item_id").agg(
+    return hits.join(good.hint("merge"), ["length", "passage"]).groupBy("doc_id", "row", "item_id").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("s"), "bits", "length")).alias("best")
     )
+
+
+def leaking_rows(docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, row) of the documents that hold a window like a benchmark item."""
+    return _matches(docs, benchmark, size, similarity).select("doc_id", "row").distinct()
+
+
+def contaminated(
+    docs: DataFrame, benchmark: DataFrame, size: int = SHINGLE_WORDS, similarity: float = SIMILARITY
+) -> DataFrame:
+    """Documents (doc_id, text) that hold a window like a benchmark item (item_id, text).
+
+    Returns doc_id, item_id, similarity, bits, start and words: the best window (the first of
+    the best) for each document and item. Words are lower-cased in A-Z; an item shorter than a
+    shingle is one shingle; a document shorter than the item is one window. Items and documents
+    without words (null, empty) match nothing; null ids are kept; documents that share a doc_id
+    are told apart by their text, and repeated rows count once; other columns are ignored; an
+    empty table gives an empty result.
+    """
+    matches = _matches(docs, benchmark, size, similarity)
     return matches.select(
         "doc_id", "item_id", "best.similarity", F.col("best.bits").cast("int").alias("bits"),
         (-F.col("best.s")).alias("start"), F.col("best.length").alias("words"),

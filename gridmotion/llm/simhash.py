@@ -18,7 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmotion.llm.common import slices, stored
@@ -53,8 +53,13 @@ def fingerprint(raw: bytes, size: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def text_mark(text: Column) -> Column:
+    """Tells rows with the same doc_id, or with none, apart by their text; never null."""
+    return F.coalesce(F.md5(text), F.lit("null"))
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fingerprint as a signed long) of every row; null text counts as empty."""
+    """(doc_id, fingerprint as a signed long, digest of the text) of every row; null text counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,11 +67,11 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                 texts = part.column("text").cast(pa.binary()).to_pylist()
                 prints = np.array([fingerprint(t or b"", size) for t in texts], np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"]
+                    [part.column("doc_id"), pa.array(prints.view(np.int64)), part.column("mark")], ["doc_id", "fp", "mark"]
                 )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.withColumn("mark", text_mark(F.col("text"))).mapInArrow(run, "doc_id long, fp long, mark string")
 
 
 class CoveringCode:
@@ -215,16 +220,8 @@ def _compared(replicas: DataFrame, most: int) -> DataFrame:
     return sorted_.mapInArrow(run, "crowded boolean, a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row of docs (doc_id, text).
-
-    `most` is even. A null or empty text has fingerprint zero and is linked like any other; a
-    null doc_id gets a row too, and the component's id is the smallest doc_id that is not null
-    (null if there is none); repeated rows stay repeated; other columns are ignored and an
-    empty table gives an empty result.
-    """
-    if most % 2 or most < 0:
-        raise ValueError("the threshold must be an even number of bits")
+def _components(docs: DataFrame, size: int, most: int) -> DataFrame:
+    """(doc_id, mark, fp, label, component_id) of every row; the label tells components apart."""
     rows = stored(fingerprints(docs, size), "fingerprints")
     prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     met = stored(_compared(_replicas(prints, most // 2), most), "links")
@@ -236,7 +233,26 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, most: int = MAX_
     )
     named = stored(named, "classes")
     ids = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = named.join(ids, "label").select("fp", "component_id")
-    return rows.join(classes, "fp").select(
+    classes = named.join(ids, "label").select("fp", "label", "component_id")
+    return rows.join(classes, "fp")
+
+
+def first_of_each(docs: DataFrame, size: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
+    """(doc_id, mark) of one row of each component: the smallest doc_id, null last, then mark."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    return _components(docs, size, most).groupBy("label").agg(F.min(key).alias("key")).select("key.doc_id", "key.mark")
+
+
+def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row of docs (doc_id, text).
+
+    `most` is even. A null or empty text has fingerprint zero and is linked like any other; a
+    null doc_id gets a row too, and the component's id is the smallest doc_id that is not null
+    (null if there is none); repeated rows stay repeated; other columns are ignored and an
+    empty table gives an empty result.
+    """
+    if most % 2 or most < 0:
+        raise ValueError("the threshold must be an even number of bits")
+    return _components(docs, size, most).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )

@@ -127,3 +127,22 @@ def test_run_gives_the_last_stage(spark, sf_dir, stages):
     place = lambda r: (r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"])
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted(map(place, rows)) == sorted(map(place, stages[4][1].collect()))
+
+
+def test_rows_without_an_id_or_with_a_repeated_one(spark, sf_dir):
+    """Unlike rows stay although they have no id or share one; copies and leaks go row by row."""
+    item = next(r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r["text"].split()) > 20)
+    prose = lambda n, at: " ".join(f"{'abcdefgh'[(i * at) % 8]}{at}w{i}" for i in range(n))
+    rows = [(None, prose(60, 1)), (None, prose(60, 1)), (None, prose(60, 3)), (4, prose(60, 5)), (4, prose(60, 7))]
+    rows += [(9, prose(60, 9)), (None, prose(60, 9)), (None, prose(30, 11) + " " + item), (4, prose(30, 13) + " " + item)]
+    rows += [(None, prose(60, 5) + " " + prose(80, 15))]
+    docs = spark.createDataFrame([(*r, "en", "s", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = lambda frame: sorted(((r["doc_id"] or -1, r["text"]) for r in frame.collect()))
+    unlike = [rows[i] for i in (0, 2, 3, 4, 5, 7, 8, 9)]
+    one = corpus_pipeline.keep_one_of_each(spark, docs, sf_dir)
+    assert kept(one) == sorted((d or -1, t) for d, t in unlike)
+    cut = corpus_pipeline.cut_repeats(spark, one, sf_dir)
+    after = kept(cut)
+    assert (-1, prose(80, 15)) in after and (4, prose(60, 5)) in after and len(after) >= 7
+    clean = corpus_pipeline.drop_leaks(spark, one, sf_dir)
+    assert kept(clean) == sorted((d or -1, t) for d, t in unlike if item not in t)
