@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmotion.llm import decontaminate, lm, packing, quality, sharding, simhash, substring, tokenized, topk, warc
+from gridmotion.llm import decontaminate, interactions, lm, packing, quality, rules, sharding, simhash, substring, tokenized, topk, warc
 from gridmotion.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -62,6 +62,14 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenized.token_table(spark, table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -81,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_substring,
         op10_tokens,
+        op11_rules,
+        op13_interactions,
         pipeline,
     )
 }
@@ -111,4 +121,53 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to, url
 FROM held""",
+    "op13_interactions": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), measured AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM texts
+), said AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), firsts AS (
+  SELECT text, min(doc_id) AS first FROM texts GROUP BY text
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END)
+    || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(m.text, '[^A-Z]', '', 'g')) > 3 * length(m.text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(m.text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN m.doc_id > first THEN 'E' ELSE '' END) AS failed
+  FROM measured m JOIN firsts USING (text) LEFT JOIN said s ON s.doc_id = m.doc_id
+), cells AS (
+  SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, failed
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.f <> b.f AND a.f <> c.f AND a.f <> d.f AND a.f <> e.f AND b.f <> c.f AND b.f <> d.f
+    AND b.f <> e.f AND c.f <> d.f AND c.f <> e.f AND d.f <> e.f
+), steps AS (
+  SELECT filter_order, CAST(step AS INT) AS step, substr(filter_order, CAST(step AS INT), 1) AS f,
+    substr(filter_order, 1, CAST(step AS INT) - 1) AS prefix
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), counted AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN NOT hit AND NOT early THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN hit AND NOT early THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit AND early THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failed = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit AND NOT early THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN hit AND NOT early THEN toxic ELSE 0 END) AS toxic_lost
+  FROM (
+    SELECT *, contains(failed, f) AS hit, translate(failed, prefix, '') <> failed AS early
+    FROM cells, steps
+  ) GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted""",
 }
