@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmotion.llm import decontaminate, interactions, lm, packing, quality, rules, sharding, simhash, substring, tokenized, topk, warc
+from gridmotion.llm import decontaminate, interactions, lexical, lm, packing, quality, rules, sharding, simhash, substring, tokenized, topk, warc
 from gridmotion.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -66,6 +66,10 @@ def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring,
         op10_tokens,
         op11_rules,
+        op12_lexical,
         op13_interactions,
         pipeline,
     )
@@ -121,6 +126,34 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to, url
 FROM held""",
+    "op12_lexical": r"""
+WITH doc_terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+), item_terms AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), postings AS (
+  SELECT doc_id, term, count(*) AS tf FROM doc_terms GROUP BY doc_id, term
+), lengths AS (
+  SELECT doc_id, sum(tf) AS n FROM postings GROUP BY doc_id
+), corpus AS (
+  SELECT count(*) AS docs, sum(n) AS terms FROM lengths
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * (SELECT docs FROM corpus) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS HUGEINT) AS w
+  FROM postings GROUP BY term
+), norms AS (
+  SELECT doc_id, 25 + (75 * n * docs) // terms AS m FROM lengths, corpus
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM item_terms GROUP BY item_id, term
+), scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * CAST(tf AS HUGEINT)) // (1000 * tf + 8 * m))) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN norms USING (doc_id)
+  GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10""",
     "op13_interactions": r"""
 WITH texts AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
