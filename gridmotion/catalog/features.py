@@ -517,26 +517,36 @@ def _(spark, sf):
     return spatial.side_shapes(N.rightward(tracking(spark, sf)), x="x_norm", y="y_norm")
 
 
+def _values_sql(name: str, source: str, keys: list[str], values: list[str]) -> str:
+    """(name, keys as text, column, value) of every value of a table."""
+    key = "concat_ws('/', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + ")"
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS name, {key} AS key, '{v}' AS "column", {q(f"CAST({v} AS DOUBLE) AS value")} FROM {source}""" for v in values
+    )
+
+
+_TABLE_VALUES = {
+    "players": ("scalars", ROW_KEYS, [*_INTS, *_PLAYER_DOUBLES]),
+    "teamframe": ("teamframe", SIDE_FRAME_KEYS, TEAMFRAME_FEATURES),
+    "plays": ("plays", ["game_id", "play_id"], _PLAY_NAMES),
+}
+
+
 @query(
     "feature_tables",
-    """SELECT 'players' AS name, CAST(count(*) AS BIGINT) AS n_rows,
-      CAST(count(DISTINCT (game_id, play_id)) AS BIGINT) AS n_plays FROM scalars
-    UNION ALL SELECT 'teamframe', CAST(count(*) AS BIGINT), CAST(count(DISTINCT (game_id, play_id)) AS BIGINT)
-      FROM teamframe
-    UNION ALL SELECT 'plays', CAST(count(*) AS BIGINT), CAST(count(DISTINCT (game_id, play_id)) AS BIGINT)
-      FROM plays""",
+    " UNION ALL ".join(_values_sql(name, *parts) for name, parts in _TABLE_VALUES.items()),
     (*X.PLAYERS, *X.TEAMFRAME[1:], "last_means", "last_shape", "plays"),
 )
 def _(spark, sf):
-    built = zip(("players", "teamframe", "plays"), P.feature_tables(tracking(spark, sf)))
-    counted = [
-        t.groupBy("game_id", "play_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count(F.lit(1)).alias("n_plays"))
-        .select(F.lit(name).alias("name"), "n_rows", "n_plays")
-        for name, t in built
-    ]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    """Every number of the three tables, a row each."""
+    out = None
+    for name, built in zip(("players", "teamframe", "plays"), P.feature_tables(tracking(spark, sf))):
+        _, keys, values = _TABLE_VALUES[name]
+        cells = F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).cast("double").alias("value")) for v in values])
+        key = F.concat_ws("/", *[F.col(k).cast("string") for k in keys])
+        rows = built.select(F.lit(name).alias("name"), key.alias("key"), F.inline(cells))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query(

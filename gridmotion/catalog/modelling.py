@@ -353,6 +353,8 @@ def _(spark, sf):
 
 SEARCH_SEQUENCES = 300  # labelled sequences a registered search draws
 
+STAGED_ROUNDS = 40
+
 _SEARCH_SQL = """SELECT CAST(4 AS BIGINT) AS n_trials, CAST(0 AS BIGINT) AS n_unscored,
   true AS best_is_least FROM (SELECT count(*) FROM labels)"""
 
@@ -436,3 +438,27 @@ def _(spark, sf):
         "game_id long, play_id long, nfl_id long, frame_id int, pred_x double, pred_y double",
     )
     return scored.select(*ROW_KEYS, (S.is_finite(F.col("pred_x")) & S.is_finite(F.col("pred_y"))).alias("finite"))
+
+
+@query(
+    "staged_model",
+    f"""SELECT axis, CAST({STAGED_ROUNDS} AS BIGINT) AS n_rounds, (SELECT CAST(count(*) AS BIGINT) FROM {_T0_ROWS}) AS n_scored,
+      true AS best_is_least, true AS cut_back FROM (SELECT unnest(['x', 'y']) AS axis)""",
+    ("last_rows",),
+)
+def _(spark, sf):
+    """Errors of all rounds on held-out plays; the model keeps the rounds up to the best one."""
+    rows = _t0(spark, sf)
+    settings = {**models.T0_SETTINGS, "trees": STAGED_ROUNDS}
+    fitted = models.staged_fit(rows, T0_FEATURES, settings=settings, patience=STAGED_ROUNDS)
+    scored = models.score(fitted.models, rows, T0_FEATURES, ROW_KEYS).where("pred_x IS NOT NULL AND pred_y IS NOT NULL")
+    history = fitted.history_table(spark)
+    trees = dict(zip(("x", "y"), fitted.models.n_trees()))
+    kept = spark.createDataFrame([(axis, n) for axis, n in trees.items()], "axis string, trees int")
+    least = F.min(F.struct("error", "round"))["round"]
+    told = history.groupBy("axis").agg(
+        F.count(F.lit(1)).alias("n_rounds"), least.alias("least"), F.max(F.when(F.col("kept"), F.col("round"))).alias("last")
+    )
+    return told.join(kept, "axis").join(scored.agg(F.count(F.lit(1)).alias("n_scored")), F.lit(True)).select(
+        "axis", "n_rounds", "n_scored", (F.col("least") == F.col("last")).alias("best_is_least"), (F.col("trees") == F.col("last")).alias("cut_back")
+    )

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from gridmotion.catalog import sqltext as X
 from gridmotion.catalog.base import labels, q, query, table, tracking
 from gridmotion.catalog.features import K4, NORM, same
-from gridmotion.operators import joins, rollups, sampling, skew
+from gridmotion.operators import joins, rollups, sampling, skew, summaries
 from gridmotion.operators.normalize import column_moments, rightward
 from gridmotion.plans import tables as P
 from gridmotion.schemas import (
+    PLAYER_COLUMNS,
     PLAY_KEYS,
     ROW_KEYS,
     SIDE_FRAME_KEYS,
@@ -97,19 +98,20 @@ def _(spark, sf):
     return joined.select(*ROW_KEYS, "x_norm", *TEAMFRAME_FEATURES)
 
 
+_MODEL_TEXT = ["player_side", "player_role", "player_position", "player_to_predict", "player_weight", "absolute_yardline_number", "num_frames_output"]
+_MODEL_DOUBLES = [c for c in PLAYER_COLUMNS if c not in [*ROW_KEYS, *_MODEL_TEXT]]
+
+
 @query(
     "model_table",
-    f"""SELECT {K4}, {q("x_norm AS x_norm", "dir_sin AS dir_sin", "vx AS vx", "ay AS ay",
-      "cumulative_distance AS cumulative_distance",
-      *[f"coalesce({c}, 0) AS {c}" for c in TEAMFRAME_FEATURES])}
+    f"""SELECT {K4}, {", ".join(_MODEL_TEXT)}, {same(*_MODEL_DOUBLES)},
+      {q(*[f"coalesce({c}, 0) AS {c}" for c in TEAMFRAME_FEATURES])}
     FROM scalars LEFT JOIN teamframe USING ({KF}, player_side)""",
     (*X.PLAYERS, *X.TEAMFRAME[1:]),
 )
 def _(spark, sf):
     players, teamframe, _ = P.feature_tables(tracking(spark, sf))
-    return P.model_table(players, teamframe).select(
-        *ROW_KEYS, "x_norm", "dir_sin", "vx", "ay", "cumulative_distance", *TEAMFRAME_FEATURES
-    )
+    return P.model_table(players, teamframe).select(*ROW_KEYS, *_MODEL_TEXT, *_MODEL_DOUBLES, *TEAMFRAME_FEATURES)
 
 
 @query(
@@ -240,6 +242,20 @@ def _(spark, sf):
 # ------------------------------------------------------------------ aggregations
 
 
+@query(
+    "quantile_summaries",
+    f"""SELECT nfl_id, CAST(count(a) AS BIGINT) AS n_values, true AS holds_exact
+      FROM tracking WHERE a IS NOT NULL GROUP BY nfl_id""",
+)
+def _(spark, sf):
+    """Summaries by player and week, merged by player: the interval holds the exact quantile."""
+    weekly = summaries.quantile_summaries(tracking(spark, sf), ["nfl_id", "week"], "a")
+    merged = summaries.summarized_quantile(summaries.merge_summaries(weekly, ["nfl_id"]), 0.9, "p90")
+    exact = rollups.exact_quantile(tracking(spark, sf), ["nfl_id"], "a", 0.9, "exact")
+    inside = F.col("exact").between(F.col("p90_low"), F.col("p90_high"))
+    return merged.join(exact, "nfl_id").select("nfl_id", "n_values", inside.alias("holds_exact"))
+
+
 @query("exact_quantile", f"SELECT nfl_id, {same('p90')} FROM ({_P90})")
 def _(spark, sf):
     return rollups.exact_quantile(tracking(spark, sf), ["nfl_id"], "a", 0.9, "p90")

@@ -13,6 +13,7 @@ from gridmotion.catalog.features import K4, same
 from gridmotion.operators import quality, rollups
 from gridmotion.operators.models import kinematic_projection
 from gridmotion.operators.normalize import rightward
+from gridmotion.plans import chunks
 from gridmotion.plans import tables as P
 from gridmotion.schemas import (
     LABEL_SCHEMA,
@@ -361,3 +362,32 @@ def _(spark, sf):
 def _(spark, sf):
     projected = kinematic_projection(tracking(spark, sf))
     return quality.prediction_count_mismatch(projected, labels(spark, sf))
+
+
+@query(
+    "prediction_count_mismatch_found",
+    """SELECT game_id, play_id, CAST(coalesce(n_pred, 0) AS BIGINT) AS n_pred,
+      CAST(coalesce(n_true, 0) AS BIGINT) AS n_true
+    FROM (SELECT game_id, play_id, count(*) AS n_pred FROM projected WHERE frame_id <= 9 GROUP BY 1, 2)
+    FULL JOIN (SELECT game_id, play_id, count(*) AS n_true FROM labels GROUP BY 1, 2) USING (game_id, play_id) WHERE coalesce(n_pred, 0) <> coalesce(n_true, 0)""",
+    ("last_rows", "projected"),
+)
+def _(spark, sf):
+    """Predictions that end at frame 9 leave out labels of longer flights."""
+    projected = kinematic_projection(tracking(spark, sf)).where("frame_id <= 9")
+    return quality.prediction_count_mismatch(projected, labels(spark, sf))
+
+
+@query(
+    "chunked_feature_build",
+    f"""SELECT game_id, play_id, {same(*_PLAY_NAMES)} FROM plays""",
+    X.PLAYS,
+)
+def _(spark, sf):
+    """Chunks of a week and game: an interrupted run, then late rows of chunks that were finished."""
+    out, rows = scratch_path(spark, "chunks"), tracking(spark, sf)
+    keys = ["week", "game_id"]
+    chunks.build_in_chunks(spark, rows.where("game_id % 2 = 0"), out, keys, stop_before="plays")
+    chunks.build_in_chunks(spark, rows.where("frame_id <= 9"), out, keys)
+    paths = chunks.build_in_chunks(spark, rows, out, keys)
+    return spark.read.parquet(paths["plays"]).drop("week")

@@ -13,10 +13,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.pipeline import Pipeline
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -331,6 +332,82 @@ def early_stopped_fit(
     return fit_axes(parts, features, targets, settings, validation="__validate")
 
 
+@dataclass
+class StagedFit:
+    """A model cut back to its best round, and the held-out error after every round that was run."""
+
+    models: AxisModels
+    best_round: dict[str, int]
+    rounds_run: dict[str, int]
+    errors: dict[str, list[float]]
+
+    def history_table(self, spark: SparkSession) -> DataFrame:
+        """(axis, round, error, kept), a row for each boosting round."""
+        rows = [
+            (axis, n, error, n <= self.best_round[axis])
+            for axis, errors in self.errors.items()
+            for n, error in enumerate(errors, 1)
+        ]
+        return spark.createDataFrame(rows, "axis string, round int, error double, kept boolean")
+
+
+def best_round(errors: list[float], patience: int) -> tuple[int, int]:
+    """(round of the least error before patience ran out, rounds looked at), both from 1."""
+    best = 0
+    for n, error in enumerate(errors):
+        if error < errors[best]:
+            best = n
+        elif n - best >= patience:
+            return best + 1, n + 1
+    return best + 1, len(errors)
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model after its first n rounds."""
+    gateway = SparkContext._active_spark_context._gateway
+    java = model._java_obj
+    kind = gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    trees, weights = gateway.new_array(kind, n), gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = java.trees()[i], java.treeWeights()[i]
+    cut = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, model.numFeatures)
+    out = GBTRegressionModel(cut)
+    out._resetUid(model.uid)
+    model._copyValues(out)
+    return out
+
+
+def staged_fit(
+    df: DataFrame,
+    features: list[str],
+    targets: tuple[str, str] = ("x", "y"),
+    settings: dict | None = None,
+    validation_share: float = 0.2,
+    patience: int = 10,
+    seed: int = 42,
+) -> StagedFit:
+    """Boost all rounds, then keep those up to the best one on held-out plays.
+
+    The held-out error (root mean square) is taken after every round; once `patience` rounds in a
+    row have not bettered it, later rounds do not count.
+    """
+    parts = split_column(df, {"train": 1.0 - validation_share, "validate": validation_share}, seed=seed)
+    fitted = fit_axes(parts.where("split = 'train'"), features, targets, settings)
+    held = parts.where("split = 'validate'").select(*features, *targets).dropna(subset=list(targets))
+    held = held.withColumns({c: S.zero_if_not_finite(F.col(c)) for c in features})
+    cut, best, run, errors = {}, {}, {}, {}
+    for axis, target, pipeline in (("x", targets[0], fitted.x), ("y", targets[1], fitted.y)):
+        assembler, trees = pipeline.stages
+        # One pass over the held-out rows gives the errors of all rounds.
+        rows = assembler.transform(held).withColumn(target, F.col(target).cast("double"))
+        squares = trees.evaluateEachIteration(rows.select(trees.getFeaturesCol(), target), "squared")
+        every = [v**0.5 for v in squares]
+        best[axis], run[axis] = best_round(every, patience)
+        errors[axis] = every[: run[axis]]
+        cut[axis] = PipelineModel([assembler, first_trees(trees, best[axis])])
+    return StagedFit(AxisModels(cut["x"], cut["y"], list(features)), best, run, errors)
+
+
 def save_bundle(models: AxisModels, index: DataFrame, scaler, path: str) -> None:
     """Store models, player index and scaling statistics together."""
     models.save(f"{path}/models")

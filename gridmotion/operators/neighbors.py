@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmotion.operators.pivots import block_vectors, nearest_rows, pick_pivots, top_k_positions
 from gridmotion.operators.quality import assert_not_empty
 from gridmotion.operators.sequences import formation_matrix
 from gridmotion.operators.skew import dense_index
@@ -17,8 +18,6 @@ from gridmotion.schemas import SIDE_KEYS
 
 # Query values (rows x dimensions) that may travel to every task: 16 MB of doubles.
 MAX_SHIPPED_VALUES = 2_000_000
-BLOCK_ROWS = 1024
-CHUNK_VALUES = 4_000_000  # distances held at a time in a task
 
 
 def distance_to(vector: str, point: list[float]) -> Column:
@@ -64,35 +63,6 @@ def nearest_by_index(
 # ------------------------------------------------------------- many queries at once
 
 
-def _top_k(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple:
-    """(query position, row position, distance) of each query's k nearest rows.
-
-    A matrix product finds candidates, with room for its rounding error; their distances
-    are then taken from differences, so copies are at 0. Ties go to the lower row position.
-    """
-    step = max(1, CHUNK_VALUES // max(len(rows), 1))
-    row_norms = np.einsum("nd,nd->n", rows, rows)
-    found = []
-    for start in range(0, len(queries), step):
-        part = queries[start : start + step]
-        norms = np.einsum("qd,qd->q", part, part)
-        rough = norms[:, None] + row_norms[None, :] - 2.0 * (part @ rows.T)
-        if len(rows) > k:
-            limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
-            room = 8 * (rows.shape[1] + 4) * np.finfo(float).eps * (norms + row_norms.max())
-            q_at, r_at = np.nonzero(rough <= (limit + room)[:, None])
-        else:
-            q_at, r_at = (a.ravel() for a in np.indices(rough.shape))
-        diff = part[q_at] - rows[r_at]
-        distance = np.sqrt(np.einsum("nd,nd->n", diff, diff))
-        order = np.lexsort((r_at, distance, q_at))
-        q_at, r_at, distance = q_at[order], r_at[order], distance[order]
-        firsts = np.searchsorted(q_at, np.arange(len(part)))
-        keep = np.arange(len(q_at)) - firsts[q_at] < k
-        found.append((q_at[keep] + start, r_at[keep], distance[keep]))
-    return tuple(np.concatenate(column) for column in zip(*found))
-
-
 def _matrix(vectors) -> np.ndarray:
     return np.stack(vectors).astype(np.float64)
 
@@ -106,7 +76,7 @@ def _scan_kernel(query_ids, query_matrix, keys: list[str], vector: str, k: int):
             if batch.empty:
                 continue
             batch = batch.sort_values(keys)
-            q_at, r_at, distance = _top_k(query_matrix, _matrix(batch[vector].to_numpy()), k)
+            q_at, r_at, distance = top_k_positions(query_matrix, _matrix(batch[vector].to_numpy()), k)
             fresh = batch[keys].iloc[r_at].assign(__q=q_at, distance=distance)
             if best is not None:
                 fresh = pd.concat([best, fresh]).sort_values(["__q", "distance", *keys])
@@ -120,25 +90,6 @@ def _scan_kernel(query_ids, query_matrix, keys: list[str], vector: str, k: int):
     return run
 
 
-def _block_kernel(keys: list[str], k: int):
-    """Per row: one query block against one corpus block."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for q_ids, q_vecs, c_keys, c_vecs in batch.itertuples(index=False, name=None):
-                table = pd.DataFrame(list(c_keys), columns=keys)
-                table["__vec"] = list(c_vecs)
-                table = table.sort_values(keys)
-                q_at, r_at, distance = _top_k(
-                    _matrix(q_vecs), _matrix(table["__vec"].to_numpy()), k
-                )
-                out = table[keys].iloc[r_at].assign(distance=distance)
-                out.insert(0, "query_id", [q_ids[i] for i in q_at])
-                yield out
-
-    return run
-
-
 def knn(
     corpus: DataFrame,
     queries: DataFrame,
@@ -151,8 +102,9 @@ def knn(
     """The k nearest corpus rows of every query: (query_id, *keys, distance, rank).
 
     A query set within max_shipped_values goes to every task and the corpus is scanned once
-    without a shuffle. A larger one is cut into blocks that meet corpus blocks. Either way
-    a task emits at most k rows per query, never the pairs.
+    without a shuffle. A larger one is cut into blocks that meet the corpus blocks within their
+    reach (see `pivots`). Either way a task emits at most k rows per query and block, never the
+    pairs.
     """
     query_type = queries.schema[query_id].dataType
     fields = [T.StructField("query_id", query_type)]
@@ -169,40 +121,21 @@ def knn(
         matrix = np.array([r.v for r in shipped], dtype=np.float64)
         partial = slim.mapInPandas(_scan_kernel(ids, matrix, keys, vector, k), schema)
     else:
-        partial = _knn_by_blocks(slim, wanted, keys, vector, k, schema)
+        partial = _knn_by_blocks(slim, wanted, keys, vector, k)
     ranking = Window.partitionBy("query_id").orderBy("distance", *keys)
     return partial.withColumn("rank", F.row_number().over(ranking)).where(F.col("rank") <= k)
 
 
-def _knn_by_blocks(slim, wanted, keys, vector, k, schema) -> DataFrame:
-    """Query blocks meet corpus blocks by equi-join on a cell.
-
-    A corpus block lies in one cell; a query block goes to every cell, so it is copied once
-    per shuffle partition however large the corpus is.
-    """
-
-    def blocks_of(df: DataFrame) -> int:
-        return max(1, -(-df.count() // BLOCK_ROWS))
-
-    n_corpus, n_query = blocks_of(slim), blocks_of(wanted)
-    n_cells = min(n_corpus, int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    def blocked(df: DataFrame, ident: Column, vec: str, n: int, prefix: str) -> DataFrame:
-        return (
-            df.withColumn("__block", F.pmod(F.xxhash64(ident), F.lit(n)).cast("int"))
-            .groupBy("__block")
-            .agg(F.collect_list(F.struct(ident.alias("id"), F.col(vec).alias("vec"))).alias("e"))
-            .select("__block", F.col("e.id").alias(f"{prefix}_ids"), F.col("e.vec").alias(f"{prefix}_vecs"))
-        )
-
-    corpus_blocks = blocked(slim, F.struct(*keys), vector, n_corpus, "c")
-    corpus_blocks = corpus_blocks.withColumn("__cell", F.col("__block") % n_cells)
-    query_blocks = blocked(wanted, F.col("query_id"), "v", n_query, "q")
-    aimed = query_blocks.withColumn(
-        "__cell", F.explode(F.sequence(F.lit(0), F.lit(n_cells - 1)))
-    )
-    met = aimed.join(corpus_blocks, "__cell").select("q_ids", "q_vecs", "c_ids", "c_vecs")
-    return met.mapInPandas(_block_kernel(keys, k), schema)
+def _knn_by_blocks(slim, wanted, keys, vector, k) -> DataFrame:
+    """Query blocks meet the corpus blocks that the pivots leave within their reach."""
+    rows = slim.where(F.col(vector).isNotNull())
+    total = rows.count()
+    if not total:
+        return rows.select(F.lit(None).cast(wanted.schema["query_id"].dataType).alias("query_id"), *keys, F.lit(0.0).alias("distance"))
+    pivots = pick_pivots(rows, vector, total)
+    corpus = block_vectors(rows, keys, vector, pivots)
+    queries = block_vectors(wanted.where("v IS NOT NULL"), ["query_id"], "v", pivots)
+    return nearest_rows(corpus, queries, k)[0]
 
 
 # ------------------------------------------------------------- stored formation index

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmotion.functions.scalars import key_digest, key_fraction, key_number
@@ -12,10 +12,41 @@ from gridmotion.operators.joins import restrict_to_keys
 from gridmotion.schemas import PLAY_KEYS, TIMELINE_KEYS
 
 
-def sample_keys(df: DataFrame, n: int, keys: list[str] = TIMELINE_KEYS, seed: int = 42) -> DataFrame:
-    """n distinct keys in digest order; each task forwards at most n."""
+BORDER_ROWS = 100_000  # keys that may be ordered to find the last of a sample
+_DIGITS = 3  # hex digits by which the histogram grows finer
+
+
+def sample_keys(
+    df: DataFrame, n: int, keys: list[str] = TIMELINE_KEYS, seed: int = 42, border_rows: int = BORDER_ROWS
+) -> DataFrame:
+    """The n distinct keys that come first in digest order (all, if there are fewer).
+
+    A histogram of the digests' first digits says up to where all keys are taken; only the keys
+    that share the digits at the border are ordered. So n may be any share of the table.
+    """
     distinct = df.select(*keys).distinct().withColumn("__digest", key_digest(keys, seed))
-    return distinct.orderBy("__digest", *keys).limit(n).drop("__digest")
+    border, missing = "", n
+    while True:
+        digits = len(border) + _DIGITS
+        prefix = F.substring("__digest", 1, digits)
+        near = distinct.where(F.startswith("__digest", F.lit(border))) if border else distinct
+        counts = near.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()  # 16^3 at most
+        size = 0
+        for r in counts:
+            size = r["n"]
+            if missing <= size:
+                border = r["p"]
+                break
+            missing -= size
+        else:
+            return distinct.drop("__digest")
+        if size <= border_rows or digits >= 32:
+            break
+    before = distinct.where(F.substring("__digest", 1, len(border)) < border)
+    at = distinct.where(F.startswith("__digest", F.lit(border)))
+    order = Window.partitionBy(F.substring("__digest", 1, len(border))).orderBy("__digest", *keys)
+    last = at.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= missing).drop("__n")
+    return before.unionByName(last).drop("__digest")
 
 
 def sample_sequences(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridmotion.operators import models
 from gridmotion.operators.evaluate import evaluate_predictions, play_averaged_rmse
 from gridmotion.operators.joins import predictions_with_truth
+from gridmotion.operators.quality import assert_prediction_counts
 from gridmotion.plans.tables import lag_features, lag_training_table, t0_training_table
 from gridmotion.schemas import PLAY_KEYS, ROW_KEYS, T0_FEATURES
 from gridmotion.sources import files
@@ -51,8 +52,12 @@ def t0_model_error(
 def kinematic_error(
     tracking: DataFrame, labels: DataFrame, predictions_path: str | None = None
 ) -> tuple[float, DataFrame]:
-    """Kinematic baseline: (error per coordinate, predictions beside truth)."""
+    """Kinematic baseline: (error per coordinate, predictions beside truth).
+
+    A play with another number of predictions than of labels is an error.
+    """
     predictions = models.kinematic_projection(tracking)
+    assert_prediction_counts(predictions, labels)
     if predictions_path:
         files.write_csv(predictions, predictions_path)
     matched = predictions_with_truth(predictions, labels)
