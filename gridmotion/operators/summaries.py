@@ -38,17 +38,15 @@ def merge_summaries(summaries: DataFrame, keys: list[str], size: int = SIZE) ->
 def summarized_quantile(summaries: DataFrame, share: float, name: str = "quantile", size: int = SIZE) -> DataFrame:
     """Adds the quantile, the values its rank may err to (name_low, name_high) and the rank_error.
 
-    A group within the summary's size is held whole; its interval then covers one row either side.
+    The error is a share of the group's rows. Groups within the summary's size are held whole; the
+    interval then covers what the rank's rounding may choose.
     """
-    small = F.col("n_values") <= F.lit(size)
-    one_row = F.lit(1.0) / F.col("n_values")
-    error = F.when(small, one_row).otherwise(F.greatest(F.lit(rank_error(size)), one_row))
-    at = lambda rank: F.kll_sketch_get_quantile_double("summary", rank)
-    inside = lambda rank: F.least(F.greatest(rank, F.lit(0.0)), F.lit(1.0))
+    error = rank_error(size)
+    at = lambda rank: F.kll_sketch_get_quantile_double("summary", F.lit(min(max(rank, 0.0), 1.0)))
     named: dict[str, Column] = {
-        name: at(F.lit(float(share))),
-        f"{name}_low": at(inside(F.lit(share) - error)),
-        f"{name}_high": at(inside(F.lit(share) + error)),
-        "rank_error": error,
+        name: at(share),
+        f"{name}_low": at(share - error),
+        f"{name}_high": at(share + error),
+        "rank_error": F.lit(error),
     }
     return summaries.withColumns(named)
