@@ -3,26 +3,21 @@
 Every filter leaves a relation of the rows that fail it, one table for each filter. The rows that
 survive a prefix of an order are those of the whole table without (left anti join) the relations
 of the prefix's filters; what the next filter removes are the rows of its relation that are among
-them (left semi join). A prefix counts by the filters in it and not by their order, so there are
-32 of them for five filters. All relations are bucketed alike by row, so that no join of the many
-shuffles anything. Counts of all orders follow from those few removals.
+them (left semi join). A prefix counts by the filters in it and not by their order, so five filters have
+32 of them. They go through the joins together, as row ids with the name of their prefix, so ten
+joins of ids serve all. Counts of all orders follow from those few removals.
 """
 
 from __future__ import annotations
 
-import uuid
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from itertools import combinations, permutations
+from itertools import permutations
 from math import factorial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridmotion.llm.common import SEPARATORS, fresh_folder, stored
-
-BUCKET_ROWS = 2_000_000
-AT_ONCE = 4  # prefixes counted side by side
+from gridmotion.llm.common import SEPARATORS, stored
 
 
 def text_failures() -> dict[str, Column]:
@@ -64,49 +59,37 @@ def _repeats(rows: DataFrame) -> DataFrame:
     return rows.join(stored(first, "repeated-texts"), "digest").where("doc_id > __first").select("row")
 
 
-class Relations:
-    """Tables bucketed alike by `row`: what joins two of them reads them side by side."""
-
-    def __init__(self, spark, buckets: int):
-        self.spark, self.buckets, self.names = spark, buckets, []
+def survivors(everyone: DataFrame, failing: dict[str, DataFrame]) -> DataFrame:
+    """Rows of everyone (with a `row`) once for each prefix they survive, with that prefix.
 
-    def put(self, df: DataFrame, label: str) -> DataFrame:
-        name = f"relation_{label}_{uuid.uuid4().hex}"
-        path = fresh_folder(self.spark, name)
-        dealt = df.repartition(self.buckets, "row")
-        dealt.write.bucketBy(self.buckets, "row").sortBy("row").option("path", path).format("parquet").saveAsTable(name)
-        self.names.append(name)
-        return self.spark.table(name)
-
-    def forget(self) -> None:
-        for name in self.names:  # names only; the folders go as the driver ends
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    Filters of a prefix stand in alphabetical order; a prefix of all filters has no step after it
+    and is left out. Each filter extends the prefixes of the earlier ones by one join.
+    """
+    letters, tables = sorted(failing), [stored(everyone.withColumn("prefix", F.lit("")), "survivors")]
+    for f in letters:
+        before = reduce(DataFrame.union, tables).where(F.length("prefix") < len(letters) - 1)
+        left = before.join(failing[f], "row", "left_anti")
+        tables.append(stored(left.withColumn("prefix", F.concat("prefix", F.lit(f))).select(*tables[0].columns), "survivors"))
+    return reduce(DataFrame.union, tables)
 
 
 def removals(everyone: DataFrame, failing: dict[str, DataFrame]) -> DataFrame:
-    """(prefix, step_filter, part, removed, good_lost, toxic_lost) for each set of filters and each further one.
+    """(prefix, step_filter, part, removed, good_lost, toxic_lost) for each prefix and each further filter.
 
-    everyone: (row, part, good, toxic); failing: relations with a `row`. Filters of a prefix stand in
-    alphabetical order. Rows that no filter removes are in no group.
+    everyone: (row, part, good, toxic); failing: relations with a `row`. Where a filter removes
+    nothing there is no row.
     """
-    letters = sorted(failing)
-
-    def after(prefix: tuple[str, ...]) -> DataFrame:
-        survivors = reduce(lambda df, f: df.join(failing[f], "row", "left_anti"), prefix, everyone)
-        parts = [
-            survivors.join(failing[f], "row", "left_semi").groupBy("part").agg(
+    left, parts = survivors(everyone, failing), []
+    for f in sorted(failing):
+        gone = left.where(~F.contains("prefix", F.lit(f))).join(failing[f], "row", "left_semi")
+        parts.append(
+            gone.groupBy("prefix", "part").agg(
                 F.count(F.lit(1)).alias("removed"),
                 F.sum(F.col("good").cast("long")).alias("good_lost"),
                 F.sum(F.col("toxic").cast("long")).alias("toxic_lost"),
-            ).select(F.lit("".join(prefix)).alias("prefix"), F.lit(f).alias("step_filter"), "part", "removed", "good_lost", "toxic_lost")
-            for f in letters
-            if f not in prefix
-        ]
-        return stored(reduce(DataFrame.union, parts), "removals")
-
-    prefixes = [p for n in range(len(letters)) for p in combinations(letters, n)]
-    with ThreadPoolExecutor(AT_ONCE) as pool:
-        return reduce(DataFrame.union, pool.map(after, prefixes))
+            ).select("prefix", F.lit(f).alias("step_filter"), "part", "removed", "good_lost", "toxic_lost")
+        )
+    return reduce(DataFrame.union, parts)
 
 
 def interaction_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -130,15 +113,11 @@ def interaction_audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marked = rows.join(said, "doc_id", "left").select(
         "row", "part", F.coalesce("good", no).alias("good"), F.coalesce("toxic", no).alias("toxic")
     )
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // BUCKET_ROWS))
-    relations = Relations(spark, buckets)
-    failing = {f: relations.put(rows.where(f).select("row"), f.lower()) for f in text_failures()}
-    failing["E"] = relations.put(_repeats(rows), "e")
-    everyone = relations.put(marked, "everyone")
+    failing = {f: stored(rows.where(f).select("row"), f"fails-{f}") for f in text_failures()}
+    failing["E"] = stored(_repeats(rows), "fails-E")
     letters = sorted(failing)
-    gone = stored(removals(everyone, failing), "all-removals")
+    gone = stored(removals(marked, failing), "removals")
     totals = stored(rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")), "parts")
-    relations.forget()
 
     # From here on a few rows for each part: the removals of 80 sets, spread over 600 steps.
     weight = {n: factorial(n) * factorial(len(letters) - 1 - n) for n in range(len(letters))}
