@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from gridmotion.llm.common import slices, stored
 
 K = 10
-PIECE_ROWS = 4096  # documents of a stratum's piece
+PIECE_ROWS = 1024  # documents of a stratum's piece
 ASKED_AT_ONCE = 500_000  # (item, term) pairs sent to every task; more items are searched in several passes
 PAIRS_AT_ONCE = 4_000_000  # contributions held at a time in a task
 KEYS = bytes(
