@@ -79,13 +79,28 @@ def _within_radius(windows: DataFrame, items: DataFrame) -> DataFrame:
     return met.select("length", "passage", "item", "bits").distinct()
 
 
-def _weighted(a: Column, b: Column) -> tuple[Column, Column]:
-    """(common weight, joint weight) of two shingle lists, a shingle weighing its occurrences."""
-    times = lambda xs, x: F.size(F.filter(xs, lambda y: y == x))
-    common = F.aggregate(
-        F.array_distinct(a), F.lit(0), lambda acc, x: acc + F.least(times(a, x), times(b, x))
-    )
-    return common, F.size(a) + F.size(b) - common
+def _key(text: str) -> Column:
+    return F.md5(text).alias(f"{text}_key")
+
+
+def _similarities(pairs: DataFrame, size: int) -> DataFrame:
+    """(passage_key, item_key, similarity): common over joint weight, a shingle weighing its occurrences."""
+
+    def counted(side: str) -> DataFrame:
+        texts = pairs.select(f"{side}_key", side).dropDuplicates([f"{side}_key"])
+        split = texts.select(f"{side}_key", F.split(side, " ").alias("w"))
+        shingles = split.select(f"{side}_key", F.explode(_shingles(F.col("w"), size)).alias("s"))
+        counts = shingles.groupBy(f"{side}_key", "s").agg(F.count(F.lit(1)).alias(f"{side}_n"))
+        return stored(counts, f"{side}-shingles")
+
+    left, right = counted("passage"), counted("item")
+    both = pairs.select("passage_key", "item_key")
+    met = both.join(left, "passage_key").join(right, ["item_key", "s"])
+    common = met.groupBy("passage_key", "item_key").agg(F.sum(F.least("passage_n", "item_n")).alias("common"))
+    sizes = [c.groupBy(f"{n}_key").agg(F.sum(f"{n}_n").alias(f"{n}_all")) for c, n in ((left, "passage"), (right, "item"))]
+    told = common.join(sizes[0], "passage_key").join(sizes[1], "item_key")
+    joint = F.col("passage_all") + F.col("item_all") - F.col("common")
+    return told.select("passage_key", "item_key", (F.col("common") / joint).alias("similarity"))
 
 
 def _start_ranges(met: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -152,17 +167,10 @@ def _matches(docs: DataFrame, benchmark: DataFrame, size: int, similarity: float
     hits = stored(hits, "windows")
     windows = _fingerprints(hits.select("length", "passage").distinct(), ["length", "passage"], size)
     prints = _fingerprints(items.select("item", "length", F.col("item").alias("passage")).distinct(), ["item", "length"], size)
-    # Few bytes but much work a row: the pairs are dealt out again, by number and not by size.
-    dealt = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = _within_radius(windows, prints).repartition(dealt, "passage", "item")
-    pairs = pairs.withColumns({"pw": F.split("passage", " "), "iw": F.split("item", " ")})
-    pairs = pairs.select(
-        "length", "passage", "item", "bits",
-        _shingles(F.col("pw"), size).alias("a"), _shingles(F.col("iw"), size).alias("b"),
-    )
-    common, joint = _weighted(F.col("a"), F.col("b"))
-    scored = pairs.select("length", "passage", "item", "bits", common.alias("common"), joint.alias("joint"))
-    good = scored.withColumn("similarity", F.col("common") / F.col("joint")).where(F.col("similarity") >= similarity)
+    # Stored before they are compared: a filter on the similarity would else be pushed into the join.
+    pairs = stored(_within_radius(windows, prints).select("length", "passage", "item", "bits", _key("passage"), _key("item")), "pairs")
+    scored = _similarities(pairs, size)
+    good = pairs.join(scored.where(F.col("similarity") >= similarity), ["passage_key", "item_key"])
     good = good.hint("merge").join(items.select("item_id", "item"), "item").select(
         "length", "passage", "item_id", "bits", "similarity"
     )
