@@ -21,23 +21,25 @@ SCALE = 64
 K = 20
 QUERY_BLOCK, VECTOR_BLOCK = 2048, 4096
 LEAD = 16  # rotated coordinates of the partial product
-LIMIT = 1 << 28  # larger components could not be scored in 64 bits
+EXACT = 2**53  # whole numbers up to here are exact as doubles
+HUGE = 2.0**500  # components count as no more than this where lengths are bounded
+LONG = 2**63 - 1
 TILE = 512
 
 
 def whole_vectors(df: DataFrame, scale: int = SCALE) -> DataFrame:
-    """(vec_id, v array of whole numbers) of the rows that take part.
+    """(vec_id, v array of whole numbers as doubles) of the rows that take part.
 
-    A vector takes no part if it or a component is null, not finite or beyond 2^28 after
-    scaling, or if its vec_id is null. Of rows that share a vec_id the smallest vector counts.
+    A vector takes no part if it or a component is null or not finite (after scaling too), or if
+    its vec_id is null. Rows that share a vec_id all take part.
     """
-    x = F.transform("embedding", lambda c: c.cast("double") * scale)
+    scaled = lambda c: c.cast("double") * scale
+    # Doubles from 2^53 on are whole already, and might not fit the long that floor gives.
+    x = F.transform("embedding", lambda c: F.when(F.abs(scaled(c)) >= float(EXACT), scaled(c)).otherwise(F.floor(scaled(c)).cast("double")))
     rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"))
-    rows = rows.where("vec_id IS NOT NULL AND embedding IS NOT NULL").select("vec_id", x.alias("x"))
-    good = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float(LIMIT)))
-    rows = rows.where(F.coalesce(good, F.lit(False)))
-    whole = rows.select("vec_id", F.transform("x", lambda c: F.floor(c).cast("int")).alias("v"))
-    return whole.groupBy("vec_id").agg(F.min("v").alias("v"))
+    rows = rows.where("vec_id IS NOT NULL AND embedding IS NOT NULL")
+    good = F.forall("embedding", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c.cast("double") * scale) < float("inf")))
+    return rows.where(F.coalesce(good, F.lit(False))).select("vec_id", x.alias("v"))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
@@ -61,6 +63,8 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
         gram = np.zeros((width, width))
         for batch in batches:
             m = _matrix(batch.column("v"), width)
+            # Directions only: very long vectors are shortened so that no product overflows.
+            m = m / np.maximum(1.0, np.abs(m).max(axis=1, initial=0, keepdims=True) / 2.0**100)
             gram += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()], pa.binary())], ["gram"])
 
@@ -75,9 +79,10 @@ def _search(queries: pa.Table, vectors: pa.Table, basis: np.ndarray, k: int) ->
     width = len(basis)
     lead = min(LEAD, width)
     q_id, v_id = queries.column("query_id").to_numpy(), vectors.column("vec_id").to_numpy()
-    q, v = _matrix(queries.column("q"), width), _matrix(vectors.column("v"), width)
+    q_whole, v_whole = _matrix(queries.column("q"), width), _matrix(vectors.column("v"), width)
+    q, v = np.clip(q_whole, -HUGE, HUGE), np.clip(v_whole, -HUGE, HUGE)  # for bounds
     order = np.lexsort((v_id, -np.einsum("ij,ij->i", v, v)))
-    v, v_id = v[order], v_id[order]
+    v, v_whole, v_id = v[order], v_whole[order], v_id[order]
     floor = queries.column("floor").to_numpy().astype(float)
     q_lead, v_lead = q @ basis[:, :lead], v @ basis[:, :lead]
     rest = lambda m, led: np.sqrt(np.maximum(np.einsum("ij,ij->i", m, m) - np.einsum("ij,ij->i", led, led), 0))
@@ -98,9 +103,9 @@ def _search(queries: pa.Table, vectors: pa.Table, basis: np.ndarray, k: int) ->
         mine, theirs = alive[row], at + col
         if len(row) * 4 > bound.size:
             # Whole numbers below 2^53: the product is exact, else it is done in 64-bit integers.
-            score = _exact(q[alive], v[tile])[row, col]
+            score = _exact(q_whole[alive], v_whole[tile])[row, col]
         else:
-            score = _pairs(q, v, mine, theirs)
+            score = _pairs(q_whole, v_whole, mine, theirs)
         keep = (score >= floor[mine]) & (q_id[mine] != v_id[theirs])
         mine, theirs, score = mine[keep], theirs[keep], score[keep]
         found_q.append(mine)
@@ -123,19 +128,38 @@ def _search(queries: pa.Table, vectors: pa.Table, basis: np.ndarray, k: int) ->
     return pa.table([pa.array(q_id[mine[top]]), pa.array(ids[top]), pa.array(score[top])], ["query_id", "vec_id", "score"])
 
 
+def _product_fits(a: np.ndarray, b: np.ndarray) -> float:
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
+
+
+def _as_longs(scores: np.ndarray) -> np.ndarray:
+    return np.array([max(-LONG - 1, min(LONG, v)) for v in scores.ravel().tolist()], np.int64).reshape(scores.shape)
+
+
+def _whole(m: np.ndarray) -> np.ndarray:
+    """Python's own integers, for products beyond 64 bits."""
+    return np.array([int(v) for v in m.ravel().tolist()], object).reshape(m.shape)
+
+
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of all rows as 64-bit integers."""
-    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
-    if most < 2**53:
+    """Inner products of all rows as 64-bit integers; beyond those, the nearest one."""
+    most = _product_fits(a, b)
+    if most < EXACT:
         return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    if most < 2**62:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    return _as_longs(_whole(a) @ _whole(b).T)
 
 
 def _pairs(q: np.ndarray, v: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
     out = np.empty(len(mine), np.int64)
     for at in range(0, len(mine), 65536):
         part = slice(at, at + 65536)
-        out[part] = np.einsum("ij,ij->i", q[mine[part]].astype(np.int64), v[theirs[part]].astype(np.int64))
+        a, b = q[mine[part]], v[theirs[part]]
+        if _product_fits(a, b) < 2**62:
+            out[part] = np.einsum("ij,ij->i", a.astype(np.int64), b.astype(np.int64))
+        else:
+            out[part] = _as_longs((_whole(a) * _whole(b)).sum(axis=1))
     return out
 
 
@@ -145,14 +169,16 @@ HITS = "query_id long, vec_id long, score long"
 def top_k(embeddings: DataFrame, every: int = 20, k: int = K, scale: int = SCALE) -> DataFrame:
     """The k best partners of each vector whose vec_id `every` divides: rank, vec_id, score.
 
-    Ties go to the smaller vec_id; a query with fewer partners has fewer rows; vectors of
+    Ties go to the smaller vec_id; a score beyond 64 bits counts as the nearest 64-bit number; a
+    vec_id of several rows is one query with the best pairs of all of them, and each of them a
+    candidate (not for each other); a query with fewer partners has fewer rows; vectors of
     unequal width are compared as if filled up with zeros; which rows take part is said at
     `whole_vectors`. Other columns are ignored; an empty table gives an empty result.
     """
     spark = embeddings.sparkSession
     vectors = stored(
         whole_vectors(embeddings, scale).withColumn(
-            "norm2", F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
+            "norm2", F.aggregate("v", F.lit(0.0), lambda a, c: a + F.least(F.abs(c), F.lit(HUGE)) * F.least(F.abs(c), F.lit(HUGE)))
         ),
         "vectors",
     )
