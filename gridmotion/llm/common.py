@@ -86,7 +86,8 @@ class Encoder:
     pieces before each space, and a piece has the same ids wherever it stands. Only new
     pieces are encoded, a few hundred at a time; a token that starts with a space starts a
     piece. Where a space follows other white space the pattern looks across it, and such a
-    text is encoded as it is. Strings of special tokens are ordinary text.
+    text is encoded as it is. The string of a special token is that token, as in the library's
+    plain call.
     """
 
     CACHE = 300_000  # pieces a worker keeps, some 70 MB; the others are encoded again
@@ -100,7 +101,6 @@ class Encoder:
         kept = vars(tokenizers).setdefault("_pieces_by_file", {})
         if path not in kept:
             tokenizer = tokenizers.Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             size = tokenizer.get_vocab_size()
             led = np.array([(tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
             kept[path] = (tokenizer, led, {}, {})
