@@ -100,7 +100,7 @@ def ball_path(
     """Place of the ball in every frame of its flight: keys, frame (from 1), ball_x and ball_y.
 
     df has a row for each flight. The ball goes straight from start to land and is there in the
-    last frame; an unknown place is NaN.
+    last frame. Where any of its numbers is missing, both coordinates are NaN.
     """
     rows = spans_to_frames(df, F.col(n_frames), frame)
     at = S.ball_position(*[F.col(c) for c in (*start, *land, frame, n_frames)])
