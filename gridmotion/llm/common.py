@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import uuid
@@ -43,7 +44,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def spent(df: DataFrame) -> None:
+    """Remove stored rows that nothing reads any more, and shuffle files of the jobs before."""
+    jvm, spark = df.sparkSession._jvm, df.sparkSession
+    path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    jvm.System.gc()  # Spark cleans shuffles once their plans are collected
 
 
 def open_store(uri: str):
