@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from gridmotion.catalog import sqltext as X
 from gridmotion.catalog.base import labels, q, query, table, tracking
 from gridmotion.catalog.features import K4, same
-from gridmotion.catalog.relations import fraction_sql
+from gridmotion.catalog.relations import digest_sql, fraction_sql, number_sql
 from gridmotion.functions import scalars as S
 from gridmotion.operators import density, evaluate, models, neighbors, sampling
 from gridmotion.operators.joins import predictions_with_truth
@@ -355,24 +355,33 @@ SEARCH_SEQUENCES = 300  # labelled sequences a registered search draws
 
 STAGED_ROUNDS = 40
 
-_SEARCH_SQL = """SELECT CAST(4 AS BIGINT) AS n_trials, CAST(0 AS BIGINT) AS n_unscored,
-  true AS best_is_least FROM (SELECT count(*) FROM labels)"""
+
+def _search_sql(part: str, where: str = "") -> str:
+    """Rows each trial was scored on: of the first sequences in digest order, by part."""
+    return f"""WITH t0 AS ({_T0_ROWS[1:-1]}),
+      drawn AS (SELECT game_id, play_id, nfl_id FROM (SELECT DISTINCT game_id, play_id, nfl_id FROM t0)
+        ORDER BY {digest_sql(TIMELINE_KEYS)}, game_id, play_id, nfl_id LIMIT {SEARCH_SEQUENCES}),
+      parts AS (SELECT {part} AS part, CAST(count(*) AS BIGINT) AS n_rows
+        FROM t0 JOIN drawn USING (game_id, play_id, nfl_id) {where} GROUP BY 1)
+    SELECT CAST(trial AS BIGINT) AS trial, part, n_rows, true AS best_is_least FROM parts, range(1, 5) AS r(trial)"""
 
 
 def _search_report(spark, sf, k):
     result = models.search_settings(_t0(spark, sf), T0_FEATURES, k=k, n_sequences=SEARCH_SEQUENCES)
-    history = result.history_table(spark)
-    found = history.agg(F.count(F.lit(1)), F.count(F.when(F.col("error").isNull(), 1)), F.min("error"))
-    n_trials, n_unscored, least = found.first()
-    return _report(spark, n_trials=n_trials, n_unscored=n_unscored, best_is_least=least == result.score)
+    least = result.history_table(spark).agg((F.min("error") == F.lit(result.score)).alias("best_is_least"))
+    return result.parts_table(spark).drop("error").join(least, F.lit(True))  # a row
 
 
-@query("settings_search_folds", _SEARCH_SQL)
+@query(
+    "settings_search_folds",
+    _search_sql(f"concat('fold ', CAST({number_sql(TIMELINE_KEYS)} % 3 AS VARCHAR))"),
+    ("last_rows",),
+)
 def _(spark, sf):
     return _search_report(spark, sf, 3)
 
 
-@query("settings_search_holdout", _SEARCH_SQL)
+@query("settings_search_holdout", _search_sql("'held out'", f"WHERE {fraction_sql(PLAY_KEYS)} >= 0.8e0"), ("last_rows",))
 def _(spark, sf):
     return _search_report(spark, sf, None)
 

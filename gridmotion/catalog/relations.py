@@ -411,16 +411,16 @@ def _(spark, sf):
 # ------------------------------------------------------------------ samples and splits
 
 
-def _digest(keys: list[str]) -> str:
+def digest_sql(keys: list[str]) -> str:
     return "md5(concat_ws('#', '42', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in keys) + "))"
 
 
-def _number(keys: list[str]) -> str:
-    return f"CAST('0x' || substr({_digest(keys)}, 1, 8) AS BIGINT)"
+def number_sql(keys: list[str]) -> str:
+    return f"CAST('0x' || substr({digest_sql(keys)}, 1, 8) AS BIGINT)"
 
 
 _SAMPLE = f"""SELECT {K3} FROM (SELECT DISTINCT {K3} FROM labels)
-  ORDER BY {_digest(TIMELINE_KEYS)}, {K3} LIMIT 30"""
+  ORDER BY {digest_sql(TIMELINE_KEYS)}, {K3} LIMIT 30"""
 
 
 @query("sample_keys", _SAMPLE)
@@ -438,7 +438,7 @@ def _(spark, sf):
 
 def fraction_sql(keys: list[str]) -> str:
     """The digest of the keys as a fraction in [0, 1)."""
-    return f"{_number(keys)} / 4294967296e0"
+    return f"{number_sql(keys)} / 4294967296e0"
 
 
 _FRACTION = fraction_sql(PLAY_KEYS)
@@ -463,7 +463,7 @@ def _(spark, sf):
 
 @query(
     "fold_assignment",
-    f"SELECT {K4}, {_number(TIMELINE_KEYS)} % 3 AS fold FROM tracking",
+    f"SELECT {K4}, {number_sql(TIMELINE_KEYS)} % 3 AS fold FROM tracking",
 )
 def _(spark, sf):
     return sampling.fold_column(tracking(spark, sf), 3).select(*ROW_KEYS, "fold")

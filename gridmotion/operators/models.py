@@ -190,7 +190,7 @@ def mean_baseline(
     return scored_error(scored, targets, mode).first().rmse
 
 
-def cross_validated_error(
+def cross_validated_parts(
     df: DataFrame,
     features: list[str],
     targets: tuple[str, str] = ("x", "y"),
@@ -199,25 +199,35 @@ def cross_validated_error(
     keys: list[str] = TIMELINE_KEYS,
     seed: int = 42,
     mode: str = "elementwise",
-) -> float:
-    """Mean over the folds that hold rows of the error; a sequence stays within one fold."""
+) -> list[tuple[str, int, float | None]]:
+    """(fold, rows scored, error) of the folds that hold rows; a sequence stays within one fold."""
     folded = fold_column(df, k, keys, seed)
 
-    def error_of(fold: int) -> float | None:
+    def part_of(fold: int) -> tuple[str, int, float | None]:
         models = fit_axes(folded.where(F.col("fold") != fold), features, targets, settings)
         held = folded.where(F.col("fold") == fold)
-        return scored_error(score(models, held, features, list(targets)), targets, mode).first().rmse
+        found = scored_error(score(models, held, features, list(targets)), targets, mode).first()
+        return f"fold {fold}", found.n_points, found.rmse
 
-    filled = [r["fold"] for r in folded.select("fold").distinct().collect()]  # k rows at most
+    filled = sorted(r["fold"] for r in folded.select("fold").distinct().collect())  # k rows at most
     if len(filled) < 2:
         raise ValueError("cross-validation needs rows in two folds at least")
-    errors = together(df.sparkSession, [lambda f=f: error_of(f) for f in filled])
-    known = [e for e in errors if e is not None]
+    return together(df.sparkSession, [lambda f=f: part_of(f) for f in filled])
+
+
+def mean_error(parts: list[tuple[str, int, float | None]]) -> float:
+    """Mean of the parts' errors, those without a target left out."""
+    known = [error for _, _, error in parts if error is not None]
     if not known:
-        raise ValueError("no fold has a target to score")
+        raise ValueError("no part has a target to score")
     return sum(known) / len(known)
 
 
+def cross_validated_error(df: DataFrame, features: list[str], *args, **options) -> float:
+    """Mean over the folds that hold rows of the error (see `cross_validated_parts`)."""
+    return mean_error(cross_validated_parts(df, features, *args, **options))
+
+
 @dataclass(frozen=True)
 class SearchSpace:
     """Values each setting may take, in order; a step goes to a neighbouring value."""
@@ -249,6 +259,12 @@ class SearchResult:
     settings: dict
     score: float
     trials: list[tuple[dict, float]]
+    parts: list[list[tuple[str, int, float | None]]] = field(default_factory=list)
+
+    def parts_table(self, spark: SparkSession) -> DataFrame:
+        """(trial, part, n_rows, error): what each trial was scored on."""
+        rows = [(i, *part) for i, parts in enumerate(self.parts, 1) for part in parts]
+        return spark.createDataFrame(rows, "trial int, part string, n_rows long, error double")
 
     def history_table(self, spark: SparkSession) -> DataFrame:
         """One row a trial: number, error and the settings tried."""
@@ -285,15 +301,14 @@ def search_settings(
     data = df if n_sequences is None else sample_sequences(df, n_sequences, TIMELINE_KEYS, seed)
     data = data.persist()  # read by every trial; rebuilt from lineage when lost
 
-    def error_of(settings: dict) -> float:
+    def parts_of(settings: dict) -> list[tuple[str, int, float | None]]:
         settings = {**settings, "seed": seed}
         if k is not None:
-            return cross_validated_error(data, features, targets, settings, k, seed=seed, mode=mode)
-        error = holdout_error(data, features, targets, settings, seed=seed, mode=mode)[2].first().rmse
-        if error is None:
-            raise ValueError("the held-out part has no target to score")
-        return error
+            return cross_validated_parts(data, features, targets, settings, k, seed=seed, mode=mode)
+        found = holdout_error(data, features, targets, settings, seed=seed, mode=mode)[2].first()
+        return [("held out", found.n_points, found.rmse)]
 
+    scored: list[list[tuple[str, int, float | None]]] = []
     tried: list[tuple[dict, float]] = []
     best_place, best = None, None
     try:
@@ -303,10 +318,11 @@ def search_settings(
                 space.anywhere(rng) if best_place is None else space.beside(best_place, rng)
                 for _ in range(count)
             ]
-            errors = together(
-                df.sparkSession, [lambda p=p: error_of(space.settings(p)) for p in places]
+            found = together(
+                df.sparkSession, [lambda p=p: parts_of(space.settings(p)) for p in places]
             )
-            for place, error in zip(places, errors):
+            scored += found
+            for place, error in zip(places, map(mean_error, found)):
                 tried.append((space.settings(place), error))
                 if best is None or error < best[1]:
                     best_place, best = place, tried[-1]
@@ -314,7 +330,7 @@ def search_settings(
         data.unpersist()
     if best is None:
         raise ValueError("a search needs one trial at least")
-    return SearchResult(best[0], best[1], tried)
+    return SearchResult(best[0], best[1], tried, scored)
 
 
 def early_stopped_fit(
