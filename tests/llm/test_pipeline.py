@@ -146,3 +146,25 @@ def test_rows_without_an_id_or_with_a_repeated_one(spark, sf_dir):
     assert (-1, prose(80, 15)) in after and (4, prose(60, 5)) in after and len(after) >= 7
     clean = corpus_pipeline.drop_leaks(spark, one, sf_dir)
     assert kept(clean) == sorted((d or -1, t) for d, t in unlike if item not in t)
+
+
+def test_stages_on_odd_and_empty_tables(spark, sf_dir):
+    """Nulls in every column, empty and long texts, repeated rows, columns with the operators' own names."""
+    rng = np.random.default_rng(3)
+    long = " ".join(f"lang{i}" for i in rng.integers(0, 5000, 20_000))
+    rows = [(None, None), (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, long), (5, long), (6, None), (None, "")]
+    clash = ["mark", "tid", "kept", "row", "chunk", "__mark"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + "".join(f", `{c}` string" for c in clash)
+    docs = spark.createDataFrame([(*r, None, None, None, *["x"] * len(clash)) for r in rows], schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf_dir).collect()
+        assert all(len(r) == 5 for r in got) and len(got) <= len(rows), name
+        left = {r["text"] for r in got}
+        if name == "near duplicates":  # texts without words are near-duplicates of each other
+            assert {"one", long} <= left and len(got) == 3
+        elif name != "quality classifier":  # that one may reject any of them
+            assert left == {r[1] for r in rows}, name
+        assert stage(spark, docs.limit(0), sf_dir).collect() == [], name
+    packed = corpus_pipeline.pack(spark, docs, sf_dir).collect()
+    assert {r["doc_id"] for r in packed} == {None, 1, 2, 3, 4, 5, 6}
+    assert corpus_pipeline.pack(spark, docs.limit(0), sf_dir).collect() == []
