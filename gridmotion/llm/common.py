@@ -49,13 +49,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def swept(df: DataFrame) -> DataFrame:
+    """df, after the shuffle files of finished jobs are freed; Spark keeps them until their plans are collected."""
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return df
+
+
 def spent(df: DataFrame) -> None:
-    """Remove stored rows that nothing reads any more, and shuffle files of the jobs before."""
+    """Remove stored rows that nothing reads any more."""
     jvm, spark = df.sparkSession._jvm, df.sparkSession
     path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    jvm.System.gc()  # Spark cleans shuffles once their plans are collected
+    swept(df)
 
 
 def open_store(uri: str):
