@@ -548,6 +548,21 @@ def test_cut_words_keeps_the_rest():
     assert substring.cut_words(raw, []) == raw
 
 
+def test_runs_that_stand_alone_are_those_alignment_ends_at():
+    rng = random.Random(12)
+    for _ in range(3000):
+        x = [rng.randint(0, 2) for _ in range(rng.randint(6, 30))]
+        y = [rng.randint(0, 2) for _ in range(rng.randint(6, 30))]
+        n = rng.randint(1, 5)
+        a, b = rng.randint(0, len(x) - n), rng.randint(0, len(y) - n)
+        y[b : b + n] = x[a : a + n]
+        ((i, u, j, v, matched),) = substring.align(x, y, [(a, b, n)])
+        alone = substring._stands_alone(np.array(x, "<u2").tobytes(), np.array(y, "<u2").tobytes(), a, b, n, 99)
+        run = u - i == v - j == matched and x[i:u] == y[j:v]
+        assert not alone or run
+        assert alone or u - i > n or v - j > n
+
+
 def test_passages_whose_lines_stand_alone_before(documents):
     """Every five words of the passage stand in an earlier document, the passage in none."""
     passage = prose(60, 901).split()
