@@ -86,7 +86,7 @@ def _pipeline(features, target, axis, settings, validation) -> Pipeline:
         subsamplingRate=settings["rows"],
         featureSubsetStrategy=settings["columns"],
         seed=settings["seed"],
-        cacheNodeIds=True,
+        cacheNodeIds=False,  # a row finds its node in at most `depth` steps; a cache costs a pass and files a level
         maxMemoryInMB=1024,  # the nodes of a level are found in one job
         **options,
     )

@@ -99,3 +99,17 @@ def test_projection_frames_and_motion(spark):
         spark.createDataFrame([row], schema), "math", with_acceleration=True
     ).where("frame_id = 2").first()
     assert math.isclose(fast.pred_y, 20.0 + 2.0 * 0.2 + 0.5 * 0.04)
+
+
+def test_trees_keep_no_node_cache(spark):
+    """Nodes found by walking the tree are the cached ones, without a pass and files for each level."""
+    rows = spark.range(600).selectExpr("CAST(id % 37 AS DOUBLE) AS a", "CAST(id % 11 AS DOUBLE) AS b", "CAST(id % 7 AS DOUBLE) AS x")
+    rows = rows.coalesce(2).persist()
+    settings = {**models.LAG_SETTINGS, "trees": 3, "depth": 4}
+    plain = models._pipeline(["a", "b"], "x", "x", settings, None)
+    assert plain.getStages()[1].getCacheNodeIds() is False
+    cached = models._pipeline(["a", "b"], "x", "x", settings, None)
+    cached.getStages()[1].setCacheNodeIds(True)
+    told = [p.fit(rows).stages[1].toDebugString.split("\n", 1)[1] for p in (plain, cached)]
+    assert told[0] == told[1]
+    rows.unpersist()
