@@ -22,8 +22,13 @@ from pyspark.sql import functions as F
 from gridmotion.llm.common import Encoder, slices, stored
 
 CAPACITY = 2048
-ROUNDS = 400  # configurations priced by the linear program
-STEP = 0.25  # share of a length's pieces that one step may cover
+ROUNDS = 400  # pricings of one program; what is uncovered then enters another one
+A_ROUND = 256  # lengths a pricing takes configurations for, the heaviest first
+STEP = 0.25  # share of a length's uncovered pieces that one step may cover
+POWER = 1.1  # of the length in its weight; above 1, short pieces are spared for later rooms
+LAG = 0.3  # how fast a length loses weight as it is covered
+NEAR = 0.3  # share of the best price a configuration may fall short
+FULL = 0.9995  # share of a sequence a configuration fills at least: one free place of 2,048
 END_ID = 0
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -63,44 +68,68 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
 Group = tuple[int, list[tuple[int, int]]]  # sequences of one pattern: [(length, pieces of it)]
 
 
-def priced(weights: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of most weight: an unbounded knapsack by dynamic programming."""
-    best, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+def priced(weights: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The most weight that fits each room: an unbounded knapsack by dynamic programming."""
+    best = np.zeros(capacity + 1)
     for room in range(int(lengths[0]), capacity + 1):
         fits = np.searchsorted(lengths, room, "right")
-        value = weights[:fits] + best[room - lengths[:fits]]
-        top = int(np.argmax(value))
-        best[room], choice[room] = value[top], lengths[top]
-    out: dict[int, int] = {}
-    room = capacity
-    while room >= lengths[0] and choice[room]:
-        out[int(choice[room])] = out.get(int(choice[room]), 0) + 1
-        room -= int(choice[room])
-    return out
+        best[room] = (weights[:fits] + best[room - lengths[:fits]]).max()
+    return best
+
+
+def configuration(
+    first: int, weights: np.ndarray, lengths: np.ndarray, best: np.ndarray, spare: np.ndarray, capacity: int
+) -> dict[int, int]:
+    """Places in `lengths` and their pieces: one of `first`, the room filled by the prices, ties to the longer.
+
+    No length is taken more often than it has spare pieces.
+    """
+    taken, room, at = np.zeros(len(lengths), np.int64), capacity, first
+    while at is not None:
+        taken[at] += 1
+        room -= int(lengths[at])
+        fits = int(np.searchsorted(lengths, room, "right"))
+        value = np.where(spare[:fits] >= taken[:fits] + 1, weights[:fits] + best[room - lengths[:fits]], 0.0)
+        at = fits - 1 - int(np.argmax(value[::-1])) if fits and value.max() > 0 else None
+    return {int(i): int(taken[i]) for i in np.flatnonzero(taken)}
 
 
 def fractional(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> list[tuple[float, dict[int, int]]]:
-    """Configurations and their fractional counts, by multiplicative weights."""
+    """Configurations and their fractional counts, by multiplicative weights.
+
+    A round prices the weights once and takes a configuration for each of the heaviest lengths, as
+    long as they come near the best price; a step covers a share of a length's pieces, one sequence
+    at least. It goes on until no configuration of what is uncovered fills a sequence (`FULL`).
+    """
     lengths = np.array(sorted(histogram))
     demand = np.array([histogram[n] for n in lengths.tolist()], float)
-    place = {n: i for i, n in enumerate(lengths.tolist())}
     covered, out = np.zeros(len(lengths)), {}
     for _ in range(rounds):
-        open_ = covered < 1
+        spare = demand * (1 - covered)
+        open_ = spare >= 1
         if not open_.any():
             break
-        # A piece weighs as much as the room it takes, more while its length lags behind.
-        weights = np.where(open_, lengths * np.exp(-4 * covered), 0.0)
-        configuration = priced(weights, lengths, capacity)
-        configuration = {n: k for n, k in configuration.items() if weights[place[n]] > 0}
-        if not configuration:
+        # A piece weighs more than the room it takes the longer it is, and while its length lags behind.
+        weights = np.where(open_, lengths**POWER * np.exp(-LAG * covered), 0.0)
+        best = priced(weights, lengths, capacity)
+        within = np.where(open_, spare, 0.0)  # what this round may still take of each length
+        took = False
+        for first in np.argsort(-weights, kind="stable")[:A_ROUND].tolist():
+            if within[first] < 1:
+                continue
+            found = configuration(first, weights, lengths, best, within, capacity)
+            places, pieces_ = np.array(list(found)), np.array(list(found.values()))
+            if lengths[places] @ pieces_ < FULL * capacity or weights[places] @ pieces_ < (1 - NEAR) * best[capacity]:
+                continue
+            step = max(1.0, STEP * float((spare[places] / pieces_).min()))
+            step = min(step, float((within[places] / pieces_).min()))
+            covered[places] += step * pieces_ / demand[places]
+            within[places] -= step * pieces_
+            key = tuple(sorted(zip(lengths[places].tolist(), pieces_.tolist())))
+            out[key] = out.get(key, 0.0) + step
+            took = True
+        if not took:
             break
-        step = STEP * min(demand[place[n]] / k for n, k in configuration.items())
-        step = max(step, min(1.0, *(demand[place[n]] / k for n, k in configuration.items())))
-        for n, k in configuration.items():
-            covered[place[n]] += step * k / demand[place[n]]
-        key = tuple(sorted(configuration.items()))
-        out[key] = out.get(key, 0.0) + step
     return [(count, dict(key)) for key, count in out.items()]
 
 
@@ -143,26 +172,29 @@ def best_fit(histogram: dict[int, int], capacity: int, opened: list[Group] = ())
     return [(count, pattern) for groups in by_room.values() for count, pattern in groups if pattern]
 
 
+def by_program(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> tuple[list[Group], dict[int, int]]:
+    """(sequences of the rounded program, what it leaves); what rounding frees enters the program again."""
+    left, rounded = dict(histogram), []
+    while left:
+        before = len(rounded)
+        for count, found in sorted(fractional(left, capacity, rounds), key=lambda x: -x[0]):
+            n = min(int(count + 1e-6), *(left[length] // k for length, k in found.items()))
+            if n:
+                rounded.append((n, sorted(found.items(), reverse=True)))
+                for length, k in found.items():
+                    left[length] -= n * k
+        left = {n: c for n, c in left.items() if c}
+        if len(rounded) == before:
+            break
+    return rounded, left
+
+
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[Group]:
-    """Sequences for a histogram of lengths: the rounded program, or best fit if that is smaller."""
+    """Sequences for a histogram of lengths: the rounded program, what fills no sequence by best fit."""
     histogram = {n: c for n, c in histogram.items() if c}
-    if not histogram:
-        return []
-    whole = {n: c for n, c in histogram.items() if n == capacity}
-    rest = {n: c for n, c in histogram.items() if n < capacity}
-    done: list[Group] = [(c, [(n, 1)]) for n, c in whole.items()]
-    if not rest:
-        return done
-    left, rounded = dict(rest), []
-    for count, configuration in sorted(fractional(rest, capacity, rounds), key=lambda x: -x[0]):
-        n = min(int(count), *(left[length] // k for length, k in configuration.items()))
-        if n:
-            rounded.append((n, sorted(configuration.items(), reverse=True)))
-            for length, k in configuration.items():
-                left[length] -= n * k
-    by_program = best_fit({n: c for n, c in left.items() if c}, capacity, rounded)
-    by_fit = best_fit(rest, capacity)
-    return done + min(by_program, by_fit, key=lambda groups: sum(c for c, _ in groups))
+    whole: list[Group] = [(c, [(n, 1)]) for n, c in histogram.items() if n == capacity]
+    rounded, left = by_program({n: c for n, c in histogram.items() if n < capacity}, capacity, rounds)
+    return whole + best_fit(left, capacity, rounded)
 
 
 def intervals(groups: list[Group]) -> dict[int, np.ndarray]:

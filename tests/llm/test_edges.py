@@ -430,6 +430,24 @@ def test_plans_hold_every_piece():
         assert sum(c for c, _ in groups) <= max(least, halves) * 1.1 + 1
 
 
+def test_the_program_places_most_tokens():
+    """What best fit gets is a small rest, and the sequences are near the least that can hold the tokens."""
+    lengths = np.random.default_rng(0).lognormal(5.5, 1, 4000).astype(int).clip(1, 2047).tolist()
+    histogram = {n: lengths.count(n) for n in set(lengths)}
+    groups, left = packing.by_program(histogram, 2048)
+    tokens = sum(lengths)
+    held = dict(left)
+    for count, pattern in groups:
+        assert sum(n * k for n, k in pattern) >= packing.FULL * 2048
+        for n, k in pattern:
+            held[n] = held.get(n, 0) + count * k
+    assert held == histogram
+    assert sum(n * c for n, c in left.items()) < 0.1 * tokens
+    assert sum(c for c, _ in packing.plan(histogram)) <= -(-tokens // 2048) + 2
+    for small, least in (({1025: 9, 1023: 4}, 9), ({683: 100, 682: 50, 2000: 3}, 53), ({1024: 5}, 3), ({1: 5000}, 3)):
+        assert sum(c for c, _ in packing.plan(small)) == least
+
+
 def test_packing_odd_rows(odd, empty, vocabulary):
     rows = packing.pack_documents(odd, vocabulary).collect()
     sequences = {}
