@@ -15,6 +15,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +30,9 @@ SAMPLE_ROWS = 2048  # vectors, chosen by a hash, among which pivots are picked
 MOST_PIVOTS = 256
 LANDMARKS = 16
 CHUNK_VALUES = 4_000_000  # distances held at a time in a task
+GROUP_BLOCKS = 64  # query blocks of a task
+BLOCKS_READ = 8  # corpus blocks a task reads at a time
+MERGED = 32  # blocks' nearest rows that a query block gathers before it keeps the k nearest of them
 ROOM = 1e-9  # share by which bounds are widened for rounding
 
 
@@ -198,6 +204,22 @@ def block_vectors(
     return PivotBlocks(pivots, path, spark.read.schema(schema).parquet(path), keys)
 
 
+def read_blocks(path: str, wanted: dict[int, list[int]]) -> Iterator[tuple[int, pa.StructArray, pa.Array]]:
+    """(block, ids, vectors) of the wanted blocks, a few at a time, straight from the stored files."""
+    path = "/" + path[len("file:") :].lstrip("/") if path.startswith("file:") else path
+    store, base = (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+    for name in sorted(f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(".parquet")):
+        with store.open_input_file(name) as opened:
+            file = pq.ParquetFile(opened)
+            for at in range(file.num_row_groups):
+                if wanted.keys().isdisjoint(file.read_row_group(at, ["block"]).column("block").to_pylist()):
+                    continue
+                for batch in file.iter_batches(BLOCKS_READ, row_groups=[at], columns=["block", "ids", "vecs"]):
+                    for i, block in enumerate(batch.column("block").to_pylist()):
+                        if block in wanted:
+                            yield block, batch.column("ids")[i].values, batch.column("vecs")[i].values
+
+
 def _bounded_pairs(asked: DataFrame, corpus: PivotBlocks) -> DataFrame:
     """(q_block, block) that lie within the query block's bound, by partitions first."""
     parts = corpus.partitions().select("part", F.col("lo").alias("p_lo"), F.col("hi").alias("p_hi"))
@@ -212,7 +234,7 @@ def nearest_rows(corpus: PivotBlocks, queries: PivotBlocks, k: int) -> tuple[Dat
     """(candidate rows, block pairs met).
 
     Candidates are (query id, corpus keys, distance): the k nearest rows of every query are among
-    them, at most k rows for each query and block met. queries must have one key and the same pivots.
+    them, at most 2 k rows for each query. queries must have one key and the same pivots.
     """
     spark, keys, (query_id,) = corpus.blocks.sparkSession, corpus.keys, queries.keys
     q_type = queries.blocks.schema["ids"].dataType.elementType[query_id].dataType
@@ -221,21 +243,54 @@ def nearest_rows(corpus: PivotBlocks, queries: PivotBlocks, k: int) -> tuple[Dat
         [T.StructField("q_block", T.LongType()), T.StructField("query_id", q_type), *key_fields, T.StructField("distance", T.DoubleType())]
     )
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                q, c = (matrix(batch.column(n)[i].values) for n in ("q_vecs", "vecs"))
-                at, row, away = top_k_positions(q, c, k)
-                ids = batch.column("ids")[i].values.take(pa.array(row))
-                asked = batch.column("q_ids")[i].values.field(query_id).take(pa.array(at))
-                columns = [pa.array(np.full(len(at), batch.column("q_block")[i].as_py())), asked, *ids.flatten(), pa.array(away)]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+    stored, names = corpus.path, list(schema.names)
+    order = [("at", "ascending"), ("distance", "ascending"), *[(k, "ascending") for k in keys]]
+
+    def nearest(found: list[pa.Table]) -> list[pa.Table]:
+        """The k nearest of each query, ties by key."""
+        table = pa.concat_tables(found)
+        table = table.take(pc.sort_indices(table, sort_keys=order, null_placement="at_start"))
+        at = table.column("at").to_numpy()
+        return [table.filter(pa.array(np.arange(len(at)) - np.searchsorted(at, at) < k))]
+
+    def search(group: pa.Table) -> pa.Table:
+        """A group of query blocks: the corpus blocks they ask for pass by once, read from the shared folder."""
+        asked, vectors = group.column("q_ids").to_pylist(), group.column("q_vecs")
+        asking: dict[int, list[int]] = {}
+        for i, blocks in enumerate(group.column("blocks")):
+            for block in blocks.as_py():
+                asking.setdefault(block, []).append(i)
+        q_vecs = [matrix(v.values) for v in vectors]
+        best: list[list[pa.Table]] = [[] for _ in q_vecs]
+        for block, ids, vecs in read_blocks(stored, asking):
+            rows = matrix(vecs)
+            for i in asking[block]:
+                at, row, away = top_k_positions(q_vecs[i], rows, k)
+                columns = [pa.array(at), pa.array(away), *ids.take(pa.array(row)).flatten()]
+                best[i].append(pa.Table.from_arrays(columns, ["at", "distance", *keys]))
+                if len(best[i]) >= MERGED:
+                    best[i] = nearest(best[i])
+        out = []
+        for i, found in enumerate(best):
+            (table,) = nearest(found)
+            ids = pa.array([r[query_id] for r in asked[i]], group.schema.field("q_ids").type.value_type.field(query_id).type)
+            block = pa.array(np.full(table.num_rows, group.column("q_block")[i].as_py()))
+            out.append(
+                pa.Table.from_arrays(
+                    [block, ids.take(table.column("at").combine_chunks()), *[table.column(c) for c in keys], table.column("distance")], names
+                )
+            )
+        return pa.concat_tables(out)
+
+    groups = max(spark.sparkContext.defaultParallelism, -(-queries.blocks.count() // GROUP_BLOCKS))
 
     def met(pairs: DataFrame) -> DataFrame:
+        # Only numbers of blocks and each query block, once, are shuffled.
         asked = queries.blocks.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
-        both = pairs.join(asked, "q_block").join(corpus.blocks.select("block", "ids", "vecs"), "block")
+        both = pairs.groupBy("q_block").agg(F.collect_list("block").alias("blocks")).join(asked, "q_block")
+        both = both.withColumn("group", F.pmod(F.xxhash64("q_block"), F.lit(groups)))
         path = scratch_path(spark, "neighbours")
-        both.select("q_block", "q_ids", "q_vecs", "ids", "vecs").mapInArrow(search, schema).write.parquet(path)
+        both.groupBy("group").applyInArrow(search, schema).write.parquet(path)
         return spark.read.schema(schema).parquet(path)
 
     asked = queries.intervals.select(F.col("block").alias("q_block"), F.col("part").alias("q_part"), F.col("n").alias("q_n"), "lo", "hi")

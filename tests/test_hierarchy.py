@@ -36,6 +36,7 @@ def test_neighbours_by_pivots_are_exact_and_prune(spark):
     assert blocks.intervals.agg(F.sum("n"), F.max("n")).first()[:] == (3000, 64)
     found, pairs = pivots.nearest_rows(blocks, blocks, 7)
     assert pivots.share_met(pairs, blocks, blocks) < 0.3
+    assert found.count() <= 2 * 7 * len(rows)  # however many blocks a query met
     best = {}
     for r in found.collect():
         best.setdefault(r["query_id"], []).append((r["distance"], r["id"]))
