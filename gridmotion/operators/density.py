@@ -15,19 +15,23 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import product
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmotion.operators.neighbors import distance_to
+from gridmotion.operators.pivots import GROUP_BLOCKS, matrix, read_blocks
 from gridmotion.operators.skew import dense_index
-from gridmotion.session import checkpointed
+from gridmotion.session import checkpointed, scratch_path
 
 BLOCK_ROWS = 512
 N_PIVOTS = 2
 N_LANDMARKS = 16
+HELD_ROWS = 1_000_000  # found rows a task gathers before it reduces them
 NOISE = -1
 
 
@@ -39,27 +43,25 @@ def _squared(left: np.ndarray, right: np.ndarray, chunk: int = 64) -> np.ndarray
     return out
 
 
-def _matrix(vectors) -> np.ndarray:
-    return np.stack(vectors).astype(np.float64)
-
-
 def _count_kernel(eps: float):
     """Weighted neighbours each point of a block finds in the other block."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                near = _squared(_matrix(row.l_vecs), _matrix(row.r_vecs)) <= eps * eps
-                parts = [(row.l_ids, near @ np.asarray(row.r_weights, dtype=np.int64))]
-                if not row.same:
-                    parts.append((row.r_ids, near.T @ np.asarray(row.l_weights, dtype=np.int64)))
-                for ids, counts in parts:
-                    hit = counts > 0
-                    yield pd.DataFrame({"pid": np.asarray(ids)[hit], "n": counts[hit]})
+    def run(pair: SimpleNamespace) -> Iterator[pd.DataFrame]:
+        near = _squared(pair.l_vecs, pair.r_vecs) <= eps * eps
+        parts = [(pair.l_pid, near @ pair.r_flag)]
+        if not pair.same:
+            parts.append((pair.r_pid, near.T @ pair.l_flag))
+        for ids, counts in parts:
+            hit = counts > 0
+            yield pd.DataFrame({"pid": ids[hit], "n": counts[hit]})
 
     return run
 
 
+def _summed(found: pd.DataFrame) -> pd.DataFrame:
+    return found.groupby("pid", as_index=False)["n"].sum()
+
+
 def _forest(near: np.ndarray, left_ids: np.ndarray, right_ids: np.ndarray):
     """Star edges (id, smallest id of its component) of a bipartite neighbourhood."""
     none = np.iinfo(np.int64).max
@@ -94,25 +96,42 @@ def _link_kernel(eps: float):
             }
         )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                squared = _squared(_matrix(row.l_vecs), _matrix(row.r_vecs))
-                l_ids, r_ids = np.asarray(row.l_ids), np.asarray(row.r_ids)
-                l_core = np.asarray(row.l_core, dtype=bool)
-                r_core = np.asarray(row.r_core, dtype=bool)
-                if l_core.any() and r_core.any():
-                    near = squared[np.ix_(l_core, r_core)] <= eps * eps
-                    a, b = _forest(near, l_ids[l_core], r_ids[r_core])
-                    yield pd.DataFrame({"kind": "edge", "a": a, "b": b, "distance": 0.0})
-                if r_core.any() and (~l_core).any():
-                    yield attach(l_ids[~l_core], r_ids[r_core], squared[np.ix_(~l_core, r_core)])
-                if not row.same and l_core.any() and (~r_core).any():
-                    yield attach(r_ids[~r_core], l_ids[l_core], squared[np.ix_(l_core, ~r_core)].T)
+    def run(pair: SimpleNamespace) -> Iterator[pd.DataFrame]:
+        squared = _squared(pair.l_vecs, pair.r_vecs)
+        l_ids, r_ids, l_core, r_core = pair.l_pid, pair.r_pid, pair.l_flag, pair.r_flag
+        if l_core.any() and r_core.any():
+            near = squared[np.ix_(l_core, r_core)] <= eps * eps
+            a, b = _forest(near, l_ids[l_core], r_ids[r_core])
+            yield pd.DataFrame({"kind": "edge", "a": a, "b": b, "distance": 0.0})
+        if r_core.any() and (~l_core).any():
+            yield attach(l_ids[~l_core], r_ids[r_core], squared[np.ix_(~l_core, r_core)])
+        if not pair.same and l_core.any() and (~r_core).any():
+            yield attach(r_ids[~r_core], l_ids[l_core], squared[np.ix_(l_core, ~r_core)].T)
 
     return run
 
 
+def _spanned(found: pd.DataFrame) -> pd.DataFrame:
+    """The same components by at most one edge a point, and each other point's nearest core point."""
+    is_edge = found["kind"] == "edge"
+    edges, border = found[is_edge], found[~is_edge]
+    ids, ends = np.unique(edges[["a", "b"]].to_numpy(np.int64).ravel(), return_inverse=True)
+    a, b = ends.reshape(-1, 2).T
+    root = np.arange(len(ids))
+    while True:
+        lowest = np.minimum(root[a], root[b])
+        moved = root.copy()
+        for side in (a, b, root[a], root[b]):
+            np.minimum.at(moved, side, lowest)
+        moved = moved[moved]
+        if np.array_equal(moved, root):
+            break
+        root = moved
+    hung = root != np.arange(len(ids))
+    tree = pd.DataFrame({"kind": "edge", "a": ids[hung], "b": ids[root[hung]], "distance": 0.0})
+    return pd.concat([tree, border.sort_values(["a", "distance", "b"]).drop_duplicates("a")], ignore_index=True)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of an undirected edge list a-b; root is the smallest node.
 
@@ -218,21 +237,59 @@ def _block_pairs(placed: DataFrame, cells: DataFrame, bands: list[str]) -> DataF
     )
 
 
-def _with_blocks(pairs: DataFrame, table: DataFrame, bands: list[str], fields: dict[str, str]):
-    """Attach both blocks' arrays (in pid order) to the pair keys."""
-    key = [*bands, "near", "block"]
-    entry = F.struct("pid", *[c for c in fields.values() if c != "pid"])
-    packed = table.groupBy(*key).agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    out = pairs
+def _meet(pairs: DataFrame, table: DataFrame, bands: list[str], vector: str, flag: str, kernel, reduce, schema: str) -> DataFrame:
+    """The kernel's rows on all pairs of blocks, reduced within a task's group of left blocks.
+
+    Blocks (members in pid order) are stored once; a group reads the right blocks it meets from the
+    stored files, so only numbers of blocks and each left block, once, are shuffled.
+    """
+    spark, key = table.sparkSession, [*bands, "near", "block"]
+    members = F.sort_array(F.collect_list(F.struct("pid", F.col(flag).alias("flag"), F.col(vector).cast("array<double>").alias("v"))))
+    packed = table.groupBy(*key).agg(members.alias("m")).select(
+        *[F.col(c).alias(f"key_{c}") for c in key],
+        F.monotonically_increasing_id().alias("block"),
+        F.transform("m", lambda e: F.struct(e["pid"].alias("pid"), e["flag"].alias("flag"))).alias("ids"),
+        F.col("m.v").alias("vecs"),
+    )
+    path = scratch_path(spark, "density-blocks")
+    packed.write.parquet(path)
+    blocks = spark.read.schema(packed.schema).parquet(path)
+    numbered = pairs
     for side in ("l", "r"):
-        out = out.join(
-            packed.select(
-                *[F.col(c).alias(f"{side}_{c}") for c in key],
-                *[F.col("e")[c].alias(f"{side}_{n}") for n, c in fields.items()],
-            ),
-            [f"{side}_{c}" for c in key],
-        )
-    return out.select("same", *[f"{side}_{n}" for side in ("l", "r") for n in fields])
+        numbers = blocks.select(*[F.col(f"key_{c}").alias(f"{side}_{c}") for c in key], F.col("block").alias(f"__{side}"))
+        numbered = numbered.join(numbers, [f"{side}_{c}" for c in key])
+    asked = numbered.groupBy(F.col("__l").alias("block")).agg(F.collect_list(F.struct(F.col("__r").alias("r"), "same")).alias("met"))
+    groups = max(spark.sparkContext.defaultParallelism, -(-blocks.count() // GROUP_BLOCKS))
+    left = asked.join(blocks.select("block", "ids", "vecs"), "block").withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
+
+    def side_of(side: str, ids: pa.StructArray, vecs: pa.Array) -> dict:
+        fields = {c: ids.field(c).to_numpy(zero_copy_only=False) for c in ("pid", "flag")}
+        return {f"{side}_pid": fields["pid"], f"{side}_flag": fields["flag"], f"{side}_vecs": matrix(vecs)}
+
+    names = [part.split()[0] for part in schema.split(", ")]
+    types = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    arrow = pa.schema([(part.split()[0], types[part.split()[1]]) for part in schema.split(", ")])
+
+    def search(group: pa.Table) -> pa.Table:
+        lefts, asking = [], {}
+        for i in range(group.num_rows):
+            lefts.append(side_of("l", group.column("ids")[i].values, group.column("vecs")[i].values))
+            for e in group.column("met")[i].as_py():
+                asking.setdefault(e["r"], []).append((i, e["same"]))
+        found, held = [], 0
+        for block, ids, vecs in read_blocks(path, asking):
+            right = side_of("r", ids, vecs)
+            for i, same in asking[block]:
+                fresh = list(kernel(SimpleNamespace(same=same, **lefts[i], **right)))
+                found += fresh
+                held += sum(map(len, fresh))
+            if held > HELD_ROWS and len(found) > 1:
+                found = [reduce(pd.concat(found, ignore_index=True))]
+                held = 0
+        rows = reduce(pd.concat(found, ignore_index=True)) if found else pd.DataFrame(columns=names)
+        return pa.Table.from_pandas(rows[names], arrow, preserve_index=False)
+
+    return left.groupBy("group").applyInArrow(search, schema)
 
 
 def density_clusters(
@@ -290,18 +347,14 @@ def density_clusters(
     key = [*bands, "near", "block"]
     ranges = _block_ranges(placed, key, len(landmarks))
     pairs = checkpointed(_within_reach(_block_pairs(placed, cells, bands), ranges, key, eps))
-    arrays = {"ids": "pid", "vecs": vector}
     counts = (
-        _with_blocks(pairs, placed, bands, {**arrays, "weights": "weight"})
-        .mapInPandas(_count_kernel(eps), "pid long, n long")
+        _meet(pairs, placed, bands, vector, "weight", _count_kernel(eps), _summed, "pid long, n long")
         .groupBy("pid")
         .agg((F.sum("n") >= min_samples).alias("is_core"))
     )
     judged = checkpointed(placed.join(counts, "pid"))
-    met = _with_blocks(pairs, judged, bands, {**arrays, "core": "is_core"})
-    links = checkpointed(
-        met.mapInPandas(_link_kernel(eps), "kind string, a long, b long, distance double")
-    )
+    link = "kind string, a long, b long, distance double"
+    links = checkpointed(_meet(pairs, judged, bands, vector, "is_core", _link_kernel(eps), _spanned, link))
     roots = connected_components(links.where("kind = 'edge'").select("a", "b"))
 
     core = judged.where("is_core").select("pid", "weight")

@@ -3,6 +3,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 
 from gridmotion.operators import density, neighbors
@@ -95,3 +96,20 @@ def test_components_of_a_long_chain_and_a_hub(spark):
     roots = {r.node: r.root for r in density.connected_components(edges).collect()}
     assert all(roots[i] == 0 for i in range(201))
     assert all(roots[1000 + i] == 1000 for i in range(300))
+
+
+def test_found_rows_are_reduced_on_the_way(spark, monkeypatch):
+    """Links of many block pairs shrink to a forest and one nearest core point each; clusters stay the same."""
+    found = pd.DataFrame(
+        [("edge", 5, 3, 0.0), ("edge", 5, 4, 0.0), ("edge", 4, 3, 0.0), ("edge", 9, 8, 0.0), ("border", 7, 5, 0.4), ("border", 7, 3, 0.2), ("border", 7, 4, 0.2)],
+        columns=["kind", "a", "b", "distance"],
+    )
+    assert sorted(density._spanned(found).itertuples(index=False, name=None)) == [
+        ("border", 7, 3, 0.2), ("edge", 4, 3, 0.0), ("edge", 5, 3, 0.0), ("edge", 9, 8, 0.0),
+    ]
+    df = spark.range(300).selectExpr("id", "array(CAST(id % 60 AS DOUBLE) / 4, CAST(id * 7 % 11 AS DOUBLE) * 3) AS v")
+    clusters = lambda: sorted(map(tuple, density.density_clusters(df, ["id"], "v", 1.2, 5, 6, block_rows=16).collect()))
+    want = clusters()
+    monkeypatch.setattr(density, "HELD_ROWS", 1)
+    monkeypatch.setattr(density, "GROUP_BLOCKS", 2)
+    assert clusters() == want and len({c for _, c, _ in want}) > 1
