@@ -108,7 +108,7 @@ def test_found_rows_are_reduced_on_the_way(spark, monkeypatch):
         ("border", 7, 3, 0.2), ("edge", 4, 3, 0.0), ("edge", 5, 3, 0.0), ("edge", 9, 8, 0.0),
     ]
     df = spark.range(300).selectExpr("id", "array(CAST(id % 60 AS DOUBLE) / 4, CAST(id * 7 % 11 AS DOUBLE) * 3) AS v")
-    clusters = lambda: sorted(map(tuple, density.density_clusters(df, ["id"], "v", 1.2, 5, 6, block_rows=16).collect()))
+    clusters = lambda: sorted(map(tuple, density.density_clusters(df, ["id"], "v", 1.2, 3, 4, block_rows=16).collect()))
     want = clusters()
     monkeypatch.setattr(density, "HELD_ROWS", 1)
     monkeypatch.setattr(density, "GROUP_BLOCKS", 2)
