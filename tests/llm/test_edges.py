@@ -475,6 +475,19 @@ def test_encoder_agrees_with_whole_texts(vocabulary):
         assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_a_word_is_learnt_once_whatever_marks_follow(vocabulary):
+    from tokenizers import Tokenizer
+
+    tokenizers_kept = vars(__import__("tokenizers")).get("_pieces_by_file", {})
+    tokenizers_kept.pop(vocabulary, None)
+    encoder = Encoder(vocabulary)
+    texts = ["so qwzzx, then qwzzx. Qwzzx! don't dog's d'll, x' foo<|endoftext|>bar foo<|endoftext|>", "é, é\u0301, über²x a²; ß!\x1cb x_y, 1a a1. ﬁ, Ωmega, word.\nNext.\n\nD"]
+    got = encoder.encode(pa.array(texts))
+    tokenizer = Tokenizer.from_file(vocabulary)
+    assert [ids.tolist() for ids in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert "qwzzx" in encoder.pieces  # learnt without its marks
+
+
 def test_shards_odd_rows(odd, empty, vocabulary, spark):
     manifest = tokenized.write_shards(odd, vocabulary, shard_ids=500)
     assert manifest.count() > 1
