@@ -7,8 +7,9 @@ buckets it must look into is measured when the index is fitted: on a bounded sam
 vectors, against an exact search.
 
 Copies of a vector are one entry with its first keys, so they fill no bucket. What makes a bucket
-large otherwise is cut into pieces that meet one by one. Candidates are compared exactly, and a
-task emits at most k rows per query and piece.
+large otherwise passes by in pieces. The index is stored once, in the order of its buckets; a task
+holds a group of queries, reads the stored index past them and emits at most k entries per query.
+Candidates are compared exactly.
 """
 
 from __future__ import annotations
@@ -19,16 +20,23 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmotion.operators.pivots import matrix, top_k_positions
+from gridmotion.operators.skew import dense_index
 from gridmotion.session import scratch_path
 
 TABLES = 6
 BUCKET_ROWS = 256  # a bucket's size that the number of directions aims at
 PIECE_ROWS = 2048
+GROUP_QUERIES = 8192  # queries of a task at most
+PROBES_HELD = 4_000_000  # codes a task's queries look into in one table
+PROBED_AT_ONCE = 512  # queries whose probes are ranked at a time
+FOUND_HELD = 1_000_000  # found rows a task gathers before it keeps the k nearest of each query
 FIT_ROWS, FIT_QUERIES = 4096, 256  # sample the cuts and the number of probes are fitted on
 NEAR_BITS = 12  # directions a probe may cross: those the query lies closest to
 TARGET = 0.95  # recall on the sample, so that 0.9 holds on all rows
@@ -89,8 +97,8 @@ def fit_projections(
     return replace(index, probes=probes, sample_recall=float((needed <= probes).mean()))
 
 
-def _coded(df: DataFrame, vector: str, index: ProjectionIndex, probe: bool) -> DataFrame:
-    """Every row once for each bucket it lies in (or looks into): columns, table and code."""
+def _coded(df: DataFrame, vector: str, index: ProjectionIndex) -> DataFrame:
+    """Every row once for each table's bucket it lies in: columns, table and code."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,17 +106,70 @@ def _coded(df: DataFrame, vector: str, index: ProjectionIndex, probe: bool) -> D
                 continue
             vectors = matrix(batch.column(vector))
             for t in range(len(index.directions)):
-                codes = index.probed(vectors, t) if probe else index.sides(vectors, t)[0][:, None]
-                row = pa.array(np.repeat(np.arange(len(vectors)), codes.shape[1]))
-                columns = [c.take(row) for c in batch.columns]
+                codes = index.sides(vectors, t)[0]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(np.full(codes.size, t, np.int32)), pa.array(codes.ravel())], [*batch.schema.names, "table", "code"]
+                    [*batch.columns, pa.array(np.full(codes.size, t, np.int32)), pa.array(codes)], [*batch.schema.names, "table", "code"]
                 )
 
     schema = T.StructType([*df.schema.fields, T.StructField("table", T.IntegerType()), T.StructField("code", T.LongType())])
     return df.mapInArrow(run, schema)
 
 
+def _entries(path: str) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(table, codes, entries, vectors) of the stored index, a piece at a time, in the order of table and code."""
+    path = "/" + path[len("file:") :].lstrip("/") if path.startswith("file:") else path
+    store, base = (fs.LocalFileSystem(), path) if path.startswith("/") else fs.FileSystem.from_uri(path)
+    for name in sorted(f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(".parquet")):
+        with store.open_input_file(name) as opened:
+            for batch in pq.ParquetFile(opened).iter_batches(PIECE_ROWS, columns=["table", "code", "n", "vec"]):
+                tables, codes, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("table", "code", "n"))
+                vectors = matrix(batch.column("vec"))
+                for t in np.unique(tables).tolist():
+                    mine = tables == t
+                    yield t, codes[mine], n[mine], vectors[mine]
+
+
+def _search(path: str, index: ProjectionIndex, k: int):
+    """A group of queries: the index passes by once, read from the shared folder."""
+
+    def kept(found: list[tuple]) -> tuple:
+        """The k nearest entries of each query, each entry once."""
+        at, n, away = map(np.concatenate, zip(*found))
+        order = np.lexsort((n, away, at))
+        at, n, away = at[order], n[order], away[order]
+        once = np.lexsort((np.arange(len(at)), n, at))  # an entry of several tables has one distance
+        again = np.zeros(len(at), bool)
+        again[once[1:]] = (at[once[1:]] == at[once[:-1]]) & (n[once[1:]] == n[once[:-1]])
+        at, n, away = at[~again], n[~again], away[~again]
+        near = np.arange(len(at)) - np.searchsorted(at, at) < k
+        return at[near], n[near], away[near]
+
+    def search(group: pa.Table) -> pa.Table:
+        asked = matrix(group.column("vec"))
+        found, held, now = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0, None
+        for t, codes, n, vectors in _entries(path):
+            if t != now:
+                now = t
+                probed = np.concatenate([index.probed(asked[i : i + PROBED_AT_ONCE], t).astype(np.int32) for i in range(0, len(asked), PROBED_AT_ONCE)])
+                who = np.argsort(probed.ravel(), kind="stable")
+                line = probed.ravel()[who]
+                who = (who // probed.shape[1]).astype(np.int32)
+            edges = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1], True])
+            first, last = np.searchsorted(line, codes[edges[:-1]], "left"), np.searchsorted(line, codes[edges[:-1]], "right")
+            for lo, hi, x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), first.tolist(), last.tolist()):
+                if x == y:
+                    continue
+                at, row, away = top_k_positions(asked[who[x:y]], vectors[lo:hi], k)
+                found.append((who[x:y][at].astype(np.int64), n[lo:hi][row], away))
+                held += len(at)
+            if held > FOUND_HELD:
+                found, held = [kept(found)], 0
+        at, n, away = kept(found)
+        return pa.Table.from_arrays([group.column("qid").take(pa.array(at)), pa.array(n), pa.array(away)], ["qid", "n", "distance"])
+
+    return search
+
+
 def _one_each(df: DataFrame, keys: list[str], vector: str, k: int) -> DataFrame:
     """(vec, ids): distinct vectors with the first k of their keys."""
     rows = df.where(F.col(vector).isNotNull()).select(F.col(vector).cast("array<double>").alias("vec"), F.struct(*keys).alias("id"))
@@ -130,36 +191,23 @@ def approximate_knn(
 
     Distances are exact, ties go by key; a query whose buckets hold fewer than k rows has fewer.
     """
-    held = _stored(_one_each(corpus, keys, vector, k), "corpus-vectors")
+    spark = corpus.sparkSession
+    entries = dense_index(_stored(_one_each(corpus, keys, vector, k), "corpus-vectors"), ["ids"], "n")
+    held = _stored(entries.select("n", "ids", "vec"), "entries")
     asked = _stored(
         queries.where(F.col(vector).isNotNull()).select(F.col(vector).cast("array<double>").alias("vec"), F.col(query_id).alias("query_id")),
         "queries",
     )
-    distinct = asked.groupBy("vec").agg(F.min("query_id").alias("qid"))
-    left = _stored(_coded(distinct.select("qid", "vec"), "vec", index, True), "probed")
-    right = _stored(_coded(held.select("ids", "vec"), "vec", index, False), "coded")
-    bucket = ["table", "code"]
-    pieces = lambda df, name: df.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / PIECE_ROWS).cast("int").alias(name))
-    sizes = _stored(pieces(left, "q_pieces").join(pieces(right, "c_pieces"), bucket), "bucket-sizes")
-    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    mine = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
-    left = left.join(sizes, bucket).withColumn("q", mine("qid", "q_pieces")).withColumn("c", each("c_pieces"))
-    right = right.join(sizes, bucket).withColumn("c", mine("ids", "c_pieces")).withColumn("q", each("q_pieces"))
-    fields = [T.StructField("qid", asked.schema["query_id"].dataType), T.StructField("ids", held.schema["ids"].dataType), T.StructField("distance", T.DoubleType())]
-    schema = T.StructType(fields)
-
-    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
-        if not a.num_rows or not b.num_rows:
-            return pa.Table.from_arrays([a.column("qid")[:0], b.column("ids")[:0], pa.array([], pa.float64())], ["qid", "ids", "distance"])
-        at, row, away = top_k_positions(matrix(a.column("vec")), matrix(b.column("vec")), k)
-        return pa.Table.from_arrays(
-            [a.column("qid").take(pa.array(at)), b.column("ids").take(pa.array(row)), pa.array(away)], ["qid", "ids", "distance"]
-        )
-
-    piece = [*bucket, "q", "c"]
-    names = lambda df, *c: df.select(*c, *piece).groupBy(*piece)
-    met = names(left, "qid", "vec").cogroup(names(right, "ids", "vec")).applyInArrow(meet, schema)
-    found = met.dropDuplicates(["qid", "ids"]).select("qid", "distance", F.explode("ids").alias("id"))
+    distinct = _stored(asked.groupBy("vec").agg(F.min("query_id").alias("qid")), "asked")
+    # The index is stored once, in the order of its buckets; queries never travel by probe.
+    path, order = scratch_path(spark, "index"), ["table", "code", "n"]
+    _coded(held.select("n", "vec"), "vec", index).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    each = int(np.clip(PROBES_HELD // index.probes, 256, GROUP_QUERIES))
+    groups = max(spark.sparkContext.defaultParallelism, -(-distinct.count() // each))
+    dealt = distinct.withColumn("group", F.pmod(F.xxhash64("vec"), F.lit(groups)))
+    schema = T.StructType([T.StructField("qid", asked.schema["query_id"].dataType), T.StructField("n", T.LongType()), T.StructField("distance", T.DoubleType())])
+    met = _stored(dealt.groupBy("group").applyInArrow(_search(path, index, k), schema), "met")
+    found = met.join(held.select("n", "ids"), "n").select("qid", "distance", F.explode("ids").alias("id"))
     best = Window.partitionBy("qid").orderBy("distance", "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     ranked = _stored(ranked, "ranked")

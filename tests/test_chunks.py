@@ -158,6 +158,19 @@ def test_approximate_neighbours(spark):
     assert found.groupBy("query_id", "id").count().where("count > 1").isEmpty()
 
 
+def test_approximate_search_stores_no_query_by_probe(spark, monkeypatch):
+    rows = np.random.default_rng(7).normal(size=(1500, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "id long, vector array<double>")
+    index = approximate.fit_projections(df, "vector", 3, 1500)
+    index.probes = 2 ** index.cuts.shape[1]  # all buckets: the answers are exact
+    paths, scratch = [], approximate.scratch_path
+    monkeypatch.setattr(approximate, "scratch_path", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    found = approximate.approximate_knn(df, df, 3, ["id"], "id", "vector", index).collect()
+    away = np.linalg.norm(rows[:, None] - rows[None], axis=2)
+    assert {(r["query_id"], r["rank"], r["id"]) for r in found} == {(q, n + 1, i) for q in range(1500) for n, i in enumerate(np.argsort(away[q])[:3])}
+    assert max(spark.read.parquet(p).count() for p in paths) <= approximate.TABLES * 1500
+
+
 def test_summaries_hold_the_quantile(spark):
     rng = random.Random(8)
     rows = [(k, p, rng.gauss(0, 1) if k else float(rng.randint(0, 5))) for k in range(3) for p in range(5) for _ in range(4000)]
