@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from gridmotion.operators.density import NOISE, connected_components
 from gridmotion.operators.pivots import (
     BLOCK_ROWS,
+    GROUP_BLOCKS,
     LANDMARKS,
     ROOM,
     PivotBlocks,
@@ -35,11 +36,13 @@ from gridmotion.operators.pivots import (
     matrix,
     nearest_rows,
     pick_pivots,
+    read_blocks,
 )
 from gridmotion.operators.skew import dense_index
 from gridmotion.session import checkpointed, scratch_path
 
 EDGES_AT_ONCE = 1_000_000  # edges of the forest joined on the driver in one go, 24 MB
+EDGES_HELD = 500_000  # edges a task gathers before it keeps the shortest of each component
 HOOKS_AT_ONCE = 200_000  # components of a round that are joined on the driver; more by Spark
 EDGE = "w double, lo long, hi long"
 
@@ -98,37 +101,57 @@ def _landmark_reach(members: DataFrame) -> DataFrame:
     return per.join(F.broadcast(tops), "mark").groupBy("comp").agg(F.min(edge).alias("reach"))
 
 
-def _edge_kernel():
-    """Per row a pair of blocks: the shortest edge out of each component that one of them sees."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                side = {c: batch.column(c)[i].values for c in batch.schema.names}
-                ids, core, comp = ({s: side[f"{s}_{c}"].to_numpy(zero_copy_only=False) for s in "lr"} for c in ("pid", "core", "comp"))
-                w = distances(matrix(side["l_vec"]), matrix(side["r_vec"]))
-                w = np.maximum(np.maximum(w, core["l"][:, None]), core["r"][None, :])
-                w[comp["l"][:, None] == comp["r"][None, :]] = np.inf
-                lo = np.minimum(ids["l"][:, None], ids["r"][None, :])
-                hi = np.maximum(ids["l"][:, None], ids["r"][None, :])
-                rows = []
-                for at, own in ((1, comp["l"]), (0, comp["r"])):
-                    least = w.min(axis=at)
-                    for c in np.unique(own[np.isfinite(least)]):
-                        mine = np.flatnonzero((own == c) & (least == least[own == c].min()))
-                        part = (mine, slice(None)) if at else (slice(None), mine)
-                        value = least[mine[0]]
-                        hit = w[part] == value
-                        low, high = lo[part][hit], hi[part][hit]
-                        first = np.lexsort((high, low))[0]
-                        rows.append((int(c), float(value), int(low[first]), int(high[first])))
-                columns = list(zip(*rows)) or [[], [], [], []]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(columns, (pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
-                    ["comp", "w", "lo", "hi"],
-                )
-
-    return run
+def _least_edges(comp: np.ndarray, w: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The shortest edge of each component, ties by the smaller points."""
+    order = np.lexsort((hi, lo, w, comp))
+    comp, w, lo, hi = comp[order], w[order], lo[order], hi[order]
+    first = np.flatnonzero(np.r_[True, comp[1:] != comp[:-1]]) if len(comp) else np.zeros(0, int)
+    return comp[first], w[first], lo[first], hi[first]
+
+
+def _edges_between(left: tuple, right: tuple) -> list[tuple[np.ndarray, ...]]:
+    """Of two blocks (pid, core, comp, vectors): each point's shortest edge out of its component, by component."""
+    (l_pid, l_core, l_comp, l_vec), (r_pid, r_core, r_comp, r_vec) = left, right
+    w = np.maximum(np.maximum(distances(l_vec, r_vec), l_core[:, None]), r_core[None, :])
+    w[l_comp[:, None] == r_comp[None, :]] = np.inf
+    lo, hi = np.minimum(l_pid[:, None], r_pid[None, :]), np.maximum(l_pid[:, None], r_pid[None, :])
+    none, out = np.iinfo(np.int64).max, []
+    for own, away, low, high in ((l_comp, w, lo, hi), (r_comp, w.T, lo.T, hi.T)):
+        least = away.min(axis=1)
+        hit = away == least[:, None]
+        first = np.where(hit, low, none).min(axis=1)
+        second = np.where(hit & (low == first[:, None]), high, none).min(axis=1)
+        use = np.isfinite(least)
+        out.append(_least_edges(own[use], least[use], first[use], second[use]))
+    return out
+
+
+def _edge_search(path: str):
+    """A group of blocks, each with the blocks it meets: those pass by once, read from the shared folder."""
+
+    def side(ids: pa.StructArray, vecs: pa.Array) -> tuple:
+        return (*(ids.field(c).to_numpy(zero_copy_only=False) for c in ("pid", "core", "comp")), matrix(vecs))
+
+    def search(group: pa.Table) -> pa.Table:
+        lefts, asking = [], {}
+        for i in range(group.num_rows):
+            lefts.append(side(group.column("ids")[i].values, group.column("vecs")[i].values))
+            for block in group.column("met")[i].as_py():
+                asking.setdefault(block, []).append(i)
+        found, held = [], 0
+        for block, ids, vecs in read_blocks(path, asking):
+            right = side(ids, vecs)
+            for i in asking[block]:
+                fresh = _edges_between(lefts[i], right)
+                found += fresh
+                held += sum(len(f[0]) for f in fresh)
+            if held > EDGES_HELD:
+                found, held = [_least_edges(*map(np.concatenate, zip(*found)))], 0
+        kinds = (np.int64, np.float64, np.int64, np.int64)
+        columns = _least_edges(*map(np.concatenate, zip(*found))) if found else [np.zeros(0, t) for t in kinds]
+        return pa.Table.from_arrays([pa.array(c, pa.from_numpy_dtype(t)) for c, t in zip(columns, kinds)], ["comp", "w", "lo", "hi"])
+
+    return search
 
 
 def _shortest(points: DataFrame, blocks: PivotBlocks, members: DataFrame, near: DataFrame) -> DataFrame:
@@ -164,11 +187,15 @@ def _shortest(points: DataFrame, blocks: PivotBlocks, members: DataFrame, near:
         & ~((F.col("l_one") == F.col("l_other")) & (F.col("l_one") == F.col("r_one")) & (F.col("r_one") == F.col("r_other")))
     )
     pairs = _written(met.select("l_block", "r_block"), "edge-pairs")
-    full = state.join(blocks.blocks.select("block", "vecs"), "block")
-    for s in ("l", "r"):
-        named = full.select(F.col("block").alias(f"{s}_block"), F.col("vecs").alias(f"{s}_vec"), *[F.col("m")[c].alias(f"{s}_{c}") for c in ("pid", "core", "comp")])
-        pairs = pairs.join(named, f"{s}_block")
-    found = pairs.drop("l_block", "r_block").mapInArrow(_edge_kernel(), "comp long, w double, lo long, hi long")
+    # Each block is stored once a round, with what its points know; a group of blocks reads those it meets.
+    spark, folder = state.sparkSession, scratch_path(state.sparkSession, "round-blocks")
+    known_blocks = state.select("block", F.col("m").alias("ids")).join(blocks.blocks.select("block", "vecs"), "block")
+    known_blocks.write.parquet(folder)
+    full = spark.read.schema(known_blocks.schema).parquet(folder)
+    groups = max(spark.sparkContext.defaultParallelism, -(-state.count() // GROUP_BLOCKS))
+    asked = pairs.groupBy(F.col("l_block").alias("block")).agg(F.collect_list("r_block").alias("met")).join(full, "block")
+    asked = asked.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
+    found = asked.groupBy("group").applyInArrow(_edge_search(folder), "comp long, w double, lo long, hi long")
     every = found.select("comp", F.struct("w", "lo", "hi").alias("e")).union(known)
     return every.groupBy("comp").agg(F.min("e").alias("e")).select("comp", "e.w", "e.lo", "e.hi")
 

@@ -180,3 +180,25 @@ def test_rows_without_vectors_are_noise(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "id long, vector array<double>")
     got = hierarchy.hierarchical_clusters(df, ["id"], min_cluster_size=2)
     assert sorted(map(tuple, got.collect())) == [(1, -1, 0.0), (2, -1, 0.0)]
+
+
+def test_forest_rounds_store_a_block_once(spark, monkeypatch):
+    rows = np.random.default_rng(3).integers(0, 9, (400, 3)).astype(float)  # many ties
+    df = spark.createDataFrame([(v.tolist(),) for v in rows], "v array<double>")
+    paths, scratch = [], hierarchy.scratch_path
+    monkeypatch.setattr(hierarchy, "scratch_path", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    forest = hierarchy.spanning_forest(df, "v", 2, block_rows=32)
+    points, counts = np.unique(rows, axis=0, return_counts=True)
+    away = np.linalg.norm(points[:, None] - points[None], axis=2)
+    core = np.array([np.sort(np.repeat(line, counts))[2] for line in away])
+    reach = np.maximum(np.maximum(away, core[:, None]), core[None, :])
+    near, weight = reach[0].copy(), 0.0
+    near[0] = np.inf
+    inside = np.arange(len(points)) == 0
+    for _ in range(len(points) - 1):
+        at = int(np.argmin(np.where(inside, np.inf, near)))
+        inside[at], weight = True, weight + near[at]
+        near = np.minimum(near, reach[at])
+    assert np.isclose(sum(e["w"] for e in forest.edges.collect()), weight)
+    rounds = [p for p in paths if p.endswith("round-blocks")]
+    assert rounds and all(spark.read.parquet(p).select("block").distinct().count() == spark.read.parquet(p).count() for p in rounds)
