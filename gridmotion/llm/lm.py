@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ PASSES = 5
 SEGMENT = 512  # training takes texts in parts of so many tokens; scoring takes them whole
 BLOCK_BYTES = 32_000_000
 HELD_OUT = (7, 2)  # texts whose crc32 of the id leaves this remainder are not learnt from
-BATCH_TOKENS = 1_000_000
+BATCH_TOKENS = 250_000  # that a task runs the model over at once, some 50 MB
 
 
 @dataclass
@@ -157,28 +158,31 @@ def tokenize(docs: DataFrame, classes: int = CLASSES) -> DataFrame:
                 for text in texts:
                     tokens = (text or b"").lower().split()
                     tokens.append(b"")
-                    rows.append(np.array([numbers.setdefault(w, len(numbers)) for w in tokens], np.int64))
+                    rows.append(np.array([numbers.setdefault(w, len(numbers)) for w in tokens], np.int32))
                 names = list(numbers)
                 seen = np.zeros(len(names), np.int64)
-                uses = np.bincount(np.concatenate(rows), minlength=len(names))
+                uses = np.zeros(len(names), np.int64)
                 for row, out in zip(rows, held):
+                    np.add.at(uses, row, 1)
                     if not out:
                         np.add.at(seen, row, 1)
                 # Frequent words get small numbers, so the upper plane is mostly zero.
                 order = np.argsort(-uses, kind="stable")
-                number = np.empty_like(order)
-                number[order] = np.arange(len(order))
-                kind = np.array([class_of(w, classes) for w in names], np.int64)
-                rows_ = [number[r] for r in rows]
+                number = np.empty(len(order), np.int32)
+                number[order] = np.arange(len(order), dtype=np.int32)
+                kind = np.array([class_of(w, classes) for w in names], np.uint16)
                 n, m = len(rows), len(names)
+                kinds = pa.array([kind[r].astype("<u2").tobytes() for r in rows], pa.binary())
+                for i, row in enumerate(rows):
+                    rows[i] = number[row]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(n, block)),
                         part.column("doc_id"),
                         part.column("held_out"),
-                        pa.array([(r & 0xFFFF).astype("<u2").tobytes() for r in rows_], pa.binary()),
-                        pa.array([(r >> 16).astype("u1").tobytes() for r in rows_], pa.binary()),
-                        pa.array([kind[r].astype("<u2").tobytes() for r in rows], pa.binary()),
+                        pa.array([(r & 0xFFFF).astype("<u2").tobytes() for r in rows], pa.binary()),
+                        pa.array([(r >> 16).astype("u1").tobytes() for r in rows], pa.binary()),
+                        kinds,
                         pa.nulls(n, pa.binary()),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.int32()),
@@ -273,7 +277,17 @@ def one_pass(model: Model, texts: DataFrame) -> dict[str, np.ndarray]:
     return out
 
 
+def whole_texts(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that hold at most so many tokens together, or one text."""
+    done, at = np.cumsum(lengths), 0
+    while at < len(lengths):
+        end = max(at + 1, int(np.searchsorted(done, done[at] - lengths[at] + most, "right")))
+        yield at, end
+        at = end
+
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORE_KINDS = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
 
 def score_documents(
@@ -308,32 +322,40 @@ def score_documents(
     for _ in range(passes):
         model = refit(model, one_pass(model, learning), mass)
 
+    names = [f.split()[0] for f in SCORES.split(", ")]
+
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         local = right.column("local").to_numpy()
         count, kind = np.zeros(len(local), np.int64), np.zeros(len(local), np.int64)
         count[local], kind[local] = right.column("c").to_numpy(), right.column("class").to_numpy()
         base = np.log10((count + 1) / (total + distinct + 1))
         share = np.log10((count + 1) / (mass[kind] + kinds[kind] + 1))
-        rows = []
-        for low, high in zip(left.column("low").to_pylist(), left.column("high").to_pylist()):
-            rows.append(np.frombuffer(low, "<u2").astype(np.int64) | np.frombuffer(high, "u1").astype(np.int64) << 16)
-        n = np.fromiter(map(len, rows), np.int64, len(rows))
-        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        begin = np.cumsum(n) - n
-        adds = lambda values: np.add.reduceat(values, begin) if len(begin) else values
-        latent = forward(model, [kind[r] for r in rows]) / np.log(10)
-        return pa.table(
-            [
-                left.column("doc_id"),
-                left.column("held_out"),
-                pa.array(n),
-                pa.array(adds((count[flat] > 0).astype(np.int64))),
-                pa.array(np.full(len(n), total)),
-                pa.array(adds(base[flat])),
-                pa.array(latent + adds(share[flat])),
-            ],
-            [f.split()[0] for f in SCORES.split(", ")],
-        )
+        n = pc.binary_length(left.column("high")).to_numpy().astype(np.int64)  # a byte a token
+        parts = []
+        for at, end in whole_texts(n, BATCH_TOKENS):
+            part = left.slice(at, end - at)
+            rows = []
+            for low, high in zip(part.column("low").to_pylist(), part.column("high").to_pylist()):
+                rows.append(np.frombuffer(low, "<u2").astype(np.int32) | np.frombuffer(high, "u1").astype(np.int32) << 16)
+            flat = np.concatenate(rows)
+            begin = np.cumsum(n[at:end]) - n[at:end]
+            adds = lambda values: np.add.reduceat(values, begin)  # noqa: B023, E731
+            latent = forward(model, [kind[r] for r in rows]) / np.log(10)
+            parts.append(
+                pa.table(
+                    [
+                        part.column("doc_id"),
+                        part.column("held_out"),
+                        pa.array(n[at:end]),
+                        pa.array(adds((count[flat] > 0).astype(np.int64))),
+                        pa.array(np.full(end - at, total)),
+                        pa.array(adds(base[flat])),
+                        pa.array(latent + adds(share[flat])),
+                    ],
+                    names,
+                )
+            )
+        return pa.concat_tables(parts) if parts else pa.schema(zip(names, SCORE_KINDS)).empty_table()
 
     wanted = texts.select("block", "doc_id", "held_out", "low", "high")
     return wanted.groupBy("block").cogroup(known.select("block", "local", "class", "c").groupBy("block")).applyInArrow(score, SCORES)
