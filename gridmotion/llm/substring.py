@@ -344,10 +344,49 @@ def _stretch(x: list, y: list, i: int, j: int, step: int) -> tuple[int, int, int
             return i, j, matched
 
 
-def _chain_in(raw: bytes, a0: int, b0: int) -> list[tuple[int, int, int]]:
-    """A chain's fragments, counted from the start of its slices."""
-    flat = memoryview(raw).cast("q").tolist()
-    return [(flat[i] - a0, flat[i + 1] - b0, flat[i + 2]) for i in range(0, len(flat), 3)]
+def _window(chain: list[tuple[int, int, int]], margin: int) -> tuple[int, int, int, int]:
+    """(a0, a1, b0, b1) of a chain's slices, `margin` words around it in whole steps of ten, so that equal passages ask for equal slices."""
+    (a0, b0, _), (a1, b1, n) = chain[0], chain[-1]
+    lo = lambda v: max(0, v - margin) // 10 * 10
+    hi = lambda v: (v + margin + 9) // 10 * 10
+    return lo(a0), hi(a1 + n), lo(b0), hi(b1 + n)
+
+
+def _chains_to(found: list[list[tuple[int, int, int]]]) -> bytes:
+    """Chains as bytes: of each the number of its fragments, then these."""
+    return np.array([v for chain in found for v in (len(chain), *(w for part in chain for w in part))], "<i8").tobytes()
+
+
+def _chains_in(raw: bytes) -> list[list[tuple[int, int, int]]]:
+    flat, out, at = memoryview(raw).cast("q").tolist(), [], 0
+    while at < len(flat):
+        end = at + 1 + 3 * flat[at]
+        out.append([tuple(flat[i : i + 3]) for i in range(at + 1, end, 3)])
+        at = end
+    return out
+
+
+def _side_by_side(found: list[list[tuple[int, int, int]]], margin: int, most: int = REGION) -> Iterator[tuple]:
+    """(a0, a1, b0, b1, chains): chains of one pair whose slices overlap in the later text share a row, up to `most` words on either side.
+
+    A text that repeats itself has a chain for each repeat, and they lie over one another.
+    """
+    held, span = [], None
+    for window, chain in sorted(((_window(c, margin), c) for c in found), key=lambda wc: (wc[0][0] // most, wc[0][2], wc[0][0])):
+        if held:
+            both = (min(span[0], window[0]), max(span[1], window[1]), min(span[2], window[2]), max(span[3], window[3]))
+            if window[2] > span[3] or max(both[1] - both[0], both[3] - both[2]) > most:
+                yield *span, held
+                held = []
+        held, span = (held + [chain], both) if held else ([chain], window)
+    if held:
+        yield *span, held
+
+
+def _cut_to(chain: list[tuple[int, int, int]], a0: int, b0: int, margin: int) -> tuple[list[tuple[int, int, int]], tuple[int, int, int, int]]:
+    """(a chain counted from the start of its own slices, these within the row's slices from a0 and b0)."""
+    lo_a, hi_a, lo_b, hi_b = _window(chain, margin)
+    return [(a - lo_a, b - lo_b, n) for a, b, n in chain], (lo_a - a0, hi_a - a0, lo_b - b0, hi_b - b0)
 
 
 def align(x: list, y: list, chain: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
@@ -383,7 +422,7 @@ def align(x: list, y: list, chain: list[tuple[int, int, int]]) -> list[tuple[int
 
 
 PAIR = "a long, b long"
-CHAINS = f"{PAIR}, a0 long, a1 long, b0 long, b1 long, chain binary"
+CHAINS = f"{PAIR}, a0 long, a1 long, b0 long, b1 long, chains binary"
 
 
 def _linked(found: DataFrame, name: str, rare: int = RARE) -> DataFrame:
@@ -462,13 +501,8 @@ def _chained(matches: DataFrame, window: int, margin: int) -> DataFrame:
     """Chains of every pair of documents, with the slices of `margin` words around them."""
 
     def flush(key, place_a, place_b, words, rows):
-        for chain in chains(fragments(place_a, place_b, words, window)):
-            a0, b0 = chain[0, :2]
-            a1, b1 = chain[-1, :2] + chain[-1, 2]
-            # Whole steps of ten, so that equal passages ask for equal slices.
-            lo = lambda v: max(0, int(v) - margin) // 10 * 10
-            hi = lambda v: (int(v) + margin + 9) // 10 * 10
-            rows.append((*key, lo(a0), hi(a1), lo(b0), hi(b1), chain.astype("<i8").tobytes()))
+        found = [[tuple(part) for part in chain.tolist()] for chain in chains(fragments(place_a, place_b, words, window))]
+        rows += [(*key, *span, _chains_to(held)) for *span, held in _side_by_side(found, margin)]
 
     names = [f.split()[0] for f in CHAINS.split(", ")]
     kinds = [pa.int64()] * 6 + [pa.binary()]
@@ -478,8 +512,8 @@ def _chained(matches: DataFrame, window: int, margin: int) -> DataFrame:
         a, b, x, y, words = rows.T
         ends = [np.maximum(0, x - margin) // 10 * 10, (x + words + margin + 9) // 10 * 10]
         ends += [np.maximum(0, y - margin) // 10 * 10, (y + words + margin + 9) // 10 * 10]
-        raw = pa.py_buffer(np.ascontiguousarray(rows[:, 2:], "<i8").tobytes())
-        places = pa.py_buffer((np.arange(len(rows) + 1) * 24).astype(np.int32).tobytes())
+        raw = pa.py_buffer(np.column_stack([np.ones(len(rows), "<i8"), rows[:, 2:]]).astype("<i8").tobytes())
+        places = pa.py_buffer((np.arange(len(rows) + 1) * 32).astype(np.int32).tobytes())
         chain = pa.Array.from_buffers(pa.binary(), len(rows), [None, places, raw])
         return pa.RecordBatch.from_arrays([*map(pa.array, (a, b, *ends)), chain], names)
 
@@ -550,38 +584,48 @@ def _slices(chunks: DataFrame, texts: DataFrame, pairs: DataFrame, coded: bool)
 def _hopeful(pairs: DataFrame, least: int, similarity: float) -> DataFrame:
     """Chains whose alignment on the words' codes is long and similar enough."""
 
+    def hopeful(left: bytes, right: bytes, chain: list[tuple[int, int, int]]) -> bool:
+        if len(chain) == 1 and _stands_alone(left, right, *chain[0], least):
+            return False
+        x, y = memoryview(left).cast("H"), memoryview(right).cast("H")
+        return any(
+            min(u - i, v - j) >= least and matched >= similarity * max(u - i, v - j)
+            for i, u, j, v, matched in align(x, y, chain)
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, kinds = [f.split()[0] for f in CHAINS.split(", ")], [pa.int64()] * 6 + [pa.binary()]
         for batch in batches:
-            keep = []
-            for a0, b0, raw, left, right in zip(*(batch.column(c).to_pylist() for c in ("a0", "b0", "chain", "left", "right"))):
-                chain = _chain_in(raw, a0, b0)
-                if len(chain) == 1 and _stands_alone(left, right, *chain[0], least):
-                    keep.append(False)
-                    continue
-                x, y = memoryview(left).cast("H"), memoryview(right).cast("H")
-                keep.append(any(
-                    min(u - i, v - j) >= least and matched >= similarity * max(u - i, v - j)
-                    for i, u, j, v, matched in align(x, y, chain)
-                ))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([f.split()[0] for f in CHAINS.split(", ")])
+            rows = []
+            for a, b, a0, b0, raw, left, right in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a0", "b0", "chains", "left", "right"))):
+                kept = []
+                for chain in _chains_in(raw):
+                    own, (p, q, r, t) = _cut_to(chain, a0, b0, least)
+                    if hopeful(left[2 * p : 2 * q], right[2 * r : 2 * t], own):
+                        kept.append(chain)
+                rows += [(a, b, *span, _chains_to(held)) for *span, held in _side_by_side(kept, least)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     return pairs.mapInArrow(run, CHAINS)
 
 
-SPANS = "b long, start long, end long, a long, source_start long, source_end long, matched long, similarity double"
+SPANS = "doc_id long, mark long, start long, end long, source_id long, source_start long, source_end long, matched long, similarity double"
 
 
 def _aligned(pairs: DataFrame, least: int, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, kinds = [f.split()[0] for f in SPANS.split(", ")], [pa.int64()] * 7 + [pa.float64()]
+        names, kinds = [f.split()[0] for f in SPANS.split(", ")], [pa.int64()] * 8 + [pa.float64()]
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                x, y = r["left"].split(b" "), r["right"].split(b" ")
-                for i, u, j, v, matched in align(x, y, _chain_in(r["chain"], r["a0"], r["b0"])):
-                    share = matched / max(u - i, v - j)
-                    if min(u - i, v - j) >= least and share >= similarity:
-                        rows.append((r["b"], j + r["b0"], v + r["b0"], r["a"], i + r["a0"], u + r["a0"], matched, share))
+                left, right = r["left"].split(b" "), r["right"].split(b" ")
+                for chain in _chains_in(r["chains"]):
+                    own, (p, q, b, e) = _cut_to(chain, r["a0"], r["b0"], least)
+                    for i, u, j, v, matched in align(left[p:q], right[b:e], own):
+                        share = matched / max(u - i, v - j)
+                        if min(u - i, v - j) >= least and share >= similarity:
+                            at, source = r["b0"] + b, r["a0"] + p
+                            rows.append((r["doc_id"], r["mark"], j + at, v + at, r["source_id"], i + source, u + source, matched, share))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     return pairs.mapInArrow(run, SPANS)
@@ -637,13 +681,11 @@ def repeated_passages(
     spent(codes)
     spent(chained)
     pairs, _ = _slices(chunks, texts, hopeful, False)
-    spans = stored(_aligned(pairs.select("a", "b", "a0", "b0", "chain", "left", "right"), least, similarity), "spans")
-    spent(chunks)
     here = texts.select(F.col("tid").alias("b"), "doc_id", "mark")
     there = texts.select(F.col("tid").alias("a"), F.col("doc_id").alias("source_id"))
-    passages = spans.join(here, "b").join(there, "a").select(
-        "doc_id", "mark", "start", "end", "source_id", "source_start", "source_end", "matched", "similarity"
-    )
+    named = pairs.join(here, "b").join(there, "a").select("doc_id", "mark", "source_id", "a0", "b0", "chains", "left", "right")
+    passages = stored(_aligned(named, least, similarity), "spans")
+    spent(chunks)
     rest = ["source_id", "source_start", "source_end", "matched", "similarity"]
     place = ["doc_id", "mark", "start", "end"]
     first = passages.union(_copies(rows, least)).groupBy(*place).agg(F.min(F.struct(*rest)).alias("s"))

@@ -258,6 +258,15 @@ def test_lm_odd_rows(odd, empty, documents):
     assert [(r["held_out"], r["n_known"], r["train_tokens"]) for r in lone] == [(True, 0, 0)]
 
 
+def test_lm_scores_whole_texts_a_few_at_a_time():
+    lengths = np.random.default_rng(3).integers(1, 9, 400)
+    lengths[[0, 17, 399]] = 500
+    parts = list(lm.whole_texts(lengths, 64))
+    assert [i for at, end in parts for i in range(at, end)] == list(range(400))
+    assert all(lengths[at:end].sum() <= 64 or end == at + 1 for at, end in parts) and len(parts) < 80
+    assert list(lm.whole_texts(lengths[:0], 64)) == []
+
+
 # ------------------------------------------------------------------ quality
 
 
@@ -612,3 +621,18 @@ def test_similar_passages_are_all_found(documents, every, length):
         rows += [(2 * n, f"{prose(30, 2000 + n)} {' '.join(passage)}"), (2 * n + 1, f"{' '.join(changed)} {prose(30, 3000 + n)}")]
     got = {(r["doc_id"], r["source_id"]) for r in substring.repeated_passages(documents(rows)).collect()}
     assert got == {(2 * n + 1, 2 * n) for n in range(40)}
+
+
+def test_chains_over_one_another_share_a_row():
+    """A text of one word over and over links each place to the same first one."""
+    found = [[(0, place, 5)] for place in range(400)] + [[(9000, 5, 6), (9010, 15, 7)], [(0, 9000, 5)]]
+    rows = list(substring._side_by_side(found, 50))
+    assert len(rows) == 3 and sorted(c for *_, held in rows for c in held) == sorted(found)
+    for a0, a1, b0, b1, held in rows:
+        assert substring._chains_in(substring._chains_to(held)) == held
+        for chain in held:
+            own, (p, q, r, t) = substring._cut_to(chain, a0, b0, 50)
+            assert (a0 + p, a0 + q, b0 + r, b0 + t) == substring._window(chain, 50) and min(p, r) >= 0 and q <= a1 - a0 and t <= b1 - b0
+            assert [(x + a0 + p, y + b0 + r, n) for x, y, n in own] == chain
+    wide = [[(50 * i, 50 * i, 5)] for i in range(200)]
+    assert all(b1 - b0 <= substring.REGION for _, _, b0, b1, _ in substring._side_by_side(wide, 50))
