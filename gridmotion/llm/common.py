@@ -61,11 +61,15 @@ def swept(df: DataFrame) -> DataFrame:
     return df
 
 
+def removed(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spent(df: DataFrame) -> None:
     """Remove stored rows that nothing reads any more."""
-    jvm, spark = df.sparkSession._jvm, df.sparkSession
-    path = jvm.org.apache.hadoop.fs.Path(df._stored_at)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    removed(df.sparkSession, df._stored_at)
     swept(df)
 
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmotion.llm.common import fresh_folder, open_store, slices, spent, stored, swept
+from gridmotion.llm.common import fresh_folder, open_store, removed, slices, spent, stored, swept
 from gridmotion.operators.skew import dense_index
 
 SEED_WORDS = 5
@@ -44,7 +44,8 @@ PLACE_BITS = 30  # of an occurrence: the number of its text, then its place in w
 CHUNK_BYTES = 8_000_000  # text of a chunk
 RANGE_BYTES = 12_000_000  # text whose seeds one range of hashes holds, some two million
 SHORT_BITS = 48  # of a hash tell seeds apart before they are rows; chance hits are sorted out later
-REGION = 2000  # words of a text whose slices are cut together
+REGION = 2000  # words on either side of the chains that share a row
+SLICE_BYTES = 2_000_000  # slices of texts a task hands on, and pairs of them it takes, at once
 
 
 def word_list(raw: bytes) -> list[bytes]:
@@ -116,6 +117,23 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             yield batch.column("chunk")[i].as_py(), docs.to_numpy(), marks.to_numpy(), texts.to_pylist()
 
 
+def _by_chunk(rows: DataFrame, name: str, *order: str) -> str:
+    """Folder with a part for each chunk, so that the texts need not travel to meet the rows."""
+    path = fresh_folder(rows.sparkSession, name)
+    rows.repartition("chunk").sortWithinPartitions("chunk", *order).write.partitionBy("chunk").parquet(path)
+    return path
+
+
+def _told(store: fs.FileSystem, folder: str, chunk: int) -> list[pa.Table]:
+    """The chunk's part of a folder; a chunk that is told nothing has none."""
+    tables = []
+    for name in (f.path for f in store.get_file_info(fs.FileSelector(f"{folder}/chunk={chunk}", allow_not_found=True))):
+        if name.endswith(".parquet"):
+            with store.open_input_file(name) as opened:
+                tables.append(pq.read_table(opened))
+    return tables
+
+
 def _short(hashes: np.ndarray) -> np.ndarray:
     return hashes >> np.uint64(64 - SHORT_BITS)
 
@@ -176,21 +194,15 @@ def repeated_seeds(chunks: DataFrame, texts: DataFrame, k: int = SEED_WORDS, win
 
     told = chunks.mapInArrow(tell, "range int, chunk long, first long, kind string, steps binary, twice binary")
     answers = told.groupBy("range").applyInArrow(answer, "chunk long, range int, bits binary")
-    path = fresh_folder(spark, "repeated")
-    answers.repartition("chunk").write.partitionBy("chunk").parquet(path)
+    path = _by_chunk(answers, "repeated")
     numbers = texts.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("index", "tid"))).alias("t"))  # a chunk is bounded
-    numbers.select("chunk", F.col("t.tid").alias("tids")).repartition("chunk").write.partitionBy("chunk").parquet(f"{path}-tids")
+    tids_path = _by_chunk(numbers.select("chunk", F.col("t.tid").alias("tids")), "repeated-tids")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = open_store(path)
+        (store, base), (_, tids_base) = open_store(path), open_store(tids_path)
 
         def told_of(folder: str, chunk: int) -> list[dict]:
-            files = store.get_file_info(fs.FileSelector(f"{folder}/chunk={chunk}"))
-            rows = []
-            for name in (f.path for f in files if f.path.endswith(".parquet")):
-                with store.open_input_file(name) as opened:
-                    rows += pq.read_table(opened).to_pylist()
-            return rows
+            return [row for table in _told(store, folder, chunk) for row in table.to_pylist()]
 
         for chunk, _, _, whole in _chunk_rows(batches):
             found = [minimizers(word_list(t), k, window) for t in whole]
@@ -204,7 +216,7 @@ def repeated_seeds(chunks: DataFrame, texts: DataFrame, k: int = SEED_WORDS, win
             values = values[repeated]
             if not len(values):
                 continue
-            (tids,) = (r["tids"] for r in told_of(f"{base}-tids", chunk))
+            (tids,) = (r["tids"] for r in told_of(tids_base, chunk))
             places, seeds = [], []
             for tid, (at, hashes) in zip(tids, found):
                 short = _short(hashes)
@@ -216,17 +228,17 @@ def repeated_seeds(chunks: DataFrame, texts: DataFrame, k: int = SEED_WORDS, win
     return chunks.mapInArrow(keep, "at long, seed long")
 
 
-def fragments(pa_: np.ndarray, pb: np.ndarray, words: np.ndarray, window: int) -> np.ndarray:
-    """Merge matches of one pair along diagonals: rows (start a, start b, words)."""
-    order = np.lexsort((pb, pb - pa_))
-    a, b, end = pa_[order], pb[order], (pb + words)[order]
-    turn = np.r_[False, np.diff(b - a) != 0]
+def fragments(pair: np.ndarray, pa_: np.ndarray, pb: np.ndarray, words: np.ndarray, window: int) -> np.ndarray:
+    """Merge matches of each pair along diagonals: rows (pair, start a, start b, words), pair by pair."""
+    order = np.lexsort((pb, pb - pa_, pair))
+    pair, a, b, end = pair[order], pa_[order], pb[order], (pb + words)[order]
+    turn = np.r_[False, (np.diff(b - a) != 0) | (np.diff(pair) != 0)]
     shift = np.cumsum(turn) * (int(end.max()) + 1)
     end = np.maximum.accumulate(end + shift) - shift  # so far, along the diagonal
     new = turn | np.r_[True, b[1:] > end[:-1] + window]
     first = np.flatnonzero(new)
     last = np.r_[first[1:], len(a)] - 1
-    return np.stack([a[first], b[first], end[last] - b[first]], axis=1)
+    return np.stack([pair[first], a[first], b[first], end[last] - b[first]], axis=1)
 
 
 class _Fenwick:
@@ -500,15 +512,11 @@ def _runs(links: DataFrame, k: int, lengths: list[int]) -> DataFrame:
 def _chained(matches: DataFrame, window: int, margin: int) -> DataFrame:
     """Chains of every pair of documents, with the slices of `margin` words around them."""
 
-    def flush(key, place_a, place_b, words, rows):
-        found = [[tuple(part) for part in chain.tolist()] for chain in chains(fragments(place_a, place_b, words, window))]
-        rows += [(*key, *span, _chains_to(held)) for *span, held in _side_by_side(found, margin)]
-
     names = [f.split()[0] for f in CHAINS.split(", ")]
     kinds = [pa.int64()] * 6 + [pa.binary()]
 
     def single(rows: np.ndarray) -> pa.RecordBatch:
-        """The same for pairs with one run each (a, b, pa, pb, words)."""
+        """Rows of pairs with one fragment each (a, b, pa, pb, words)."""
         a, b, x, y, words = rows.T
         ends = [np.maximum(0, x - margin) // 10 * 10, (x + words + margin + 9) // 10 * 10]
         ends += [np.maximum(0, y - margin) // 10 * 10, (y + words + margin + 9) // 10 * 10]
@@ -517,32 +525,33 @@ def _chained(matches: DataFrame, window: int, margin: int) -> DataFrame:
         chain = pa.Array.from_buffers(pa.binary(), len(rows), [None, places, raw])
         return pa.RecordBatch.from_arrays([*map(pa.array, (a, b, *ends)), chain], names)
 
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
+    def whole(held: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of whole pairs; their matches are merged together, and most pairs have one fragment only."""
+        starts = np.r_[0, np.flatnonzero((held[1:, :2] != held[:-1, :2]).any(axis=1)) + 1]
+        number = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(held)]))
+        parts = fragments(number, *held[:, 2:].T, window)
+        ends = np.cumsum(np.bincount(parts[:, 0], minlength=len(starts)))
+        first = np.r_[0, ends[:-1]]
+        one = ends - first == 1
+        if one.any():
+            yield single(np.column_stack([held[starts[one], :2], parts[first[one], 1:]]))
+        rows = []
+        for key, start, end in zip(held[starts[~one], :2].tolist(), first[~one], ends[~one]):
+            found = [[tuple(part) for part in chain.tolist()] for chain in chains(parts[start:end, 1:])]
+            rows += [(*key, *span, _chains_to(own)) for *span, own in _side_by_side(found, margin)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held = np.zeros((0, 5), np.int64)
         for batch in batches:
             now = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "pa", "pb", "words")], axis=1)
-            held = now if held is None else np.concatenate([held, now])
-            if not len(held):
-                continue
+            held = np.concatenate([held, now])
             edge = np.flatnonzero((held[1:, :2] != held[:-1, :2]).any(axis=1)) + 1
-            starts = np.r_[0, edge[:-1]] if len(edge) else edge
-            one = edge - starts == 1
-            if one.any():  # most pairs of texts share one run only
-                yield single(held[starts[one]])
-            rows = []
-            for start, end in zip(starts[~one], edge[~one]):
-                flush(held[start].tolist()[:2], *held[start:end, 2:].T, rows)
-            if len(edge):
-                held = held[edge[-1] :]  # the last pair may go on in the next batch
-            if rows:
-                yield batch_of(rows)
-        rows = []
-        if held is not None and len(held):
-            flush(held[0].tolist()[:2], *held[:, 2:].T, rows)
-        yield batch_of(rows)
+            if len(edge):  # the last pair may go on in the next batch
+                yield from whole(held[: edge[-1]])
+                held = held[edge[-1] :]
+        if len(held):
+            yield from whole(held)
 
     keys = ["a", "b"]
     return matches.repartition(*keys).sortWithinPartitions(*keys, "pb", "pa").mapInArrow(run, CHAINS)
@@ -556,27 +565,30 @@ def word_codes(tokens: list[bytes]) -> bytes:
 def _slices(chunks: DataFrame, texts: DataFrame, pairs: DataFrame, coded: bool) -> tuple[DataFrame, DataFrame]:
     """pairs with their words a0 to a1 and b0 to b1 as `left` and `right`, codes or one text; the stored slices."""
 
+    sides = [pairs.select(F.col(c).alias("tid"), F.col(f"{c}0").alias("lo"), F.col(f"{c}1").alias("hi")) for c in "ab"]
+    asked = sides[0].union(sides[1]).distinct().join(texts.select("tid", "chunk", "index"), "tid")
+    path = _by_chunk(asked, "asked", "index", "lo", "hi")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, whole = None, b""
-        for batch in batches:
-            raw = batch.column("text")
-            for i, (tid, asked) in enumerate(zip(batch.column("tid").to_pylist(), batch.column("asked").to_pylist())):
-                if tid != last:
-                    last, whole = tid, word_list(raw[i].as_buffer().to_pybytes())
-                    whole = word_codes(whole) if coded else whole
-                lo, hi = [r["lo"] for r in asked], [r["hi"] for r in asked]
-                out = [whole[2 * x : 2 * y] if coded else b" ".join(whole[x:y]) for x, y in zip(lo, hi)]
-                columns = [pa.array([tid] * len(out), pa.int64()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(out, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["tid", "lo", "hi", "part"])
-
-    asked = pairs.select(F.col("a").alias("tid"), F.col("a0").alias("lo"), F.col("a1").alias("hi")).union(pairs.select("b", "b0", "b1")).distinct()
-    asked = asked.groupBy("tid", F.floor(F.col("lo") / REGION).alias("region")).agg(
-        F.collect_list(F.struct("lo", "hi")).alias("asked")
-    )  # distinct slices of one region of one text
-    asked = stored(asked.join(texts.select("tid", "chunk", "index"), "tid").select("tid", "chunk", "index", "asked"), "asked")
-    mine = chunks.select("chunk", F.posexplode("texts").alias("index", "text"))
-    parts = mine.join(asked, ["chunk", "index"]).select("tid", "asked", "text").mapInArrow(run, "tid long, lo long, hi long, part binary")
-    parts = stored(parts, "codes" if coded else "slices")
+        store, base = open_store(path)
+        for chunk, _, _, texts in _chunk_rows(batches):
+            for table in _told(store, base, chunk):
+                index, tid, lo, hi = (table.column(c).to_numpy() for c in ("index", "tid", "lo", "hi"))
+                edges = np.r_[np.flatnonzero(np.diff(index, prepend=-1)), len(index)]
+                out, size, start = [], 0, 0
+                for x, y in zip(edges, edges[1:]):
+                    words = word_list(texts[index[x]])
+                    words = word_codes(words) if coded else words
+                    for n in range(x, y):
+                        out.append(words[2 * lo[n] : 2 * hi[n]] if coded else b" ".join(words[lo[n] : hi[n]]))
+                        size += len(out[-1])
+                        if size > SLICE_BYTES or n + 1 == len(index):
+                            columns = [pa.array(c[start : n + 1]) for c in (tid, lo, hi)]
+                            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], ["tid", "lo", "hi", "part"])
+                            out, size, start = [], 0, n + 1
+
+    parts = stored(chunks.mapInArrow(run, "tid long, lo long, hi long, part binary"), "codes" if coded else "slices")
+    removed(chunks.sparkSession, path)
     side = lambda s, name: parts.select(F.col("tid").alias(s), F.col("lo").alias(f"{s}0"), F.col("hi").alias(f"{s}1"), F.col("part").alias(name))
     return pairs.join(side("a", "left"), ["a", "a0", "a1"]).join(side("b", "right"), ["b", "b0", "b1"]), parts
 
@@ -595,7 +607,7 @@ def _hopeful(pairs: DataFrame, least: int, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = [f.split()[0] for f in CHAINS.split(", ")], [pa.int64()] * 6 + [pa.binary()]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "left", SLICE_BYTES)):
             rows = []
             for a, b, a0, b0, raw, left, right in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "a0", "b0", "chains", "left", "right"))):
                 kept = []
@@ -615,7 +627,7 @@ SPANS = "doc_id long, mark long, start long, end long, source_id long, source_st
 def _aligned(pairs: DataFrame, least: int, similarity: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, kinds = [f.split()[0] for f in SPANS.split(", ")], [pa.int64()] * 8 + [pa.float64()]
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "left", SLICE_BYTES)):
             rows = []
             for r in batch.to_pylist():
                 left, right = r["left"].split(b" "), r["right"].split(b" ")
@@ -680,12 +692,15 @@ def repeated_passages(
     hopeful = stored(_hopeful(coded, least, similarity), "hopeful")
     spent(codes)
     spent(chained)
-    pairs, _ = _slices(chunks, texts, hopeful, False)
     here = texts.select(F.col("tid").alias("b"), "doc_id", "mark")
     there = texts.select(F.col("tid").alias("a"), F.col("doc_id").alias("source_id"))
-    named = pairs.join(here, "b").join(there, "a").select("doc_id", "mark", "source_id", "a0", "b0", "chains", "left", "right")
-    passages = stored(_aligned(named, least, similarity), "spans")
+    named = stored(hopeful.join(here, "b").join(there, "a"), "named")  # before the slices, which are wide
+    spent(hopeful)
+    pairs, cut = _slices(chunks, texts, named, False)
     spent(chunks)
+    passages = stored(_aligned(pairs.select("doc_id", "mark", "source_id", "a0", "b0", "chains", "left", "right"), least, similarity), "spans")
+    spent(cut)
+    spent(named)
     rest = ["source_id", "source_start", "source_end", "matched", "similarity"]
     place = ["doc_id", "mark", "start", "end"]
     first = passages.union(_copies(rows, least)).groupBy(*place).agg(F.min(F.struct(*rest)).alias("s"))

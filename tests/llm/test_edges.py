@@ -636,3 +636,32 @@ def test_chains_over_one_another_share_a_row():
             assert [(x + a0 + p, y + b0 + r, n) for x, y, n in own] == chain
     wide = [[(50 * i, 50 * i, 5)] for i in range(200)]
     assert all(b1 - b0 <= substring.REGION for _, _, b0, b1, _ in substring._side_by_side(wide, 50))
+
+
+def test_slices_are_cut_where_the_texts_lie(spark, documents, monkeypatch):
+    """Texts join nothing: what is asked of a chunk comes to it. Slices are the texts' own words."""
+    rows = [(i, prose(40 + i, 4000 + i)) for i in range(12)]
+    chunks = substring.stored(substring.chunks_of_texts(documents(rows).select("doc_id", "text"), 1000), "chunks")
+    texts = substring.stored(substring.numbered_texts(chunks), "texts")
+    asked = [(i, j, 10 * (i % 3), 20 + i, 0, 30 + 10 * j) for i in range(12) for j in range(i + 1, 12, 2)]
+    pairs = spark.createDataFrame(asked, "a long, b long, a0 long, a1 long, b0 long, b1 long")
+    plans, keep = [], substring.stored
+    monkeypatch.setattr(substring, "stored", lambda df, name: (plans.append(df._jdf.queryExecution().toString()), keep(df, name))[1])
+    words = {tid: text.lower().split() for tid, (_, text) in enumerate(rows)}  # numbered by doc_id
+    for coded in (False, True):
+        got = {tuple(r[c] for c in pairs.columns): (bytes(r["left"]), bytes(r["right"])) for r in substring._slices(chunks, texts, pairs, coded)[0].collect()}
+        cut = lambda t, x, y: substring.word_codes([w.encode() for w in words[t][x:y]]) if coded else " ".join(words[t][x:y]).encode()
+        assert got == {(a, b, *at): (cut(a, *at[:2]), cut(b, *at[2:])) for a, b, *at in asked}
+    assert plans and not any("posexplode(texts" in plan or "Join" in plan for plan in plans)
+
+
+def test_fragments_of_many_pairs_are_those_of_each():
+    rng = np.random.default_rng(5)
+    pair = np.sort(rng.integers(0, 20, 300))
+    a, b, words = rng.integers(0, 40, 300), rng.integers(0, 40, 300), rng.integers(5, 9, 300)
+    together = substring.fragments(pair, a, b, words, 1)
+    alone = [substring.fragments(pair[pair == p], a[pair == p], b[pair == p], words[pair == p], 1) for p in np.unique(pair)]
+    assert (together == np.concatenate(alone)).all()
+    for p, x, y, n in together.tolist():  # a fragment is made of matches on its diagonal
+        on = (pair == p) & (b - a == y - x) & (b >= y) & (b + words <= y + n)
+        assert b[on].min() == y and (b + words)[on].max() == y + n
