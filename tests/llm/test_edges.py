@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gridmotion.llm import (
     components,
@@ -303,6 +304,15 @@ def test_quality_learns_and_bounds_its_sample(spark, documents):
     assert quality.training_rows(documents(texts), labels, bound=100).count() < 160
 
 
+def test_quality_learns_from_all_labelled_documents(spark):
+    docs = spark.range(41_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    labels = spark.range(42_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"), F.lit(0).alias("toxic"))
+    rows = quality.training_rows(docs, labels)
+    assert rows.count() == 41_000
+    times = {r["id"]: (r["g0"], r["g1"], r["g2"]) for r in quality._times(rows).collect()}
+    assert times[zlib.crc32(b"w:text")] == (0, 20_500, 20_500) and times[zlib.crc32(b"w:40999")] == (0, 0, 1)
+
+
 # ------------------------------------------------------------------ archives
 
 
