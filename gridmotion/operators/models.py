@@ -1,7 +1,7 @@
 """Boosted-tree models of x and y, their search and scoring, and the kinematic baseline.
 
-Trees grow level by level on Spark, so fitted values differ from leaf-wise libraries; the
-features, splits and error measures are the same.
+Trees grow level by level on Spark (see `boosting`), so fitted values differ from leaf-wise
+libraries; the features, splits and error measures are the same.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from gridmotion.functions import scalars as S
+from gridmotion.operators import boosting
 from gridmotion.operators.evaluate import rmse
 from gridmotion.operators.rollups import last_states
 from gridmotion.operators.sampling import fold_column, sample_sequences, split_column
@@ -31,7 +32,6 @@ from gridmotion.schemas import ROW_KEYS, TICK_SECONDS, TIMELINE_KEYS
 # The boosting settings of the lag model and of the t0 model.
 LAG_SETTINGS = {"trees": 200, "step": 0.05, "depth": 6, "rows": 0.9, "columns": "0.9", "seed": 42}
 T0_SETTINGS = {**LAG_SETTINGS, "trees": 300}
-PARTITION_ROWS = 100_000  # training rows a task; a tree costs a few jobs over all partitions
 SIDE_BY_SIDE = 4  # fits that run at once
 
 
@@ -113,22 +113,24 @@ def fit_axes(
     train = train.withColumns({c: S.zero_if_not_finite(F.col(c)) for c in features})
     train = train.persist()  # rebuilt from lineage when an executor is lost
     try:
-        parts = max(1, -(-train.count() // PARTITION_ROWS))
-        even = train.coalesce(parts)
-        x, y = together(
-            df.sparkSession,
-            [
-                lambda axis=axis, target=target: _pipeline(
-                    features, target, axis, settings, validation
-                ).fit(even)
-                for axis, target in zip(("x", "y"), targets)
-            ],
-        )
+        n = train.count()
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        even = train.coalesce(max(1, -(-n // boosting.BLOCK_ROWS), min(cores, -(-n // boosting.TASK_ROWS))))
+        trees, cuts = boosting.grow(even, features, list(targets), settings, validation, settings.get("tol", 0.01))
     finally:
         train.unpersist()
+    x, y = (
+        _fitted(_pipeline(features, target, axis, settings, validation), grown, cuts)
+        for axis, target, grown in zip(("x", "y"), targets, trees)
+    )
     return AxisModels(x, y, list(features))
 
 
+def _fitted(pipeline: Pipeline, trees: list[boosting.Tree], cuts: list) -> PipelineModel:
+    assembler, estimator = pipeline.getStages()
+    return PipelineModel([assembler, boosting.as_model(trees, cuts, estimator)])
+
+
 def score(models: AxisModels, df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
     """pred_x, pred_y beside the kept columns."""
     kept = df.select(
