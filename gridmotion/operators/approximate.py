@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmotion.operators.pivots import matrix, top_k_positions
+from gridmotion.operators.pivots import dealt, drawn_in, matrix, top_k_positions
 from gridmotion.operators.skew import dense_index
 from gridmotion.session import scratch_path
 
 TABLES = 6
 BUCKET_ROWS = 256  # a bucket's size that the number of directions aims at
 PIECE_ROWS = 2048
-GROUP_QUERIES = 8192  # queries of a task at most
+GROUP_QUERIES, LEAST_QUERIES = 8192, 256  # queries of a task at most and, where cores are idle, at least
 PROBES_HELD = 4_000_000  # codes a task's queries look into in one table
 PROBED_AT_ONCE = 512  # queries whose probes are ranked at a time
 FOUND_HELD = 1_000_000  # found rows a task gathers before it keeps the k nearest of each query
@@ -55,8 +55,8 @@ class ProjectionIndex:
         bits = away.shape[1]
         return ((away >= 0) << np.arange(bits)).sum(axis=1).astype(np.int64), np.abs(away)
 
-    def probed(self, vectors: np.ndarray, table: int) -> np.ndarray:
-        """Codes to look into, row by row, the nearest first."""
+    def probed(self, vectors: np.ndarray, table: int, ordered: bool = True) -> np.ndarray:
+        """Codes to look into, row by row; if ordered, the nearest first."""
         code, away = self.sides(vectors, table)
         bits = away.shape[1]
         near = np.argsort(away, axis=1, kind="stable")[:, : min(NEAR_BITS, bits)]
@@ -65,7 +65,10 @@ class ProjectionIndex:
         for i, c in enumerate(flips):
             chosen[i, list(c)] = True
         cost = (np.take_along_axis(away, near, 1) ** 2) @ chosen.T
-        first = np.argsort(cost, axis=1, kind="stable")[:, : self.probes]
+        if ordered or self.probes == cost.shape[1]:
+            first = np.argsort(cost, axis=1, kind="stable")[:, : self.probes]
+        else:
+            first = np.argpartition(cost, self.probes - 1, axis=1)[:, : self.probes]
         masks = np.stack([np.where(c, 1, 0) for c in chosen])
         bit = np.left_shift(1, near.astype(np.int64))
         return code[:, None] ^ np.einsum("qpb,qb->qp", masks[first], bit)
@@ -146,11 +149,12 @@ def _search(path: str, index: ProjectionIndex, k: int):
 
     def search(group: pa.Table) -> pa.Table:
         asked = matrix(group.column("vec"))
+        within = np.full(len(asked), np.inf)  # no k-th nearest entry is farther
         found, held, now = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))], 0, None
         for t, codes, n, vectors in _entries(path):
             if t != now:
                 now = t
-                probed = np.concatenate([index.probed(asked[i : i + PROBED_AT_ONCE], t).astype(np.int32) for i in range(0, len(asked), PROBED_AT_ONCE)])
+                probed = np.concatenate([index.probed(asked[i : i + PROBED_AT_ONCE], t, False).astype(np.int32) for i in range(0, len(asked), PROBED_AT_ONCE)])
                 who = np.argsort(probed.ravel(), kind="stable")
                 line = probed.ravel()[who]
                 who = (who // probed.shape[1]).astype(np.int32)
@@ -159,11 +163,16 @@ def _search(path: str, index: ProjectionIndex, k: int):
             for lo, hi, x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), first.tolist(), last.tolist()):
                 if x == y:
                     continue
-                at, row, away = top_k_positions(asked[who[x:y]], vectors[lo:hi], k)
-                found.append((who[x:y][at].astype(np.int64), n[lo:hi][row], away))
+                mine = who[x:y]
+                near = within[mine]
+                at, row, away = top_k_positions(asked[mine], vectors[lo:hi], k, near)
+                drawn_in(near, at, away, k)
+                within[mine] = near  # a query looks into a bucket once
+                found.append((mine[at].astype(np.int64), n[lo:hi][row], away))
                 held += len(at)
             if held > FOUND_HELD:
                 found, held = [kept(found)], 0
+                drawn_in(within, found[0][0], found[0][2], k)
         at, n, away = kept(found)
         return pa.Table.from_arrays([group.column("qid").take(pa.array(at)), pa.array(n), pa.array(away)], ["qid", "n", "distance"])
 
@@ -203,10 +212,9 @@ def approximate_knn(
     path, order = scratch_path(spark, "index"), ["table", "code", "n"]
     _coded(held.select("n", "vec"), "vec", index).repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
     each = int(np.clip(PROBES_HELD // index.probes, 256, GROUP_QUERIES))
-    groups = max(spark.sparkContext.defaultParallelism, -(-distinct.count() // each))
-    dealt = distinct.withColumn("group", F.pmod(F.xxhash64("vec"), F.lit(groups)))
+    groups = dealt(distinct, "vec", -(-distinct.count() // LEAST_QUERIES), max(1, each // LEAST_QUERIES))
     schema = T.StructType([T.StructField("qid", asked.schema["query_id"].dataType), T.StructField("n", T.LongType()), T.StructField("distance", T.DoubleType())])
-    met = _stored(dealt.groupBy("group").applyInArrow(_search(path, index, k), schema), "met")
+    met = _stored(groups.groupBy("group").applyInArrow(_search(path, index, k), schema), "met")
     found = met.join(held.select("n", "ids"), "n").select("qid", "distance", F.explode("ids").alias("id"))
     best = Window.partitionBy("qid").orderBy("distance", "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -31,8 +31,10 @@ MOST_PIVOTS = 256
 LANDMARKS = 16
 CHUNK_VALUES = 4_000_000  # distances held at a time in a task
 GROUP_BLOCKS = 64  # query blocks of a task
+GROUPS_A_CORE = 4  # so that a long task is not waited for
 BLOCKS_READ = 8  # corpus blocks a task reads at a time
 MERGED = 32  # blocks' nearest rows that a query block gathers before it keeps the k nearest of them
+MERGED_ROWS = 3  # or so many times k rows a query
 ROOM = 1e-9  # share by which bounds are widened for rounding
 
 
@@ -53,22 +55,30 @@ def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
-def top_k_positions(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple:
+def top_k_positions(queries: np.ndarray, rows: np.ndarray, k: int, within: np.ndarray | None = None) -> tuple:
     """(query position, row position, distance) of each query's k nearest rows.
 
     A matrix product finds candidates, with room for its rounding error; their distances
-    are then taken from differences, so copies are at 0. Ties go to the lower row position.
+    are then taken from differences, so copies are at 0. Ties go to the lower row position. Rows
+    farther from a query than its `within` need not be told; a row as far is.
     """
     step = max(1, CHUNK_VALUES // max(len(rows), 1))
     row_norms = np.einsum("nd,nd->n", rows, rows)
+    told = np.column_stack([-2.0 * rows, row_norms]).T
+    most = 8 * (rows.shape[1] + 4) * np.finfo(float).eps
     found = []
     for start in range(0, len(queries), step):
         part = queries[start : start + step]
         norms = np.einsum("qd,qd->q", part, part)
-        rough = norms[:, None] + row_norms[None, :] - 2.0 * (part @ rows.T)
-        if len(rows) > k:
-            limit = np.partition(rough, k - 1, axis=1)[:, k - 1]
-            room = 8 * (rows.shape[1] + 4) * np.finfo(float).eps * (norms + row_norms.max())
+        rough = np.column_stack([part, np.ones(len(part))]) @ told  # the square of the distance but for the query's norm
+        if len(rows) > k or within is not None:
+            room = most * (norms + row_norms.max())
+            limit = np.full(len(part), np.inf)
+            if within is not None:
+                limit = within[start : start + step] ** 2 * (1 + most) - norms
+            open_ = np.flatnonzero(np.isinf(limit)) if len(rows) > k else []
+            if len(open_):
+                limit[open_] = np.partition(rough[open_], k - 1, axis=1)[:, k - 1]
             q_at, r_at = np.nonzero(rough <= (limit + room)[:, None])
         else:
             q_at, r_at = (a.ravel() for a in np.indices(rough.shape))
@@ -82,6 +92,12 @@ def top_k_positions(queries: np.ndarray, rows: np.ndarray, k: int) -> tuple:
     return tuple(np.concatenate(column) for column in zip(*found))
 
 
+def drawn_in(within: np.ndarray, at: np.ndarray, away: np.ndarray, k: int) -> None:
+    """Lower each query's distance to the k-th of the rows it has found; at: ascending, then the distance."""
+    last = np.flatnonzero(np.arange(len(at)) - np.searchsorted(at, at) == k - 1)
+    within[at[last]] = np.minimum(within[at[last]], away[last])
+
+
 def spread_points(sample: np.ndarray, n: int) -> np.ndarray:
     """n rows of the sample, each as far from the earlier ones as it can be; distinct rows only."""
     chosen = [0]
@@ -220,6 +236,18 @@ def read_blocks(path: str, wanted: dict[int, list[int]]) -> Iterator[tuple[int,
                             yield block, batch.column("ids")[i].values, batch.column("vecs")[i].values
 
 
+def dealt(rows: DataFrame, column: str, n: int, each: int) -> DataFrame:
+    """rows with a `group` by the hash of a column, each group a partition of its own: some `each` of the n rows, and work for every core."""
+    spark = rows.sparkSession
+    groups = max(1, min(GROUPS_A_CORE * spark.sparkContext.defaultParallelism, n), -(-n // each))
+    # Numbers whose hashes fall into the partitions one by one; by chance a few may share one.
+    place = F.pmod(F.hash("id"), F.lit(groups))
+    told = spark.range(16 * groups).groupBy(place.alias("p")).agg(F.min("id").alias("id")).orderBy("p").collect()  # a row a group
+    names = F.array(*[F.lit(r["id"]).cast("long") for r in told])
+    numbered = rows.withColumn("group", F.get(names, F.pmod(F.xxhash64(column), F.lit(len(told))).cast("int")))
+    return numbered.repartition(groups, "group")
+
+
 def _bounded_pairs(asked: DataFrame, corpus: PivotBlocks) -> DataFrame:
     """(q_block, block) that lie within the query block's bound, by partitions first."""
     parts = corpus.partitions().select("part", F.col("lo").alias("p_lo"), F.col("hi").alias("p_hi"))
@@ -262,14 +290,19 @@ def nearest_rows(corpus: PivotBlocks, queries: PivotBlocks, k: int) -> tuple[Dat
                 asking.setdefault(block, []).append(i)
         q_vecs = [matrix(v.values) for v in vectors]
         best: list[list[pa.Table]] = [[] for _ in q_vecs]
+        within = [np.full(len(v), np.inf) for v in q_vecs]  # no k-th nearest row is farther
         for block, ids, vecs in read_blocks(stored, asking):
             rows = matrix(vecs)
             for i in asking[block]:
-                at, row, away = top_k_positions(q_vecs[i], rows, k)
+                at, row, away = top_k_positions(q_vecs[i], rows, k, within[i])
+                if best[i] and not len(at):
+                    continue
+                drawn_in(within[i], at, away, k)
                 columns = [pa.array(at), pa.array(away), *ids.take(pa.array(row)).flatten()]
                 best[i].append(pa.Table.from_arrays(columns, ["at", "distance", *keys]))
-                if len(best[i]) >= MERGED:
+                if len(best[i]) >= MERGED or sum(t.num_rows for t in best[i]) > MERGED_ROWS * k * len(q_vecs[i]):
                     best[i] = nearest(best[i])
+                    drawn_in(within[i], best[i][0].column("at").to_numpy(), best[i][0].column("distance").to_numpy(), k)
         out = []
         for i, found in enumerate(best):
             (table,) = nearest(found)
@@ -282,13 +315,13 @@ def nearest_rows(corpus: PivotBlocks, queries: PivotBlocks, k: int) -> tuple[Dat
             )
         return pa.concat_tables(out)
 
-    groups = max(spark.sparkContext.defaultParallelism, -(-queries.blocks.count() // GROUP_BLOCKS))
+    n_blocks = queries.blocks.count()
 
     def met(pairs: DataFrame) -> DataFrame:
         # Only numbers of blocks and each query block, once, are shuffled.
         asked = queries.blocks.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
         both = pairs.groupBy("q_block").agg(F.collect_list("block").alias("blocks")).join(asked, "q_block")
-        both = both.withColumn("group", F.pmod(F.xxhash64("q_block"), F.lit(groups)))
+        both = dealt(both, "q_block", n_blocks, GROUP_BLOCKS)
         path = scratch_path(spark, "neighbours")
         both.groupBy("group").applyInArrow(search, schema).write.parquet(path)
         return spark.read.schema(schema).parquet(path)
