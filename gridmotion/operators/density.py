@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmotion.operators.neighbors import distance_to
-from gridmotion.operators.pivots import GROUP_BLOCKS, matrix, read_blocks
+from gridmotion.operators.pivots import GROUP_BLOCKS, dealt, matrix, read_blocks
 from gridmotion.operators.skew import dense_index
 from gridmotion.session import checkpointed, scratch_path
 
@@ -32,28 +32,51 @@ BLOCK_ROWS = 512
 N_PIVOTS = 2
 N_LANDMARKS = 16
 HELD_ROWS = 1_000_000  # found rows a task gathers before it reduces them
+EXACT_VALUES = 2_000_000  # differences held at a time
 NOISE = -1
 
 
-def _squared(left: np.ndarray, right: np.ndarray, chunk: int = 64) -> np.ndarray:
-    out = np.empty((len(left), len(right)))
-    for start in range(0, len(left), chunk):
-        diff = left[start : start + chunk, None, :] - right[None, :, :]
-        out[start : start + chunk] = np.einsum("lrd,lrd->lr", diff, diff)
+def _exact(left: np.ndarray, right: np.ndarray, l_at: np.ndarray, r_at: np.ndarray) -> np.ndarray:
+    """Squared distances of pairs, from differences."""
+    out, step = np.empty(len(l_at)), max(1, EXACT_VALUES // max(1, right.shape[1]))
+    for at in range(0, len(l_at), step):
+        diff = left[l_at[at : at + step]] - right[r_at[at : at + step]]
+        out[at : at + step] = np.einsum("nd,nd->n", diff, diff)
     return out
 
 
+def _near(left: np.ndarray, right: np.ndarray, eps: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(left position, right position, rough squared distance) of all pairs within eps, and the roughness.
+
+    Rough distances come from a matrix product; where they do not decide, differences do.
+    """
+    norms, r_norms = (np.einsum("nd,nd->n", side, side) for side in (left, right))
+    room = 8 * (right.shape[1] + 5) * np.finfo(float).eps * sum(n[np.isfinite(n)].max(initial=0.0) for n in (norms, r_norms))
+    asked = np.column_stack([left, norms, np.ones(len(left))])
+    rough = asked @ np.column_stack([-2.0 * right, np.ones(len(right)), r_norms]).T
+    l_at, r_at = np.nonzero(rough <= eps * eps + room)
+    told = rough[l_at, r_at]
+    open_ = np.flatnonzero(told >= eps * eps - room)
+    if len(open_):
+        hit = np.ones(len(told), bool)
+        hit[open_] = _exact(left, right, l_at[open_], r_at[open_]) <= eps * eps
+        l_at, r_at, told = l_at[hit], r_at[hit], told[hit]
+    return l_at, r_at, told, room
+
+
 def _count_kernel(eps: float):
     """Weighted neighbours each point of a block finds in the other block."""
 
     def run(pair: SimpleNamespace) -> Iterator[pd.DataFrame]:
-        near = _squared(pair.l_vecs, pair.r_vecs) <= eps * eps
-        parts = [(pair.l_pid, near @ pair.r_flag)]
+        l_at, r_at, _, _ = _near(pair.l_vecs, pair.r_vecs, eps)
+        parts = [(pair.l_pid, l_at, pair.r_flag[r_at])]
         if not pair.same:
-            parts.append((pair.r_pid, near.T @ pair.l_flag))
-        for ids, counts in parts:
+            parts.append((pair.r_pid, r_at, pair.l_flag[l_at]))
+        for ids, at, weights in parts:
+            counts = np.bincount(at, weights, len(ids)).astype(np.int64)
             hit = counts > 0
-            yield pd.DataFrame({"pid": ids[hit], "n": counts[hit]})
+            if hit.any():
+                yield pd.DataFrame({"pid": ids[hit], "n": counts[hit]})
 
     return run
 
@@ -62,51 +85,46 @@ def _summed(found: pd.DataFrame) -> pd.DataFrame:
     return found.groupby("pid", as_index=False)["n"].sum()
 
 
-def _forest(near: np.ndarray, left_ids: np.ndarray, right_ids: np.ndarray):
-    """Star edges (id, smallest id of its component) of a bipartite neighbourhood."""
-    none = np.iinfo(np.int64).max
-    left, right = left_ids.copy(), np.full(len(right_ids), none)
+def _stars(l_at: np.ndarray, r_at: np.ndarray, l_ids: np.ndarray, r_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (id, smallest id of its component) that join what the pairs join."""
+    ids, other = np.concatenate([l_ids, r_ids]), r_at + len(l_ids)
+    root = ids.copy()
     while True:
-        right_next = np.where(near, left[:, None], none).min(axis=0)
-        right_next = np.minimum(right_next, np.where(near.any(axis=0), right_ids, none))
-        right_next = np.minimum(right_next, right)
-        left_next = np.minimum(left, np.where(near, right_next[None, :], none).min(axis=1))
-        if np.array_equal(left_next, left) and np.array_equal(right_next, right):
-            break
-        left, right = left_next, right_next
-    ids = np.concatenate([left_ids, right_ids])
-    roots = np.concatenate([left, right])
-    keep = (roots != none) & (roots != ids)
-    return ids[keep], roots[keep]
+        lowest, before = np.minimum(root[l_at], root[other]), root.copy()
+        np.minimum.at(root, l_at, lowest)
+        np.minimum.at(root, other, lowest)
+        if np.array_equal(root, before):
+            return ids[root != ids], root[root != ids]
 
 
 def _link_kernel(eps: float):
-    """Forest edges among core points, and for other points their nearest core point."""
-
-    def attach(ids, other_ids, squared):
-        pos = squared.argmin(axis=1)
-        best = squared[np.arange(len(ids)), pos]
-        hit = best <= eps * eps
-        return pd.DataFrame(
-            {
-                "kind": "border",
-                "a": ids[hit],
-                "b": other_ids[pos[hit]],
-                "distance": np.sqrt(best[hit]),
-            }
-        )
+    """Edges that join the core points within reach, and for other points their nearest core point."""
+
+    def attach(ids, vecs, at, other_ids, other_vecs, other_at, rough, room):
+        least = np.full(len(ids), np.inf)
+        np.minimum.at(least, at, rough)
+        close = rough <= least[at] + 2 * room
+        at, other_at = at[close], other_at[close]
+        squared = _exact(vecs, other_vecs, at, other_at)
+        order = np.lexsort((other_at, squared, at))
+        first = order[np.flatnonzero(np.diff(at[order], prepend=-1))]
+        return pd.DataFrame({"kind": "border", "a": ids[at[first]], "b": other_ids[other_at[first]], "distance": np.sqrt(squared[first])})
 
     def run(pair: SimpleNamespace) -> Iterator[pd.DataFrame]:
-        squared = _squared(pair.l_vecs, pair.r_vecs)
         l_ids, r_ids, l_core, r_core = pair.l_pid, pair.r_pid, pair.l_flag, pair.r_flag
-        if l_core.any() and r_core.any():
-            near = squared[np.ix_(l_core, r_core)] <= eps * eps
-            a, b = _forest(near, l_ids[l_core], r_ids[r_core])
+        l_at, r_at, rough, room = _near(pair.l_vecs, pair.r_vecs, eps)
+        both = l_core[l_at] & r_core[r_at]
+        if both.any():
+            l_both, r_both = l_at[both], r_at[both]
+            few = len(l_both) <= len(l_ids) + len(r_ids)
+            a, b = (l_ids[l_both], r_ids[r_both]) if few else _stars(l_both, r_both, l_ids, r_ids)
             yield pd.DataFrame({"kind": "edge", "a": a, "b": b, "distance": 0.0})
-        if r_core.any() and (~l_core).any():
-            yield attach(l_ids[~l_core], r_ids[r_core], squared[np.ix_(~l_core, r_core)])
-        if not pair.same and l_core.any() and (~r_core).any():
-            yield attach(r_ids[~r_core], l_ids[l_core], squared[np.ix_(l_core, ~r_core)].T)
+        lone = ~l_core[l_at] & r_core[r_at]
+        if lone.any():
+            yield attach(l_ids, pair.l_vecs, l_at[lone], r_ids, pair.r_vecs, r_at[lone], rough[lone], room)
+        lone = l_core[l_at] & ~r_core[r_at]
+        if not pair.same and lone.any():
+            yield attach(r_ids, pair.r_vecs, r_at[lone], l_ids, pair.l_vecs, l_at[lone], rough[lone], room)
 
     return run
 
@@ -259,8 +277,7 @@ def _meet(pairs: DataFrame, table: DataFrame, bands: list[str], vector: str, fla
         numbers = blocks.select(*[F.col(f"key_{c}").alias(f"{side}_{c}") for c in key], F.col("block").alias(f"__{side}"))
         numbered = numbered.join(numbers, [f"{side}_{c}" for c in key])
     asked = numbered.groupBy(F.col("__l").alias("block")).agg(F.collect_list(F.struct(F.col("__r").alias("r"), "same")).alias("met"))
-    groups = max(spark.sparkContext.defaultParallelism, -(-blocks.count() // GROUP_BLOCKS))
-    left = asked.join(blocks.select("block", "ids", "vecs"), "block").withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)))
+    left = dealt(asked.join(blocks.select("block", "ids", "vecs"), "block"), "block", blocks.count(), GROUP_BLOCKS)
 
     def side_of(side: str, ids: pa.StructArray, vecs: pa.Array) -> dict:
         fields = {c: ids.field(c).to_numpy(zero_copy_only=False) for c in ("pid", "flag")}

@@ -3,10 +3,11 @@
 import math
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 
-from gridmotion.operators import density, neighbors
+from gridmotion.operators import density, neighbors, pivots
 
 
 def make_points(seed, groups, noise, dim=3, copies=0):
@@ -113,3 +114,57 @@ def test_found_rows_are_reduced_on_the_way(spark, monkeypatch):
     monkeypatch.setattr(density, "HELD_ROWS", 1)
     monkeypatch.setattr(density, "GROUP_BLOCKS", 2)
     assert clusters() == want and len({c for _, c, _ in want}) > 1
+
+
+def test_block_pairs_are_decided_as_by_differences():
+    """Counts, links and nearest core points of two blocks, against all differences: sparse, dense, copies, at the radius."""
+    from types import SimpleNamespace
+
+    rng = np.random.default_rng(8)
+    left, right = rng.normal(size=(90, 6)), rng.normal(size=(70, 6))
+    right[:20] = left[:20]
+    right[20:40] = left[20:40] + np.eye(6)[0]  # about at the radius 1
+    left[5, 2], right[50, 1] = np.nan, np.inf
+    l_core, r_core = rng.random(90) < 0.5, rng.random(70) < 0.5
+    gaps = ((left[:, None] - right[None]) ** 2).sum(axis=2)
+    for eps in (0.5, 1.0, 3.0, 9.0):
+        near = gaps <= eps * eps
+        pair = SimpleNamespace(same=False, l_vecs=left, r_vecs=right, l_pid=np.arange(90), r_pid=np.arange(100, 170))
+        pair.l_flag, pair.r_flag = np.arange(1, 91), np.arange(1, 71)
+        counts = dict(density._summed(pd.concat(density._count_kernel(eps)(pair))).itertuples(index=False))
+        want = dict(zip(range(90), (near @ pair.r_flag).tolist())) | dict(zip(range(100, 170), (near.T @ pair.l_flag).tolist()))
+        assert counts == {k: n for k, n in want.items() if n}
+        pair.l_flag, pair.r_flag = l_core, r_core
+        links = density._spanned(pd.concat(density._link_kernel(eps)(pair)))
+        borders = links[links["kind"] == "border"].set_index("a")
+        far = np.where(near, gaps, np.inf)
+        for side, core, other, all_ids, at in ((far, l_core, r_core, range(90), 100), (far.T, r_core, l_core, range(100, 170), 0)):
+            for i, own in zip(all_ids, side):
+                best = np.where(other, own, np.inf)
+                if not core[i % 100] and np.isfinite(best.min()):
+                    assert borders.loc[i, "b"] == at + best.argmin() and np.isclose(borders.loc[i, "distance"], best.min() ** 0.5)
+        joined = {(a, 100 + b) for a, b in zip(*np.nonzero(near & l_core[:, None] & r_core[None]))}
+        root = {n: n for edge in joined for n in edge}
+        for _ in root:
+            for a, b in joined:
+                root[a] = root[b] = min(root[a], root[b])
+        edges = links[links["kind"] == "edge"]
+        assert dict(zip(edges["a"], edges["b"])) == {n: r for n, r in root.items() if n != r}
+
+
+def test_nearest_rows_within_a_known_distance():
+    rng = np.random.default_rng(9)
+    queries, rows = rng.normal(size=(40, 5)), np.repeat(rng.normal(size=(150, 5)), 2, axis=0)
+    at, row, away = pivots.top_k_positions(queries, rows, 3)
+    within = np.full(40, np.inf)
+    parts = []
+    for lo in range(0, 300, 50):
+        found = pivots.top_k_positions(queries, rows[lo : lo + 50], 3, within)
+        pivots.drawn_in(within, found[0], found[2], 3)
+        parts.append((found[0], found[1] + lo, found[2]))
+    each, place, gap = map(np.concatenate, zip(*parts))
+    order = np.lexsort((place, gap, each))
+    each, place, gap = each[order], place[order], gap[order]
+    keep = np.arange(len(each)) - np.searchsorted(each, each) < 3
+    assert np.array_equal(each[keep], at) and np.array_equal(place[keep], row) and np.array_equal(gap[keep], away)
+    assert len(each) < 40 * 3 * 6  # later blocks tell less
